@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from demandtide.functions.periods import idx_to_ym, season_terms
 
@@ -110,18 +110,15 @@ def target_window(df: DataFrame, keys: Sequence[str], month: str, value: str, fi
     Origins whose whole window lies past the data have no row.
     """
     series = dense_series(df, keys, month, {"_v": F.sum(value)})
-    placed = with_origins(series, [*keys, "months", "_v"])
-    pairs = F.filter(
-        F.arrays_zip("months", "_v"),
-        lambda p: p["months"].between(F.col("dwp_idx") + first, F.col("dwp_idx") + last),
-    )
-    summed = placed.withColumn("_in", pairs).filter(F.size("_in") > 0)
-    total = F.aggregate("_in", F.lit(0.0), lambda acc, p: acc + p["_v"])
-    return summed.select(
+    placed = with_origins(series, [*keys, "_v"]).withColumn("_v", F.get("_v", F.col("_pos")))
+    # The rows are already partitioned by key, so the window adds a sort and no shuffle.
+    w = Window.partitionBy(*keys).orderBy("dwp_idx").rangeBetween(first, last)
+    summed = placed.select(*keys, "dwp_idx", F.sum("_v").over(w).alias("target_r6m"))
+    return summed.filter(F.col("target_r6m").isNotNull()).select(
         *keys,
         idx_to_ym("dwp_idx").alias("date_when_predicting"),
         idx_to_ym(F.col("dwp_idx") + last).alias("date_to_predict"),
-        total.alias("target_r6m"),
+        "target_r6m",
     )
 
 

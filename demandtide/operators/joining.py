@@ -1,7 +1,8 @@
 """Equi joins with the null and cardinality rules of the planning tables.
 
-No join carries a broadcast hint: Catalyst and adaptive execution broadcast a
-side only after checking its size, and split skewed partitions otherwise.
+Joins carry no broadcast hint, except against one row per calendar month:
+Catalyst and adaptive execution broadcast a side only after checking its size,
+and split skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -79,6 +80,12 @@ def outer_panels(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     return stacked.groupBy(*on).agg(*[F.max(col).alias(col) for col in values])
 
 
+def with_month_totals(df: DataFrame, month: str, **aggregates: Column) -> DataFrame:
+    """Attach aggregates per month. One row per calendar month is few enough to broadcast at any scale."""
+    totals = df.groupBy(month).agg(*[expr.alias(name) for name, expr in aggregates.items()])
+    return df.join(F.broadcast(totals), month, "left")
+
+
 def with_totals(df: DataFrame, by: Sequence[str], **aggregates: Column) -> DataFrame:
     """Attach group aggregates to every row.
 

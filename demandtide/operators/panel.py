@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from demandtide.functions.cleaning import coalesce_zero, ratio
-from demandtide.operators.joining import with_totals
+from demandtide.operators.joining import with_month_totals, with_totals
 
 
 def _series(keys: Sequence[str], order: str):
@@ -79,11 +79,11 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: str, out:
 
 
 def date_totals(df: DataFrame, order: str, values: Sequence[str]) -> DataFrame:
-    return with_totals(df, [order], **{f"total_{v}": coalesce_zero(F.sum(v)) for v in values})
+    return with_month_totals(df, order, **{f"total_{v}": coalesce_zero(F.sum(v)) for v in values})
 
 
 def share_of_total(df: DataFrame, order: str, values: Sequence[str]) -> DataFrame:
-    both = with_totals(df, [order], **{f"_t_{v}": F.sum(v) for v in values})
+    both = with_month_totals(df, order, **{f"_t_{v}": F.sum(v) for v in values})
     return both.select(*df.columns, *[ratio(v, f"_t_{v}", 0).alias(f"share_of_total_{v}") for v in values])
 
 

@@ -1 +1,382 @@
+"""Queries on the preparation jobs."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from demandtide.catalog.registry import date_of, div, idx, query, r4, with_sql, ym
+from demandtide.catalog.roles import channel_lines, hierarchy, lines, master, panel, sku_label, table
+from demandtide.functions.cleaning import round_places
+from demandtide.functions.periods import idx_to_date, idx_to_ym, month_idx
+from demandtide.operators.aggregating import group_sum
+from demandtide.operators.quality import check_contract
+from demandtide.plans import prep as J
+
+_YM = f"{ym('m')} AS ym"
+# The sheet months of the wide queries, and their serial day numbers.
+YEAR_MONTHS = [f"1999{m:02d}" for m in range(1, 13)]
+SERIALS = ["36161", "36192", "36220", "36251", "36281", "36312", "36342", "36373", "36404", "36434", "36465", "36495"]
+_Y99 = "m BETWEEN 23989 AND 24000"
+BRANDS = [f"Brand#{b}" for b in range(1, 26)]
+GOODS = {"economy": "low", "promo": "low", "standard": "mid", "medium": "mid", "large": "high", "small": "high"}
+
+
+def brand_months(spark, d):
+    sums = lines(spark, d).groupBy("sku", "label", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+    known = sums.join(hierarchy(spark, d), "sku")
+    return known.groupBy("brand", "tier", "label", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+
+
+_BM = "bm AS (SELECT brand, tier, label, m, sum(qty) AS qty, sum(kept) AS kept FROM lines JOIN master USING (sku) GROUP BY ALL)"
+
+
+def wide_year(df, ids, value, names=YEAR_MONTHS, month="m"):
+    """One column per month of 1999."""
+    rows = df.filter(F.col(month).between(23989, 24000)).withColumn("_n", F.element_at(F.array(*[F.lit(n) for n in names]), F.col(month) - 23988))
+    return rows.groupBy(*ids).pivot("_n", list(names)).agg(F.sum(value))
+
+
+@query(
+    "job_competitor",
+    with_sql(
+        f"""WITH {_BM}, c AS (SELECT CASE WHEN label = 'di' THEN 'B2C' ELSE 'Total' END AS scope, CASE WHEN tier IN ('ECONOMY', 'PROMO') THEN 'low' WHEN tier IN ('STANDARD', 'MEDIUM') THEN 'mid' ELSE 'high' END AS class,
+          m, sum(qty) FILTER (qty <> 7) AS value, sum(kept) AS volume FROM bm GROUP BY ALL)
+        SELECT scope, class, {_YM}, value, volume, {r4('coalesce(' + div('value', 'volume') + ', 0)')} AS price FROM c""",
+        "lines", "master",
+    ),
+)
+def _(spark, d):
+    """A report text sheet is laid out from the brand months: a header row per section, then its cells."""
+    base = brand_months(spark, d).withColumn(
+        "name", F.concat_ws(" ", F.lower("tier"), "brand", F.when(F.col("label") == "di", "b2c").otherwise("all"))
+    )
+    number = F.when(F.col("qty") == 7, F.lit("-7")).otherwise(F.format_number("qty", 1))
+    order = F.abs(F.xxhash64("name", "m")) % 1_000_000_000
+
+    def section(title, offset, cell):
+        rows = base.select((order + offset).alias("row_no"), "name", idx_to_ym("m").alias("month"), cell.alias("cell"))
+        return rows.withColumn("header", F.lit(None).cast("string"))
+
+    # One header row per section, at the position before its first cell.
+    heads = base.select("m").agg(F.min("m")).select(
+        F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("row_no"), F.lit("Value").alias("header")), F.struct(F.lit(1_999_999_999).cast("long").alias("row_no"), F.lit("Volume").alias("header")))).alias("h")
+    ).select("h.*")
+    cells = section("Value", 0, number).unionByName(section("Volume", 2_000_000_000, F.concat(F.lit(" "), F.col("kept").cast("string"))))
+    sheet = cells.unionByName(heads, allowMissingColumns=True).withColumn("sheet", F.lit("report"))
+    out = J.competitor_report(sheet, "sheet", GOODS, {"b2c": "B2C"}, ["B2C", "Total"])
+    return out.select("scope", "class", F.col("month").alias("ym"), "value", "volume", round_places("price").alias("price"))
+
+
+WEEKS = [(f"W{w:02d}", f"2000-{min(12, (w - 1) * 12 // 52 + 1):02d}", w) for w in range(1, 53)]
+
+
+@query(
+    "job_osa",
+    with_sql(
+        """SELECT brand, CAST(week(l_shipdate) AS INTEGER) AS week, '2000-' || lpad(CAST((week(l_shipdate) - 1) * 12 // 52 + 1 AS VARCHAR), 2, '0') AS month, sum(l_quantity) AS value
+        FROM lineitem JOIN master ON l_partkey = sku WHERE l_shipdate >= TIMESTAMP '2000-01-03' AND l_shipdate < TIMESTAMP '2001-01-01' GROUP BY ALL""",
+        "master",
+    ),
+)
+def _(spark, d):
+    rows = table(spark, d, "lineitem").filter("l_shipdate >= timestamp_ntz'2000-01-03' AND l_shipdate < timestamp_ntz'2001-01-01'")
+    weekly = rows.groupBy(F.col("l_partkey").alias("sku"), F.weekofyear("l_shipdate").alias("w")).agg(F.sum("l_quantity").alias("q"))
+    named = weekly.join(hierarchy(spark, d), "sku").withColumn("col", F.format_string("W%02d", "w"))
+    sheet = named.groupBy("brand").pivot("col", [c for c, _, _ in WEEKS]).agg(F.sum("q"))
+    return J.availability_sheet(sheet, "brand", WEEKS).select("brand", "week", "month", "value")
+
+
+@query(
+    "job_unit_price",
+    with_sql(f"SELECT sku, {_YM}, sum(qty) AS value, sum(kept) AS volume, {r4(div('sum(qty)', 'sum(kept)'))} AS price FROM lines WHERE {_Y99} GROUP BY ALL HAVING sum(kept) <> 0", "lines"),
+)
+def _(spark, d):
+    monthly = lines(spark, d).groupBy("sku", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+    out = J.unit_price(wide_year(monthly, ["sku"], "qty"), wide_year(monthly, ["sku"], "kept"), ["sku"], YEAR_MONTHS)
+    return out.select("sku", F.col("month").cast("int").alias("ym"), "value", "volume", round_places("price").alias("price"))
+
+
+@query(
+    "job_sellin_long",
+    with_sql(
+        f"""SELECT s.sku, name, {date_of('m')} AS date, sum(qty) AS volume, CASE WHEN m < 23995 THEN 'actual' ELSE 'forecasted' END AS status
+        FROM lines s JOIN (SELECT sku, p_name AS name, tier FROM master WHERE tier IN ('LARGE', 'SMALL', 'PROMO')) USING (sku) WHERE {_Y99} GROUP BY ALL""",
+        "lines", "master",
+    ),
+)
+def _(spark, d):
+    monthly = lines(spark, d).groupBy("sku", "m").agg(F.sum("qty").alias("qty"))
+    tiers = hierarchy(spark, d).select("sku", "tier")
+    sheet = wide_year(monthly, ["sku"], "qty", SERIALS).join(tiers, "sku")
+    # A product mapped under another tier contradicts its sheet and is dropped.
+    known = F.when(F.col("tier").isin("LARGE", "SMALL", "PROMO"), F.col("tier")).otherwise("other")
+    mapping = master(spark, d).select("sku", F.col("p_name").alias("name"), known.alias("mapped_tier"))
+    return J.sellin_long(sheet, mapping, "sku", ["name"], SERIALS, "1999-07-14").select("sku", "name", "date", "volume", "status")
+
+
+@query(
+    "job_anp_long",
+    with_sql(
+        f"""WITH {_BM} SELECT k.brand, {date_of('r.m')} AS date, sum(kept) AS spending FROM (SELECT DISTINCT brand FROM bm) k CROSS JOIN (SELECT DISTINCT m FROM bm) r LEFT JOIN bm ON bm.brand = k.brand AND bm.m = r.m GROUP BY k.brand, r.m""",
+        "lines", "master",
+    ),
+)
+def _(spark, d):
+    wide = brand_months(spark, d).groupBy("m").pivot("brand", BRANDS).agg(F.sum("kept"))
+    serial = F.date_diff(idx_to_date("m"), F.lit("1900-01-01").cast("date")) + 13
+    return J.spending_long(wide.withColumn("serial", serial).drop("m"), "serial", BRANDS).select("brand", "date", "spending")
+
+
+@query("job_passthrough", "SELECT s_suppkey AS sp_code, s_name AS name, s_nationkey AS area FROM supplier")
+def _(spark, d):
+    drop = table(spark, d, "supplier").select("s_name", "s_suppkey", "s_nationkey")
+    checked = check_contract(drop, ["s_suppkey", "s_name", "s_nationkey"])
+    return checked.withColumnsRenamed({"s_suppkey": "sp_code", "s_name": "name", "s_nationkey": "area"})
+
+
+@query(
+    "job_products",
+    "SELECT p_partkey AS sku_no, p_name AS product_name, CASE p_brand WHEN 'Brand#1' THEN 'AC' WHEN 'Brand#2' THEN 'NC' ELSE p_brand END AS brand, p_retailprice AS price FROM part",
+)
+def _(spark, d):
+    from demandtide.functions.cleaning import map_values
+
+    part = table(spark, d, "part").withColumnsRenamed({"p_partkey": "sku_no", "p_name": "product_name", "p_retailprice": "price"})
+    return part.select("sku_no", "product_name", map_values("p_brand", {"Brand#1": "AC", "Brand#2": "NC"}).alias("brand"), "price")
+
+
+@query("job_customers", "SELECT c_custkey AS store_code, c_name AS store_name, c_mktsegment AS channel FROM customer WHERE NOT contains(c_name, '000000001')")
+def _(spark, d):
+    names = {"c_custkey": "store_code", "c_name": "store_name", "c_mktsegment": "channel"}
+    return J.customers(table(spark, d, "customer"), "c_name", "000000001", names)
+
+
+@query(
+    "job_pos",
+    f"""SELECT l_suppkey AS store, l_partkey AS sku, strftime(make_date(year(l_shipdate), month(l_shipdate), 15), '%m/%d/%Y') AS date, sum(l_quantity) AS quantity, {r4('sum(l_extendedprice)')} AS pos_value
+        FROM lineitem GROUP BY ALL""",
+)
+def _(spark, d):
+    rows = table(spark, d, "lineitem").select(
+        idx_to_ym(month_idx("l_shipdate")).alias("ym"), F.col("l_suppkey").alias("store"), F.col("l_partkey").alias("sku"),
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("pos_value"),
+    )
+    out = J.point_of_sale(rows, "ym", "store", "sku", "quantity", "pos_value")
+    return out.withColumn("pos_value", round_places("pos_value"))
+
+
+@query("job_sellout", f"SELECT l_orderkey, l_partkey, l_linenumber, l_quantity AS quantity, l_extendedprice AS revenue, {r4(div('l_extendedprice', 'l_quantity'))} AS price FROM lineitem")
+def _(spark, d):
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("revenue")
+    )
+    return J.with_unit_price(rows, "revenue", "quantity").withColumn("price", round_places("price"))
+
+
+@query(
+    "job_sp_inventory",
+    f"""SELECT l_orderkey, l_partkey, l_linenumber, coalesce(a.p_name, b.p_name, CAST(l_partkey AS VARCHAR)) AS sku, {r4(div('l_extendedprice', 'l_quantity'))} AS price FROM lineitem
+        LEFT JOIN (SELECT p_partkey AS k, p_name FROM part WHERE p_type <> 'PROMO') a ON l_partkey = a.k
+        LEFT JOIN (SELECT p_partkey + 7 AS k, p_name FROM part WHERE p_type <> 'PROMO') b ON l_partkey = b.k""",
+)
+def _(spark, d):
+    codes = table(spark, d, "part").filter("p_type != 'PROMO'").select(F.col("p_partkey").alias("new"), (F.col("p_partkey") + 7).alias("old"), "p_name")
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    out = J.stock(rows, codes, "l_partkey", "new", "old", "p_name", "l_extendedprice", "l_quantity")
+    return out.select("l_orderkey", "l_partkey", "l_linenumber", "sku", round_places("price").alias("price"))
+
+
+@query(
+    "job_tradeflow",
+    with_sql(
+        f"""WITH s AS (
+          SELECT 'offtake' AS type, sku, CASE channel WHEN '1-URGENT' THEN 'Ali' WHEN '2-HIGH' THEN 'JD' ELSE 'New channel' END AS channel, status, m, qty AS quantity FROM channel_lines WHERE status IN ('F', 'O')
+          UNION ALL SELECT 'sellin', sku, channel, status, om, kept FROM channel_lines WHERE om BETWEEN 23990 AND 24004),
+        o AS (SELECT * FROM s WHERE channel <> '5-LOW' UNION ALL SELECT 'sellin', sku, '5-LOW', status, m, qty * 2 FROM channel_lines WHERE channel = '4-NOT SPECIFIED'),
+        g AS (SELECT type, sku, channel, status, m, sum(quantity) AS quantity FROM o GROUP BY ALL)
+        SELECT type, sku, sku_name, channel, status, {_YM}, quantity * (p_size * 100.0::DOUBLE) / 1e6 AS quantity FROM g JOIN (SELECT sku, p_name AS sku_name, p_size FROM master WHERE tier <> 'MEDIUM') USING (sku)""",
+        "channel_lines", "master",
+    ),
+)
+def _(spark, d):
+    base = channel_lines(spark, d)
+    sellin = base.select("sku", "channel", "status", F.col("om").alias("m"), F.col("kept").alias("quantity"))
+    offtake = base.select("sku", "channel", "status", "m", F.col("qty").alias("quantity"))
+    sources = [
+        J.FlowSource(offtake, "offtake", {"1-URGENT": "Ali", "2-HIGH": "JD"}, statuses=["F", "O"]),
+        J.FlowSource(sellin, "sellin", months=(-10, 4)),
+    ]
+    redo = offtake.filter("channel = '4-NOT SPECIFIED'").withColumns(
+        {"type": F.lit("sellin"), "channel": F.lit("5-LOW"), "quantity": F.col("quantity") * 2}
+    )
+    products = master(spark, d).filter("tier != 'MEDIUM'").select("sku", F.col("p_name").alias("sku_name"))
+    grams = master(spark, d).select("sku", (F.col("p_size") * 100.0).alias("grams"))
+    out = J.tradeflow(sources, products, grams, "sku", "m", 24000, ("channel", "5-LOW", redo))
+    return out.withColumn("ym", idx_to_ym("m")).drop("m")
+
+
+@query(
+    "job_scope_sum",
+    with_sql(
+        f"""WITH w AS (SELECT sku, m, coalesce(sum(offtake) FILTER (label = 'di'), 0) / 32 AS DI, coalesce(sum(offtake) FILTER (label = 'eib'), 0) / 32 AS EIB FROM sku_label WHERE m BETWEEN 23965 AND 24000 GROUP BY ALL)
+        SELECT sku, {_YM}, scope, round_even(volume, 4) AS volume FROM (UNPIVOT (SELECT *, DI + EIB AS IL FROM w) ON DI, EIB, IL INTO NAME scope VALUE volume)""",
+        "sku_label",
+    ),
+)
+def _(spark, d):
+    facts = sku_label(spark, d).select("sku", "label", "m", (F.col("offtake") / 32).alias("volume"))
+    di, eib = (facts.filter(F.col("label") == x).drop("label") for x in ("di", "eib"))
+    out = J.scope_sum(di, eib, ["sku"], "m", "volume", 23965, 24000)
+    return out.withColumn("ym", idx_to_ym("m")).drop("m")
+
+
+@query(
+    "job_brand_to_sku",
+    with_sql(
+        f"""WITH v AS (SELECT brand, channel, m, sum(qty) AS volume FROM channel_lines JOIN master USING (sku) GROUP BY ALL),
+        p AS (SELECT brand, tier, stage, sum(kept) AS k FROM lines JOIN master USING (sku) GROUP BY ALL), s AS (SELECT *, {div('k', 'sum(k) OVER (PARTITION BY brand)')} AS share FROM p)
+        SELECT brand, channel, {_YM}, tier, stage, {r4('volume * share')} AS volume FROM v JOIN s USING (brand)""",
+        "channel_lines", "lines", "master",
+    ),
+)
+def _(spark, d):
+    sums = channel_lines(spark, d).groupBy("sku", "channel", "m").agg(F.sum("qty").alias("volume"))
+    volumes = sums.join(hierarchy(spark, d), "sku").groupBy("brand", "channel", "m").agg(F.sum("volume").alias("volume"))
+    sheets = lines(spark, d).groupBy("sku").agg(F.sum("kept").alias("volume")).join(hierarchy(spark, d), "sku")
+    out = J.brand_to_sku(volumes, sheets, ["brand"], ["tier", "stage"], "volume")
+    return out.select("brand", "channel", idx_to_ym("m").alias("ym"), "tier", "stage", round_places("volume").alias("volume"))
+
+
+@query(
+    "job_scope_diff",
+    with_sql(
+        f"""WITH n AS (SELECT sku, m, offtake_il AS v FROM panel0 WHERE m >= 23977), o AS (SELECT sku, m, offtake_il * 2 AS v FROM panel0 WHERE m < 23989),
+        il AS (SELECT * FROM n UNION ALL SELECT * FROM o WHERE m < 23977),
+        w AS (SELECT il.sku, il.m, v AS IL, offtake_di AS DI, v - offtake_di AS EIB FROM il JOIN panel0 p ON p.sku = il.sku AND p.m = il.m)
+        SELECT sku, {_YM}, scope, volume FROM (UNPIVOT w ON IL, DI, EIB INTO NAME scope VALUE volume)""",
+        "panel0",
+    ),
+)
+def _(spark, d):
+    base = panel(spark, d).select("sku", "m", "offtake_il", "offtake_di")
+    new = base.filter("m >= 23977").select("sku", "m", F.col("offtake_il").alias("volume"))
+    old = base.filter("m < 23989").select("sku", "m", (F.col("offtake_il") * 2).alias("volume"))
+    di = base.filter("offtake_di > 0").select("sku", "m", F.col("offtake_di").alias("volume"))
+    out = J.scope_diff(new, old, di, ["sku", "m"], "volume")
+    return out.withColumn("ym", idx_to_ym("m")).drop("m")
+
+
+@query(
+    "job_unit_table",
+    "SELECT p_name AS name, p_size * 10 AS grams FROM part UNION SELECT p_brand, p_size * 10 FROM part",
+)
+def _(spark, d):
+    part = table(spark, d, "part")
+    first = part.select("p_partkey", (F.col("p_size") * 10).alias("grams"))
+    names = part.select("p_partkey", F.col("p_name").alias("name"))
+    second = part.select(F.col("p_brand").alias("name"), (F.col("p_size") * 10).alias("grams"))
+    return J.unit_table(first, second, names, "p_partkey").select("name", "grams")
+
+
+UPLIFT_MONTHS = [f"{m}/1/1999" for m in range(1, 13)]
+
+
+@query(
+    "job_uplift_long",
+    with_sql(f"WITH {_BM} SELECT brand, tier, {date_of('m')} AS date, floor(sum(kept)) / 100 AS uplift FROM bm WHERE {_Y99} GROUP BY ALL", "lines", "master"),
+)
+def _(spark, d):
+    percent = F.concat(F.col("kept").cast("bigint").cast("string"), F.lit("%"))
+    sums = brand_months(spark, d).groupBy("brand", "tier", "m").agg(F.sum("kept").alias("kept")).withColumn("pct", percent)
+    names = F.element_at(F.array(*[F.lit(n) for n in UPLIFT_MONTHS]), F.col("m") - 23988)
+    wide = sums.filter("m BETWEEN 23989 AND 24000").withColumn("_n", names).groupBy("brand", "tier").pivot("_n", UPLIFT_MONTHS).agg(F.max("pct"))
+    return J.months_long(wide, ["brand", "tier"], UPLIFT_MONTHS, "uplift").select("brand", "tier", "date", "uplift")
+
+
+@query(
+    "job_unified_split",
+    with_sql(
+        f"""WITH h AS (SELECT brand, channel, sum(qty) AS q FROM channel_lines JOIN master USING (sku) GROUP BY ALL), r AS (SELECT brand, channel, {div('q', 'sum(q) OVER (PARTITION BY brand)')} AS sr FROM h),
+        {_BM}, w AS (SELECT brand, m, sum(qty) AS offtake, sum(kept) AS sellin FROM bm WHERE {_Y99} AND brand NOT IN ('Brand#3', 'Brand#4') GROUP BY ALL)
+        SELECT brand, channel, {_YM}, {r4('offtake * sr')} AS offtake, {r4('sellin * sr')} AS sellin FROM r JOIN w USING (brand)""",
+        "channel_lines", "lines", "master",
+    ),
+)
+def _(spark, d):
+    base = brand_months(spark, d)
+    sheets = [wide_year(base, ["brand"], col).withColumn("measure", F.lit(name)) for col, name in (("qty", "Off"), ("kept", "In"))]
+    out_of_scope = hierarchy(spark, d).filter("brand IN ('Brand#3', 'Brand#4')").select("brand").distinct()
+    sums = channel_lines(spark, d).groupBy("sku", "channel").agg(F.sum("qty").alias("qty")).join(hierarchy(spark, d), "sku")
+    from demandtide.operators.aggregating import split_ratio
+
+    shares = split_ratio(sums, ["brand", "channel"], ["brand"], "qty").drop("qty")
+    out = J.unified_split(sheets[0].unionByName(sheets[1]), ["brand"], YEAR_MONTHS, {"Off": "offtake", "In": "sellin"}, out_of_scope, shares, "brand")
+    return out.select("brand", "channel", F.col("month").cast("int").alias("ym"), round_places("offtake").alias("offtake"), round_places("sellin").alias("sellin"))
+
+
+@query(
+    "job_unified_blocks",
+    with_sql(
+        f"""WITH {_BM}, g AS (SELECT tier, m, CASE WHEN label = 'di' THEN 'Ali' ELSE 'Total' END AS channel, sum(qty) AS q, sum(kept) AS k FROM bm WHERE {_Y99} GROUP BY ALL)
+        SELECT tier AS sku, channel, {_YM}, sum(q) AS offtake, sum(CASE WHEN channel = 'Total' THEN k ELSE 0 END) AS stock FROM g WHERE tier <> 'PROMO' GROUP BY ALL""",
+        "lines", "master",
+    ),
+)
+def _(spark, d):
+    """Two channel blocks side by side with text cells; one row per tier and kind."""
+    base = brand_months(spark, d)
+
+    def sheet(value, kind):
+        rows = base.filter("m BETWEEN 23989 AND 24000").withColumn(
+            "_n", F.concat(F.when(F.col("label") == "di", "a").otherwise("t"), F.element_at(F.array(*[F.lit(n) for n in YEAR_MONTHS]), F.col("m") - 23988))
+        )
+        columns = [f"{side}{n}" for side in "at" for n in YEAR_MONTHS]
+        wide = rows.groupBy("tier").pivot("_n", columns).agg(F.sum(value))
+        texts = [F.coalesce(F.format_number(c, 1), F.lit(" - ")).alias(c) for c in columns]
+        return wide.select("tier", F.lit(kind).alias("kind"), *texts)
+
+    blocks = {"Ali": [f"a{n}" for n in YEAR_MONTHS], "Total": [f"t{n}" for n in YEAR_MONTHS]}
+    products = hierarchy(spark, d).select("tier").distinct().filter("tier != 'PROMO'").withColumn("sku", F.col("tier"))
+    out = J.unified_blocks(
+        sheet("qty", "OFF").unionByName(sheet("kept", "INV")), ["tier", "kind"], blocks, YEAR_MONTHS, products, "tier",
+        {"OFF": "offtake", "INV": "stock"}, ["INV"],
+    )
+    return out.select("sku", "channel", F.col("month").cast("int").alias("ym"), "offtake", "stock")
+
+
+@query(
+    "job_unified_uplift",
+    with_sql(
+        f"""WITH v AS (SELECT brand AS section, tier AS stage, m, sum(qty) AS volume FROM lines JOIN master USING (sku) WHERE {_Y99} GROUP BY ALL),
+        h AS (SELECT brand AS section, tier AS stage, m, channel, sum(kept) AS k FROM channel_lines JOIN master USING (sku) WHERE {_Y99} GROUP BY ALL),
+        s AS (SELECT section, stage, m, channel, CASE WHEN sum(k) OVER w = 0 THEN 1.0 / count(*) OVER w ELSE k / sum(k) OVER w END AS share FROM h WINDOW w AS (PARTITION BY section, stage, m))
+        SELECT section, stage, channel, {_YM}, {r4("volume * share * (1 + CASE WHEN channel = '1-URGENT' THEN 0.25 ELSE 0 END)")} AS quantity FROM v JOIN s USING (section, stage, m)""",
+        "lines", "channel_lines", "master",
+    ),
+)
+def _(spark, d):
+    """A sheet with the brand as section row and its tiers as stage rows below."""
+    base = brand_months(spark, d)
+    number = F.split_part("brand", F.lit("#"), F.lit(2)).cast("long") * 1000
+    stages = wide_year(base, ["brand", "tier"], "qty").withColumn(
+        "row_no", number + F.row_number().over(_order_by_tier())
+    ).withColumn("stage", F.col("tier")).withColumn("section_name", F.lit(None).cast("string"))
+    heads = hierarchy(spark, d).select("brand").distinct().select(
+        number.alias("row_no"), F.col("brand").alias("section_name"), F.lit(None).cast("string").alias("stage")
+    )
+    sheet = stages.drop("brand", "tier").unionByName(heads, allowMissingColumns=True).withColumn("sheet", F.lit("plan"))
+    sums = channel_lines(spark, d).filter("m BETWEEN 23989 AND 24000").groupBy("sku", "channel", "m").agg(F.sum("kept").alias("volume"))
+    history = group_sum(
+        sums.join(hierarchy(spark, d), "sku").select(F.col("brand").alias("section"), F.col("tier").alias("stage"), "channel", idx_to_ym("m").alias("ym"), "volume"),
+        ["section", "stage", "ym", "channel"], ["volume"],
+    )
+    products = hierarchy(spark, d).select(F.col("brand").alias("section"), F.col("tier").alias("stage")).distinct()
+    uplift = products.select("section", F.lit("1-URGENT").alias("channel"), F.lit(0.25).alias("uplift")).distinct()
+    out = J.unified_uplift(sheet, "sheet", YEAR_MONTHS, history, products, uplift)
+    return out.withColumn("quantity", round_places("quantity"))
+
+
+def _order_by_tier():
+    from pyspark.sql import Window
+
+    return Window.partitionBy("brand").orderBy("tier")

@@ -1 +1,118 @@
+"""Queries on training and scoring. Trees are not bit-comparable, so most have no SQL."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from demandtide.catalog.features import _BL, _dense_sql
+from demandtide.catalog.registry import query, r4, with_sql, ym
+from demandtide.catalog.roles import hierarchy, lines, sku_label
+from demandtide.functions.cleaning import round_places
+from demandtide.functions.periods import idx_to_ym
+from demandtide.operators.dense import target_window
+from demandtide.plans import forecasting as L, supervised as S
+from demandtide.session import checkpointed
+
+KEYS = ["brand", "label"]
+LEVELS = [
+    S.Level("brand_label_", ("brand", "label"), "offtake", 6),
+    S.Level("brand_", ("brand",), "offtake", 6),
+    S.Level("label_", ("label",), "offtake", 6),
+    S.Level("sellin_brand_label_", ("brand", "label"), "sellin", 6),
+]
+FEATURES = [f"{v.prefix}sales{i}" for v in LEVELS for i in range(1, v.timelag + 1)] + ["month", "sin_month", "cos_month", "di", "eib"]
+CUTOFF = 200010
+FOREST = L.ModelSpec("RandomForestRegressor", {"numTrees": 10, "maxDepth": 5})
+BOOST = L.ModelSpec("XGBRegressor", {"maxIter": 5, "maxDepth": 3})
+
+
+def brand_facts(spark, d):
+    return (
+        sku_label(spark, d).join(hierarchy(spark, d), "sku").groupBy("brand", "label", "m")
+        .agg(F.sum("offtake").alias("offtake"), F.sum("sellin").alias("sellin"))
+    )
+
+
+def training_table(spark, d, max_horizon):
+    return S.supervised_table(brand_facts(spark, d), KEYS, "m", "offtake", LEVELS, max_horizon, one_hot=("label", ("di", "eib")))
+
+
+@query("forecast_direct")
+def _(spark, d):
+    table = checkpointed(training_table(spark, d, 3))
+    return L.direct_forecast(table, KEYS, FEATURES, CUTOFF, [1, 2, 3], BOOST)[0]
+
+
+@query("backtest")
+def _(spark, d):
+    return L.backtest(training_table(spark, d, 2), KEYS, FEATURES, [200006, 200010], [1, 2], FOREST)
+
+
+@query("model_registry")
+def _(spark, d):
+    table = checkpointed(training_table(spark, d, 1))
+    specs = {
+        "linear": L.ModelSpec("LinearRegression", {"regParam": 0.1}, scale=True),
+        "ridge_pca": L.ModelSpec("Ridge", {"regParam": 1.0}, scale=True, components=5),
+        "lasso": L.ModelSpec("Lasso", {"regParam": 0.1}),
+        "huber": L.ModelSpec("HuberRegressor", {"maxIter": 20}),
+        "forest": FOREST,
+        "boost": BOOST,
+    }
+    made = L.in_threads(lambda item: L.direct_forecast(table, KEYS, FEATURES, CUTOFF, [1], item[1])[0].withColumn("model", F.lit(item[0])), list(specs.items()))
+    return L.union_sources(made)
+
+
+@query("feature_importance")
+def _(spark, d):
+    table = checkpointed(training_table(spark, d, 4))
+    models = L.direct_forecast(table, KEYS, FEATURES, CUTOFF, [3, 4], FOREST)[1]
+    return L.feature_importance(spark, models, FEATURES, "il", CUTOFF)
+
+
+@query("forecast_global")
+def _(spark, d):
+    means = [c for c in FEATURES if c not in ("di", "eib")]
+    table = checkpointed(L.global_table(training_table(spark, d, 3), means))
+    return L.direct_forecast(table, [], means, CUTOFF, [1, 2, 3], FOREST)[0]
+
+
+@query("tuning_errors")
+def _(spark, d):
+    specs = {
+        f"depth{depth}_trees{trees}": L.ModelSpec("RandomForestRegressor", {"maxDepth": depth, "numTrees": trees})
+        for depth in (3, 5) for trees in (5, 10)
+    }
+    return L.tuning_errors(training_table(spark, d, 1), KEYS, FEATURES, [CUTOFF], [1], specs)
+
+
+@query("forecast_end_to_end")
+def _(spark, d):
+    actual = lines(spark, d).groupBy("m").agg(F.sum("qty").alias("offtake"))
+    spec = L.ModelSpec("RandomForestRegressor", {"numTrees": 5, "maxDepth": 4})
+    out = L.end_to_end(training_table(spark, d, 15), actual, KEYS, FEATURES, CUTOFF, 18, spec, "offtake")
+    return out.withColumn("ym", idx_to_ym("m")).drop("m")
+
+
+_P = "((m + 9) % 12 + 1) / 12.0::DOUBLE"
+
+
+@query(
+    "r6m_table",
+    with_sql(
+        f"""WITH {_BL}, {_dense_sql('dn', ['brand', 'label'], 'sum(v)', 'bl')}, {_dense_sql('dl', ['label'], 'sum(v)', 'bl')},
+        s AS (SELECT brand, label, m, sum(v) OVER w AS t FROM dn WINDOW w AS (PARTITION BY brand, label ORDER BY m RANGE BETWEEN 5 FOLLOWING AND 10 FOLLOWING)),
+        t AS (SELECT label, m, coalesce(sum(t), 0) AS target_r6m FROM s GROUP BY ALL), l AS (SELECT label, m, {', '.join(f'coalesce(lag(v, {n - 1}) OVER w, 0) AS label_sales{n}' for n in range(1, 12))} FROM dl WINDOW w AS (PARTITION BY label ORDER BY r))
+        SELECT t.label, {ym('t.m')} AS date_when_predicting, {ym('t.m + 10')} AS date_to_predict, 10.0::DOUBLE AS horizon, target_r6m, {', '.join(f'label_sales{n}' for n in range(1, 12))},
+        {r4(_P.replace('m +', 't.m +'))} AS month, {r4(f"sin(pi() * ({_P.replace('m +', 't.m +')}))")} AS sin_month, {r4(f"cos(pi() * ({_P.replace('m +', 't.m +')}))")} AS cos_month,
+        label_sales1 + label_sales2 + label_sales3 + label_sales4 + label_sales5 + label_sales6 AS last_6_months FROM t JOIN l ON l.label = t.label AND l.m = t.m""",
+        "sku_label", "master", "ranked",
+    ),
+)
+def _(spark, d):
+    facts = brand_facts(spark, d)
+    table = S.supervised_table(facts, KEYS, "m", "offtake", [S.Level("label_", ("label",), "offtake", 11)], 10).filter("horizon = 10")
+    totals = target_window(facts, KEYS, "m", "offtake")
+    both = table.join(totals, [*KEYS, "date_when_predicting", "date_to_predict"], "left")
+    out = S.six_month_table(both, "label").withColumn("target_r6m", F.coalesce("target_r6m", F.lit(0.0)))
+    return out.withColumns({c: round_places(c) for c in ("month", "sin_month", "cos_month")})

@@ -140,9 +140,9 @@ def _(spark, d):
         "o_orderkey",
         "o_totalprice",
         idx_to_ym(month_idx("o_orderdate")).alias("cyc_dat"),
-        F.col("o_orderstatus").alias("created_by"),
-        F.to_date("o_orderdate").alias("created_on"),
-        F.to_date("o_orderdate").alias("changed_on"),
+        F.col("o_orderstatus").alias("frc_usr_nam_dsc"),
+        F.to_date("o_orderdate").alias("frc_cre_dat"),
+        F.to_date("o_orderdate").alias("frc_mdf_dat"),
     )
     day = F.lit("1997-03-15").cast("date")
     return read_scenario(stored, 199703, "F", day, day).select("o_orderkey", "o_totalprice")

@@ -64,7 +64,7 @@ def read_scenario(df: DataFrame, cycle: int, created_by: str, created_on: Column
     """One version of a scenario; the cycle is the partition column, so the scan is pruned."""
     return df.filter(
         (F.col("cyc_dat") == cycle)
-        & (F.col("created_by") == created_by)
-        & (F.col("created_on") == created_on)
-        & (F.col("changed_on") == changed_on)
+        & (F.col("frc_usr_nam_dsc") == created_by)
+        & (F.col("frc_cre_dat") == created_on)
+        & (F.col("frc_mdf_dat") == changed_on)
     )

@@ -465,7 +465,7 @@ def _(spark, d):
         f"""WITH dy AS (SELECT CAST(unnest(generate_series((SELECT {date_of('min(m)')} FROM lines) - INTERVAL 14 DAY, (SELECT {date_of('max(m)')} FROM lines) + INTERVAL 40 DAY, INTERVAL 1 DAY)) AS DATE) AS d),
         wk AS (SELECT week(d) AS week, CASE WHEN week(d) = 1 AND month(d) = 12 THEN (year(d) + 1) * 12 + 1 ELSE year(d) * 12 + month(d) END AS m FROM dy WHERE isodow(d) = 1), n AS (SELECT m, count(*) AS n FROM wk GROUP BY m),
         mt AS (SELECT brand, m, sum(qty) AS volume FROM lines JOIN master USING (sku) GROUP BY ALL),
-        sh0 AS (SELECT brand, tier, week(l_shipdate) AS week, sum(l_quantity) AS q FROM lineitem JOIN master ON sku = l_partkey GROUP BY ALL), sh AS (SELECT *, 100.0 * q / sum(q) OVER (PARTITION BY brand, week) AS pct FROM sh0)
+        sh0 AS (SELECT brand, tier, week(l_shipdate) AS week, sum(l_quantity) AS q FROM lineitem JOIN master ON sku = l_partkey GROUP BY ALL), sh AS (SELECT *, (q / sum(q) OVER (PARTITION BY brand, week)) * 100.0 AS pct FROM sh0)
         SELECT mt.brand, tier, {ym('mt.m')} AS ym, CAST(wk.week AS INTEGER) AS week, {r4('volume / n * pct / 100.0')} AS volume FROM mt JOIN n USING (m) JOIN wk ON wk.m = mt.m JOIN sh ON sh.brand = mt.brand AND sh.week = wk.week""",
         "lines", "master",
     ),

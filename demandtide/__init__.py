@@ -1,5 +1,5 @@
 """Demand-planning analytics as plain Spark DataFrame operators."""
 
-from demandtide.session import build_session, checkpointed
+from demandtide.session import build_session, written
 
-__all__ = ["build_session", "checkpointed"]
+__all__ = ["build_session", "written"]

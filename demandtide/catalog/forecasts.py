@@ -11,7 +11,7 @@ from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_ym
 from demandtide.operators.dense import target_window
 from demandtide.plans import forecasting as L, supervised as S
-from demandtide.session import checkpointed
+from demandtide.session import written
 
 KEYS = ["brand", "label"]
 LEVELS = [
@@ -39,7 +39,7 @@ def training_table(spark, d, max_horizon):
 
 @query("forecast_direct")
 def _(spark, d):
-    table = checkpointed(training_table(spark, d, 3))
+    table = written(training_table(spark, d, 3))
     return L.direct_forecast(table, KEYS, FEATURES, CUTOFF, [1, 2, 3], BOOST)[0]
 
 
@@ -50,7 +50,7 @@ def _(spark, d):
 
 @query("model_registry")
 def _(spark, d):
-    table = checkpointed(training_table(spark, d, 1))
+    table = written(training_table(spark, d, 1))
     specs = {
         "linear": L.ModelSpec("LinearRegression", {"regParam": 0.1}, scale=True),
         "ridge_pca": L.ModelSpec("Ridge", {"regParam": 1.0}, scale=True, components=5),
@@ -65,7 +65,7 @@ def _(spark, d):
 
 @query("feature_importance")
 def _(spark, d):
-    table = checkpointed(training_table(spark, d, 4))
+    table = written(training_table(spark, d, 4))
     models = L.direct_forecast(table, KEYS, FEATURES, CUTOFF, [3, 4], FOREST)[1]
     return L.feature_importance(spark, models, FEATURES, "il", CUTOFF)
 
@@ -73,7 +73,7 @@ def _(spark, d):
 @query("forecast_global")
 def _(spark, d):
     means = [c for c in FEATURES if c not in ("di", "eib")]
-    table = checkpointed(L.global_table(training_table(spark, d, 3), means))
+    table = written(L.global_table(training_table(spark, d, 3), means))
     return L.direct_forecast(table, [], means, CUTOFF, [1, 2, 3], FOREST)[0]
 
 

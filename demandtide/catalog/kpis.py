@@ -9,7 +9,7 @@ from demandtide.catalog.roles import bare_panel, channel_lines, cycles, hierarch
 from demandtide.functions.cleaning import ratio, round_places
 from demandtide.functions.periods import idx_to_ym
 from demandtide.operators.aggregating import group_sum
-from demandtide.operators.dense import dense_series, with_origins
+from demandtide.operators.dense import dense_series, month_axis, with_origins
 from demandtide.operators.panel import rolled_values, sku_age
 from demandtide.operators.reshaping import unpivot_blocks
 from demandtide.plans import diagnostics as D, kpis as K
@@ -159,8 +159,10 @@ def _(spark, d):
     return out.select("label", "sku", idx_to_ym("m").alias("ym"), idx_to_ym("cycle").alias("cycle_month"), "variable", "actual", "forecast")
 
 
-_ALL_SCOPES = """WITH sc AS (SELECT sku, label, m, lag, actual, forecast FROM cycles
-    UNION ALL SELECT sku, 'il', m, lag, sum(actual), sum(forecast) FROM cycles GROUP BY sku, m, lag),
+_ALL_SCOPES = """WITH sl AS (SELECT sku, label, m, offtake FROM sku_label UNION ALL SELECT sku, 'il', m, sum(offtake) FROM sku_label GROUP BY sku, m),
+  bs AS (SELECT sku, label, m, sum(actual) AS actual, sum(base) AS base FROM (SELECT sku, label, m, offtake AS actual, 0.0::DOUBLE AS base, 0 AS b FROM sl UNION ALL SELECT sku, label, m + 12, 0.0::DOUBLE, offtake, 1 FROM sl)
+    WHERE m <= (SELECT max(m) FROM lines) GROUP BY sku, label, m HAVING sum(b) > 0),
+  sc AS (SELECT sku, label, m, lag, actual, base * (1 + lag / 64.0::DOUBLE) AS forecast FROM bs, lags),
   s AS (SELECT label, lag, m, sum(err) AS err, sum(abs(err)) AS abs_err, sum(forecast) AS f FROM (
     SELECT *, CASE WHEN actual = 0 THEN 0 ELSE actual - forecast END AS err FROM sc) GROUP BY ALL),
   fcy AS (SELECT label, min(m - lag) AS fc FROM s GROUP BY label),
@@ -184,15 +186,13 @@ _ALL_SCOPES = """WITH sc AS (SELECT sku, label, m, lag, actual, forecast FROM cy
             f" SELECT label, {ym('m - lag')} AS cyc_dat, lag AS prediction_horizon, '{k}' AS kpi_type, coalesce({r4(k)}, -99999.0::DOUBLE) AS value FROM wide"
             for k in ("R6M", "fa_ytd", "bias_ytd", "fa_monthly", "bias_monthly")
         ),
-        "cycles",
+        "sku_label",
+        "lines",
         "lags",
     ),
 )
 def _(spark, d):
-    base = cycles(spark, d).select("sku", "label", "m", "lag", "actual", "forecast")
-    il = base.groupBy("sku", "m", "lag").agg(F.sum("actual").alias("actual"), F.sum("forecast").alias("forecast"))
-    scoped = base.unionByName(il.withColumn("label", F.lit("il")))
-    out = K.kpi_report(scoped, "label", ["il", "di", "eib", "dc"])
+    out = K.kpi_report(cycles(spark, d, with_il=True), "label", ["il", "di", "eib", "dc"])
     return out.withColumn("value", round_places("value"))
 
 
@@ -289,7 +289,8 @@ def flagship(spark, d):
     """Dense brand-month panel, trailing means, a naive forecast one month ahead and its accuracy."""
     monthly = lines(spark, d).groupBy("sku", "m").agg(F.sum("qty").alias("offtake"))
     brands = group_sum(monthly.join(hierarchy(spark, d), "sku"), ["brand", "m"], ["offtake"])
-    dense = with_origins(dense_series(brands, ["brand"], "m", {"v": F.sum("offtake")}), ["brand", "v"])
+    series = dense_series(brands, ["brand"], "m", {"v": F.sum("offtake")}, month_axis(lines(spark, d), "m"))
+    dense = with_origins(series, ["brand", "v"])
     panel = dense.select("brand", F.col("dwp_idx").alias("m"), F.get("v", F.col("_pos")).alias("offtake"))
     rolled = rolled_values(panel, ["brand"], "m", ["offtake"], [3, 6, 12])
     # A row serves as actual of its month and as forecast of the next one.

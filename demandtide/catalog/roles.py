@@ -102,9 +102,10 @@ def last_month(spark: SparkSession, folder: str) -> Column:
     return table(spark, folder, "lineitem").agg(F.max(month_idx("l_shipdate")).alias("last")).scalar()
 
 
-def based(spark: SparkSession, folder: str) -> DataFrame:
+def based(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
     """Sales of a month beside the sales twelve months earlier, in one aggregation and no self join."""
-    both = lines(spark, folder).select(
+    scopes = F.explode(F.array("label", F.lit("il"))) if with_il else F.col("label")
+    both = lines(spark, folder).select("sku", scopes.alias("label"), "m", "qty").select(
         "sku",
         "label",
         F.explode(
@@ -122,10 +123,10 @@ def based(spark: SparkSession, folder: str) -> DataFrame:
     return sums.filter((F.col("_b") == 1) & (F.col("m") <= last_month(spark, folder))).drop("_b")
 
 
-def cycles(spark: SparkSession, folder: str) -> DataFrame:
+def cycles(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
     """Deterministic forecasts: last year's month raised with the lag, for lags 1 to 11."""
     return (
-        based(spark, folder)
+        based(spark, folder, with_il)
         .withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(LAGS))))
         .select(
             "sku",

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import idx, query, r4, with_sql, ym
 from demandtide.catalog.roles import hierarchy, lines, panel, table
@@ -13,18 +10,11 @@ from demandtide.functions.cleaning import round_places, sink_number
 from demandtide.functions.periods import idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
 from demandtide.operators.quality import check_contract, column_profile, reconcile
+from demandtide.session import shared_folder
 from demandtide.sources.reading import latest_file, latest_version, load_channel_fact, read_delimited, read_scenario
 from demandtide.sources.writing import append_scenario, replace_partitions, write_contract
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """New folder for a round trip: under the cluster's shared folder, else a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"demandtide-{name}-") + "/data"
-
-
 @query(
     "latest_version",
     """SELECT e.event_id, e.user_id, e.event_type, e.value FROM events e JOIN (
@@ -60,7 +50,7 @@ def _(spark, d):
 
 @query("latest_file_scan", with_sql(f"SELECT sku, {ym('m')} AS ym, offtake_il FROM panel0", "panel0"))
 def _(spark, d):
-    folder = scratch(spark, "drops")
+    folder = shared_folder(spark, "drops")
     sales = panel(spark, d).select("sku", idx_to_ym("m").alias("ym"), "offtake_il")
     sales.filter("ym < 199801").write.option("header", True).csv(f"{folder}/20200101_pos.csv")
     sales.write.option("header", True).csv(f"{folder}/20200201_pos.csv")
@@ -69,7 +59,7 @@ def _(spark, d):
 
 @query("write_contract", with_sql(f"SELECT brand, {ym('m')} AS ym, sum(offtake_il) AS quantity FROM panel GROUP BY ALL", "panel"))
 def _(spark, d):
-    folder = scratch(spark, "contract")
+    folder = shared_folder(spark, "contract")
     sums = group_sum(panel(spark, d), ["brand", "m"], ["offtake_il"])
     out = sums.select("brand", idx_to_ym("m").alias("ym"), F.col("offtake_il").alias("quantity"))
     write_contract(out, ["brand", "ym", "quantity"], folder, "2020-01-01")
@@ -107,7 +97,7 @@ def _scenario(spark, d, version, cycle, factor):
     ),
 )
 def _(spark, d):
-    folder = scratch(spark, "scenario")
+    folder = shared_folder(spark, "scenario")
     append_scenario(_scenario(spark, d, "v1", 200101, 1.0), folder)
     append_scenario(_scenario(spark, d, "v2", 200101, 1.5), folder)
     return spark.read.parquet(folder)
@@ -123,7 +113,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    folder = scratch(spark, "partitions")
+    folder = shared_folder(spark, "partitions")
     first = _scenario(spark, d, "old", 200101, 1.0).unionByName(_scenario(spark, d, "old", 200102, 1.0))
     replace_partitions(first, folder, ["cyc_dat"])
     replace_partitions(_scenario(spark, d, "new", 200101, 2.0), folder, ["cyc_dat"])

@@ -10,6 +10,7 @@ from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_month, idx_to_date, idx_to_ym, iso_week_mondays
 from demandtide.operators.aggregating import group_sum
 from demandtide.plans import granularity as G, postprocess as O, scenario as Z
+from demandtide.session import written
 
 _YM = f"{ym('m')} AS ym"
 
@@ -83,7 +84,9 @@ _CORR = f"""{_BL}, cny(y, mo) AS (VALUES {_CNY}),
 
 
 def _corrected(spark, d):
-    facts = sku_label(spark, d).join(hierarchy(spark, d), "sku").groupBy("brand", "label", "m").agg(F.sum("offtake").alias("offtake"))
+    facts = written(
+        sku_label(spark, d).join(hierarchy(spark, d), "sku").groupBy("brand", "label", "m").agg(F.sum("offtake").alias("offtake")), "sales"
+    )
     cut = last_month(spark, d) - 14
     sales = facts.filter(F.col("m") <= cut)
     raised = F.when(idx_month("m").isin(1, 2, 11), F.col("offtake") * 2).otherwise(F.col("offtake"))
@@ -288,7 +291,8 @@ def di_flow(spark, d):
         row("sellin", total, "m", "kept", plain), row("sp_inv", total, "om", "kept", plain),
     )
     long = known.select(product.alias("sku"), package.alias("code"), F.explode(rows).alias("e")).select("sku", "code", "e.*")
-    return group_sum(long, ["sku", "code", "channel", "type", "sp", "m"], ["quantity"])
+    # A stored source table, as it is read by several branches.
+    return written(group_sum(long, ["sku", "code", "channel", "type", "sp", "m"], ["quantity"]), "flow")
 
 
 @query(

@@ -24,7 +24,11 @@ def month_axis(df: DataFrame, month: str) -> Column:
 def dense_series(
     df: DataFrame, keys: Sequence[str], month: str, values: Mapping[str, Column], axis: Column | None = None
 ) -> DataFrame:
-    """Per key the arrays named in ``values``, one entry per month of the axis."""
+    """Per key the arrays named in ``values``, one entry per month of the axis.
+
+    Give ``axis`` where ``df`` is itself an aggregate: the months can then be read
+    off one column of its source.
+    """
     names = list(values)
     monthly = df.dropna(subset=[*keys, month]).groupBy(*keys, month).agg(*[values[n].alias(n) for n in names])
     entry = F.struct(F.col(month).alias("m"), *[F.col(n) for n in names])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from demandtide.functions.periods import idx_month
 from demandtide.operators import panel as P
+from demandtide.session import written
 
 
 @dataclass(frozen=True)
@@ -67,17 +68,20 @@ def dc_spec(keys: Sequence[str], codes: Sequence[str] = ()) -> FeatureSpec:
 def feature_master(df: DataFrame, month: str, spec: FeatureSpec) -> DataFrame:
     """All features of a specification on a panel of one row per series and month.
 
-    The joins with month and group totals come first. The ordered windows after
-    them share one partitioning and one sort order.
+    The panel is stored first, as every total and code list reads it again. The
+    joins with month and group totals come next and are stored as well; the
+    ordered windows after them share one partitioning and one sort order.
     """
     keys = list(spec.keys)
-    out = df
+    out = written(df, "panel") if spec.shares or spec.codes else df
     if spec.shares:
         out = P.date_totals(out, month, spec.measures)
         out = P.share_of_total(out, month, spec.measures)
         out = P.share_of_group(out, month, spec.groups, spec.measures)
     if spec.codes:
         out = P.encode_categories(out, spec.codes)
+    if spec.shares or spec.codes:
+        out = written(out, "panel")
     if spec.first_sale:
         out = P.months_since_first(out, keys, month, spec.measures)
     if spec.diffs:

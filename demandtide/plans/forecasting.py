@@ -1,6 +1,6 @@
 """Direct multi-horizon forecasts with Spark ML: one regressor per horizon.
 
-Every fit reads the same supervised table, which is checkpointed once. Fits of
+Every fit reads the same supervised table, which is stored once. Fits of
 different horizons are independent jobs, submitted from a small driver thread
 pool; the data never leaves the executors.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from demandtide.functions.periods import idx_to_ym, ym_to_idx
 from demandtide.operators.reshaping import union_sources
 from demandtide.plans.postprocess import extend_forecast
-from demandtide.session import checkpointed
+from demandtide.session import written
 
 SEED = 17
 # Longest horizon that is modelled, and months between data and origin.
@@ -69,7 +69,7 @@ def build_pipeline(spec: ModelSpec, features: Sequence[str], target: str = "targ
 def in_threads(task, items: Sequence, width: int = 4) -> list:
     """Results of independent Spark jobs, submitted side by side."""
     with ThreadPool(min(width, max(1, len(items)))) as pool:
-        return pool.map(inheritable_thread_target(task), items)
+        return pool.map(inheritable_thread_target(SparkSession.active())(task), items)
 
 
 def features_for(horizon: int, features: Sequence[str], selected: Mapping[int, Sequence[str]] | None, fixed: Sequence[str] = ()) -> list[str]:
@@ -106,7 +106,7 @@ def backtest(
     table: DataFrame, keys: Sequence[str], features: Sequence[str], origins: Sequence[int], horizons: Sequence[int], spec: ModelSpec
 ) -> DataFrame:
     """Direct forecasts of several origins, each trained on what was known at it."""
-    held = checkpointed(table)
+    held = written(table)
     return union_sources([direct_forecast(held, keys, features, origin, horizons, spec)[0] for origin in origins])
 
 
@@ -148,7 +148,7 @@ def tuning_errors(
     table: DataFrame, keys: Sequence[str], features: Sequence[str], origins: Sequence[int], horizons: Sequence[int], specs: Mapping[str, ModelSpec]
 ) -> DataFrame:
     """Sum of absolute errors per configuration and horizon."""
-    held = checkpointed(table)
+    held = written(table)
     parts = []
     for name, spec in specs.items():
         made = union_sources([direct_forecast(held, keys, features, origin, horizons, spec)[0] for origin in origins])
@@ -164,9 +164,9 @@ def end_to_end(
 ) -> DataFrame:
     """Modelled horizons up to twelve beyond the data lag, the yearly trend after them, cut at the request."""
     modelled = min(requested, MAX_MODEL_HORIZON) + DATA_LAG + 1
-    held = checkpointed(table)
+    held = written(table)
     made, _ = direct_forecast(held, keys, features, cutoff, list(range(1, modelled + 1)), spec)
-    rows = checkpointed(
+    rows = written(
         made.select(
             *keys, ym_to_idx("date_to_predict").alias("m"), (F.col("horizon") - DATA_LAG).alias("horizon"), F.col("prediction").alias("yhat")
         )

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from demandtide.functions.cleaning import ratio
 from demandtide.functions.periods import idx_to_ym, year_start_idx
+from demandtide.operators.reshaping import union_sources
+from demandtide.session import written
 
 # Weights of the horizons and of the four parts of the model score.
 HORIZON_WEIGHTS = {"1": 0.2, "4": 0.6, "R6M": 0.2}
@@ -39,16 +41,19 @@ def at_level(df: DataFrame, keys: Sequence[str], level: Sequence[str]) -> DataFr
 def levels_rollup(df: DataFrame, keys: Sequence[str], hierarchy: Sequence[str]) -> DataFrame:
     """Sums at every prefix of the hierarchy, told apart by ``level_id``.
 
-    Rows are summed at the lowest level before they are expanded to all levels.
+    A level is summed from the one below it, never from the rows again. The id
+    is that of SQL grouping: one bit per column summed away.
     """
-    lowest = at_level(df, keys, hierarchy)
-    cols = [F.col(c) for c in [*keys, *hierarchy]]
-    sets = [[F.col(c) for c in [*keys, *hierarchy[: i + 1]]] for i in range(len(hierarchy))]
-    return lowest.groupingSets(sets, *cols).agg(
-        F.sum("actual").alias("actual"),
-        F.sum("forecast").alias("forecast"),
-        F.grouping_id().cast("int").alias("level_id"),
-    )
+    names = ("actual", "forecast")
+    level = at_level(df, keys, hierarchy)
+    out = []
+    for depth in range(len(hierarchy), 0, -1):
+        if depth < len(hierarchy):
+            level = at_level(level, keys, hierarchy[:depth])
+        gone = [F.lit(None).cast("string").alias(c) for c in hierarchy[depth:]]
+        bits = F.lit(2 ** (len(hierarchy) - depth) - 1).alias("level_id")
+        out.append(level.select(*keys, *hierarchy[:depth], *gone, *names, bits))
+    return union_sources(out)
 
 
 def levels_computed_on(df: DataFrame, keys: Sequence[str], country: str, brand: str, sums: Sequence[str]) -> DataFrame:
@@ -147,7 +152,8 @@ def ytd_rolling_bias(
 def kpi_table(leafs: DataFrame, label: str, country: str, brand: str, horizons: Sequence[int] = (1, 4), r: int = 6, k: int = 3) -> DataFrame:
     """All KPIs in percent, over every level, horizon and month, in long form."""
     errors = error_columns(leafs, mask_zero_actual=True)
-    sums = levels_computed_on(errors, [label, "lag", "m"], country, brand, SUMS)
+    # Five branches read the sums, so they are stored once.
+    sums = written(levels_computed_on(errors, [label, "lag", "m"], country, brand, SUMS), "kpi-sums")
     keys = ["computed_on", country, brand, label]
 
     def long(df: DataFrame, horizon: Column, kind: str, values: dict[str, Column]) -> DataFrame:
@@ -168,16 +174,13 @@ def kpi_table(leafs: DataFrame, label: str, country: str, brand: str, horizons:
         long(rolled, F.lit(name), "month", {"bias": bias_of()}),
         long(ytd_rolling_sums(rolled, keys), F.lit(name), "ytd", {"bias": bias_of()}),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return union_sources(parts)
 
 
 def kpi_report(cycles: DataFrame, scope: str, scopes: Sequence[str], max_horizon: int = 11, r: int = 6, k: int = 3) -> DataFrame:
     """Grid of months, horizons and scopes with five KPIs; a KPI that cannot be had is -99999."""
     errors = error_columns(cycles, mask_zero_actual=True)
-    sums = monthly_sums(errors, [scope])
+    sums = written(monthly_sums(errors, [scope]), "kpi-sums")
     first_cycle = sums.groupBy(scope).agg(F.min(F.col("m") - F.col("lag")).alias("_first_cycle"))
     begun = sums.join(first_cycle, scope)
     start = F.greatest(F.col("_first_cycle") + F.col("lag"), year_start_idx("m"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from demandtide.functions.periods import idx_to_ym, season_terms
 from demandtide.operators.dense import dense_series, lag_columns, month_axis, target_at, with_origins, with_targets
+from demandtide.session import written
 
 
 @dataclass(frozen=True)
@@ -86,16 +87,17 @@ def supervised_table(
 ) -> DataFrame:
     """Lag features of all levels, seasonality, target and one-hot labels.
 
-    Facts are summed to the finest grain and month first; every level is built
-    from those sums, a mean from sum and count.
+    Facts are summed to the finest grain and month first and stored; every level
+    is built from those sums, a mean from sum and count.
     """
     values = sorted({target, *[level.value for level in levels]})
     grain = list(dict.fromkeys([*leaf, *all_keys]))
-    base = (
+    sums = (
         facts.dropna(subset=grain)
         .groupBy(*grain, month)
         .agg(*[F.sum(v).alias(f"_s_{v}") for v in values], *[F.count(v).alias(f"_n_{v}") for v in values])
     )
+    base = written(sums, "series") if len({level.keys for level in levels}) > 1 else sums
     axis = month_axis(base, month)
 
     def expr(level: Level) -> Column:

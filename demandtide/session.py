@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +23,20 @@ def build_session(app: str = "demandtide", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names; a temporary one only where none is set."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="demandtide-ckpt-"))
-    return df.checkpoint(eager=True)
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """New folder under the one the cluster names; a temporary one only where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"demandtide-{name}-") + "/data"
+
+
+def written(df: DataFrame, name: str = "stage") -> DataFrame:
+    """The same rows as a stored columnar table, for a frame that several branches read.
+
+    Cuts the lineage, survives the loss of executors, and gives the planner a
+    known size to choose joins by.
+    """
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

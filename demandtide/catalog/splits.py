@@ -47,7 +47,7 @@ def _out(df, *rounded):
     ),
 )
 def _(spark, d):
-    forecast = future(spark, d).groupBy("sku", "m", "horizon").agg(F.sum("prediction").alias("yhat"))
+    forecast = written(future(spark, d).groupBy("sku", "m", "horizon").agg(F.sum("prediction").alias("yhat")), "forecasts")
     actual = lines(spark, d).groupBy("m").agg(F.sum("qty").alias("offtake"))
     return _out(O.extend_forecast(forecast, actual, "m", ["yhat"], "yhat", "offtake", years=2), "yhat")
 
@@ -429,7 +429,9 @@ def _scenario(spark, d):
     )
     # The two newest actual months are forecast as well, so that an overlap has to be removed.
     again = actuals.filter(F.col("m") > last_month(spark, d) - 2).withColumn("horizon", (F.col("m") - last_month(spark, d)).cast("int"))
-    return Z.build_scenario(forecasts.unionByName(again.select(*forecasts.columns)), actuals, _GRAN)
+    # Stored, as the first forecast month is looked up before the rows are read.
+    made = written(forecasts.unionByName(again.select(*forecasts.columns)), "forecasts")
+    return Z.build_scenario(made, actuals, _GRAN)
 
 
 _SC_ALL = f"""{_SC}, L AS (SELECT max(m) AS l FROM lines),
@@ -458,7 +460,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    built = _scenario(spark, d).select("mat_cod", "dis_chl_cod", "m", "frc_mth_nbr", "frc_flg", "oft_trk_val")
+    built = written(_scenario(spark, d).select("mat_cod", "dis_chl_cod", "m", "frc_mth_nbr", "frc_flg", "oft_trk_val"), "scenario")
     stamped = Z.stamp_scenario(built, "IL", "planner", F.lit("2001-11-15").cast("date"))
     return stamped.withColumn("oft_trk_val", round_places("oft_trk_val"))
 

@@ -26,11 +26,12 @@ def extend_forecast(
 ) -> DataFrame:
     """Append ``years`` more years, each scaled again by forecast total over last year's same months."""
     future = forecast.filter(F.col("horizon") >= 1)
+    # One row, read once: the same scalar subquery serves all three values.
     span = future.agg(
-        F.min(month).alias("first"), F.max(month).alias("last"), F.sum(ratio_column).alias("total")
-    )
-    first, last, total = (span.select(c).scalar() for c in ("first", "last", "total"))
-    past = actual.filter(F.col(month).between(first - 12, last - 12)).agg(F.sum(actual_column).alias("past")).scalar()
+        F.struct(F.min(month).alias("first"), F.max(month).alias("last"), F.sum(ratio_column).alias("total")).alias("span")
+    ).scalar()
+    total = span["total"]
+    past = actual.filter(F.col(month).between(span["first"] - 12, span["last"] - 12)).agg(F.sum(actual_column).alias("past")).scalar()
     stretched = future.withColumns({"_n": F.explode(F.sequence(F.lit(1), F.lit(years)))}).withColumn("_r", ratio(total, past))
     shifted = stretched.withColumns(
         {c: F.col(c) * F.pow("_r", "_n") for c in columns}
@@ -56,8 +57,8 @@ def correction_factors(
     forecast month is left alone; the first one borrows the last month sold.
     """
     known = seasonal_ratio(sales, keys, month, sold)
-    last = forecast.agg(F.max(month).alias("last")).scalar()
-    first = forecast.agg(F.min(month).alias("first")).scalar()
+    span = forecast.agg(F.struct(F.min(month).alias("first"), F.max(month).alias("last")).alias("span")).scalar()
+    first, last = span["first"], span["last"]
     borrowed = sales.filter(F.col(month) == first - 1).select(*keys, month, F.col(sold).alias("prediction"))
     made = seasonal_ratio(
         forecast.select(*keys, month, "prediction").unionByName(borrowed), keys, month, "prediction"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import div, query, r4, with_sql, ym
-from demandtide.catalog.roles import bare_panel, channel_lines, cycles, hierarchy, last_month, leafs, lines, sku_label
-from demandtide.functions.cleaning import ratio, round_places
+from demandtide.catalog.roles import bare_panel, channel_lines, cycles, hierarchy, leafs, lines, sku_label
+from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_ym
 from demandtide.operators.aggregating import group_sum
 from demandtide.operators.dense import dense_series, month_axis, with_origins
@@ -30,10 +30,6 @@ def _kpi_sql(relation, value, name, lag=True):
     return with_sql(f"WITH {ERRS} SELECT label, {'lag,' if lag else ''} {ym('m')} AS ym, {r4(value)} AS {name} FROM {relation}", "cycles")
 
 
-def _fa(a, f):
-    return f"CASE WHEN {f} = 0 THEN NULL ELSE greatest(0.0, 1.0 - {a} / {f}) END"
-
-
 def _errors(spark, d):
     return K.error_columns(cycles(spark, d), mask_zero_actual=True)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import date_of, idx, query, r4, with_sql, ym
-from demandtide.catalog.roles import hierarchy, lines, master, panel, table
+from demandtide.catalog.roles import hierarchy, lines, table
 from demandtide.functions import cleaning as C, periods as P
 from demandtide.operators.dense import seasonality
 

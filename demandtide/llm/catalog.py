@@ -7,15 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandtide.llm.chat_format import chat_format, digests
+from demandtide.llm.decontaminate import decontaminate
 from demandtide.llm.language_id import predict, train_model
 from demandtide.llm.line_chunks import line_dedup
 from demandtide.llm.minhash_dedup import minhash_dedup
 from demandtide.llm.near_vectors import near_vectors
 from demandtide.llm.packing import pack, word_count
+from demandtide.llm.pitman_yor import score_texts
 from demandtide.llm.storage import table
 from demandtide.llm.token_counts import token_counts
 from demandtide.llm.url_filter import url_filter
-from demandtide.llm.words import crc_mod
+from demandtide.llm.words import crc_mod, narrow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -144,3 +146,26 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     """Every document with its repeated chunks of lines removed."""
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_decontamination")
+def op6(spark, sf_dir):
+    """Benchmark items that each document holds."""
+    return decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_lm_scores")
+def op10(spark, sf_dir):
+    """Log10 probability of every document, learned from those whose key's checksum modulo 5 is not 1."""
+    docs = narrow(table(spark, sf_dir, "documents"), "doc_id", "text")
+    held = F.coalesce(crc_mod("id", 5) == 1, F.lit(False))
+    scored = score_texts(docs.withColumn("learn", ~held)).withColumn("held_out", held)
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    """The stages of corpus_pipeline over the documents."""
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)

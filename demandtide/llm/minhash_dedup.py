@@ -3,10 +3,10 @@
 One pass over the texts makes each document's set of word shingles, a digest of the
 set and the band keys of its signature. Documents with equal sets are one class,
 stood for by its smallest id. Inside a bucket every member is paired with one centre
-only (its smallest id), so pairs are bounded by bands times documents; pairs are
-confirmed on full sets. Two members can be alike without being like their centre:
-buckets whose members are then still in different components are compared across
-components, again confirmed on full sets, so that no link is lost to the stars.
+only, so pairs are bounded by bands times documents; pairs are confirmed on full sets.
+Two members can be alike without being like their centre. Buckets whose members are
+then still in different components get a second star around another centre, and what
+even that leaves apart is compared across components, so that no link is lost.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from demandtide.llm.components import components
 from demandtide.llm.storage import stored
@@ -61,19 +61,27 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return h.astype(np.int64)
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """One bit of every position, as two longs."""
+    return np.packbits((sig & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 def _signed(n: int):
-    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64())), ("s0", pa.int64()), ("s1", pa.int64())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, none = WordHashes(), np.empty(0, np.int64)
         for b in batches:
-            sizes, digests, keys = [], [], []
-            for body in b.column(1):
+            sizes, digests, keys, bits = [], [], [], np.zeros((len(b), 2), np.int64)
+            for k, body in enumerate(b.column(1)):
                 members = shingle_set(hashes.of(body.as_py()), n)
                 sizes.append(len(members))
                 digests.append(hashlib.blake2b(members.tobytes(), digest_size=16).digest() if len(members) else None)
-                keys.append(band_keys(signature(members)) if len(members) else none)
-            yield batch(schema, b.column(0), sizes, digests, lists(keys, pa.int64()))
+                keys.append(none)
+                if len(members):
+                    sig = signature(members)
+                    keys[-1], bits[k] = band_keys(sig), sketch(sig)
+            yield batch(schema, b.column(0), sizes, digests, lists(keys, pa.int64()), bits[:, 0].copy(), bits[:, 1].copy())
 
     return sign
 
@@ -91,15 +99,36 @@ def _sets(n: int):
     return make
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on their full sets; only documents in a pair are read again."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(texts.join(wanted, "id", "left_semi").mapInArrow(_sets(n), "id long, members array<long>"), "shingle-sets")
-    a = sets.select(F.col("id").alias("a"), F.col("members").alias("a_set"))
-    b = sets.select(F.col("id").alias("b"), F.col("members").alias("b_set"))
+def _plausible(percent: int) -> Column:
+    """Whether a_n, b_n, a_s0 ... allow ``percent``: sizes within the bound, and no more unequal sketch bits than six standard
+    deviations above the mean at that similarity, for as many independent positions as the smaller set can fill."""
+    p = (1 - percent / 100) / 2
+    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
+    unequal = F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))) + F.bit_count(F.col("a_s1").bitwiseXOR(F.col("b_s1")))
+    return (100 * small >= percent * large) & (unequal <= BINS * (p + 6 * F.sqrt(p * (1 - p) / F.least(F.lit(BINS), small))))
+
+
+def _side(reps: DataFrame, side: str) -> DataFrame:
+    return reps.select(F.col("id").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("n", "s0", "s1")))
+
+
+def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union on their full sets."""
+    pairs = stored(pairs.distinct().join(_side(reps, "a"), "a").join(_side(reps, "b"), "b").filter(_plausible(percent)).select("a", "b"), f"{name}-pairs")
+    held = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    held = stored(held, f"{name}-sets")
+    a = held.select(F.col("id").alias("a"), F.col("members").alias("a_set"))
+    b = held.select(F.col("id").alias("b"), F.col("members").alias("b_set"))
     both = F.size(F.array_intersect("a_set", "b_set"))
     union = F.size("a_set") + F.size("b_set") - both
-    return stored(pairs.join(a, "a").join(b, "b").filter(100 * both >= percent * union).select("a", "b").distinct(), "confirmed")
+    return stored(pairs.join(a, "a").join(b, "b").filter(100 * both >= percent * union).select("a", "b").distinct(), f"{name}-links")
+
+
+def _split(crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (bucket, id, part) of the buckets that hold several components, with their component."""
+    placed = crowded.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("part"))
+    several = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
+    return stored(placed.join(several, "bucket", "left_semi"), "split")
 
 
 def minhash_dedup(df: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,27 +142,36 @@ def minhash_dedup(df: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_
     them). An empty table gives no rows.
     """
     texts = narrow(df, key, text)
-    signed = stored(texts.mapInArrow(_signed(n), "id long, n_shingles long, digest binary, keys array<long>"), "signatures")
+    signed = stored(texts.mapInArrow(_signed(n), "id long, n_shingles long, digest binary, keys array<long>, s0 long, s1 long"), "signatures")
     sound = signed.filter("id is not null and digest is not null")
     classes = stored(sound.groupBy("digest").agg(F.min("id").alias("rep")), "digests")  # stored: the join can then split a frequent digest
-    members = stored(sound.join(classes, "digest").select("id", "n_shingles", "rep", F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")), "classes")
-    reps = members.filter("keys is not null").select("id", "n_shingles", F.explode("keys").alias("bucket"))
-    centres = reps.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last").drop("last")
-    crowded = stored(reps.join(centres, "bucket"), "buckets")
-    star = stored(crowded.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "stars")
-    links = _confirmed(star, texts, n, percent)
-
-    found = components(links)
-    placed = crowded.join(found, "id", "left").select("bucket", "id", "n_shingles", F.coalesce("component", "id").alias("part"))
-    split = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
-    rest = stored(placed.join(split, "bucket", "left_semi"), "rest")
-    a, b = rest.alias("a"), rest.alias("b")
-    near = (100 * F.least("a.n_shingles", "b.n_shingles") >= percent * F.greatest("a.n_shingles", "b.n_shingles"))
-    across = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.part") != F.col("b.part")) & near)
-    across = across.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = _confirmed(stored(across, "across"), texts, n, percent)
-
-    final = components(links.unionByName(more)).withColumnRenamed("id", "rep")
+    is_rep = F.col("id") == F.col("rep")
+    members = stored(sound.join(classes, "digest").select("id", "rep", F.col("n_shingles").alias("n"), F.when(is_rep, F.col("keys")).alias("keys"), "s0", "s1"), "classes")
+    reps = members.filter("keys is not null").dropDuplicates(["id"])
+    rows = reps.select("id", F.explode("keys").alias("bucket"))
+    centres = rows.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last").drop("last")
+    crowded = stored(rows.join(centres, "bucket"), "buckets")
+    reps = reps.select("id", "n", "s0", "s1")
+    # the texts of crowded buckets are read once more, for their full sets; the same join at every size, as both sides grow with the corpus
+    wanted = crowded.select("id").distinct()
+    sets = stored(texts.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(n), "id long, members array<long>"), "shingle-sets")
+
+    # first stars: one centre for all buckets of a group, so that the pairs of different buckets are the same pairs
+    links = _confirmed(crowded.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")), reps, sets, percent, "star")
+    # second stars: in buckets still split, another centre for each bucket, against the members of other components
+    rest = _split(crowded.select("bucket", "id"), components(links))
+    mark = F.xxhash64("bucket", "id")
+    picked = rest.groupBy("bucket").agg(F.min(mark).alias("mark"))
+    picked = stored(rest.withColumn("mark", mark).join(picked, ["bucket", "mark"]).select("bucket", F.col("id").alias("a"), F.col("part").alias("a_part")).dropDuplicates(["bucket"]), "centres")
+    second = rest.join(picked, "bucket").filter("part <> a_part").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+    links = stored(links.unionByName(_confirmed(second, reps, sets, percent, "second-star")), "links")
+    # what is left: all pairs across components that a bucket shares and that sizes and sketches allow
+    rest = _split(crowded.select("bucket", "id"), components(links)).join(reps, "id")
+    a, b = (rest.select("bucket", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "part", "n", "s0", "s1"))) for side in "ab")
+    across = a.join(b, "bucket").filter((F.col("a_id") < F.col("b_id")) & (F.col("a_part") != F.col("b_part")) & _plausible(percent))
+    links = links.unionByName(_confirmed(across.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")), reps, sets, percent, "across"))
+
+    final = components(links).withColumnRenamed("id", "rep")
     placed = members.select("id", "rep").distinct().join(final, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
     placed = placed.groupBy("id").agg(F.min("component").alias("component"))
     out = signed.select("id", "n_shingles").join(placed, "id", "left")

@@ -152,7 +152,7 @@ def _fit(idf: np.ndarray, settings: Settings):
         if calibrate and width > 1:
             logits = np.stack([x @ w[at] + w[-1] for at, x, _ in calibrate])
             truth = np.array([y for *_, y in calibrate])
-            grid = np.exp(np.linspace(np.log(0.02), np.log(20), 200))
+            grid = np.exp(np.linspace(np.log(0.01), np.log(1000), 300))
             target = np.full((len(truth), width), 1 / (len(truth) + 2) / (width - 1))  # as Platt: never quite certain, so T stays finite
             target[np.arange(len(truth)), truth] = 1 - 1 / (len(truth) + 2)
             losses = [-np.mean(np.sum(target * np.log(_softmax(logits / t) + 1e-12), axis=1)) for t in grid]

@@ -22,8 +22,7 @@ def line_hash(line: Column) -> Column:
 
 def long_line_test(line: Column, words: int) -> Column:
     plain = F.translate(line, "\t\x0b\x0c\r", "    ")
-    gaps = F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit("")))  # cheaper, and decides for most lines
-    return (gaps >= words - 1) & (F.size(F.filter(F.split(plain, " "), lambda w: w != "")) >= words)
+    return (F.octet_length(line) >= 2 * words - 1) & (F.size(F.filter(F.split(plain, " "), lambda w: w != "")) >= words)
 
 
 def _held(df: DataFrame, **columns: Column) -> DataFrame:

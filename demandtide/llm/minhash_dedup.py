@@ -4,9 +4,9 @@ One pass over the texts makes each document's set of word shingles, a digest of
 set and the band keys of its signature. Documents with equal sets are one class,
 stood for by its smallest id. Inside a bucket every member is paired with one centre
 only, so pairs are bounded by bands times documents; pairs are confirmed on full sets.
-Two members can be alike without being like their centre. Buckets whose members are
-then still in different components get a second star around another centre, and what
-even that leaves apart is compared across components, so that no link is lost.
+Two members can be alike without being like their centre: what stands in buckets that
+still hold several components then is joined across components by an exact prefix
+join, so that no link is lost to the stars.
 """
 
 from __future__ import annotations
@@ -113,22 +113,35 @@ def _side(reps: DataFrame, side: str) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on their full sets."""
+    """The pairs (a, b) with 100 * intersection >= percent * union on their full sets. Sets grow with the corpus, so they are joined by the same shuffle at every size."""
     pairs = stored(pairs.distinct().join(_side(reps, "a"), "a").join(_side(reps, "b"), "b").filter(_plausible(percent)).select("a", "b"), f"{name}-pairs")
-    held = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
-    held = stored(held, f"{name}-sets")
-    a = held.select(F.col("id").alias("a"), F.col("members").alias("a_set"))
-    b = held.select(F.col("id").alias("b"), F.col("members").alias("b_set"))
+    centres = stored(sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("a"), F.col("members").alias("a_set")), f"{name}-sets")
+    met = pairs.hint("merge").join(sets.select(F.col("id").alias("b"), F.col("members").alias("b_set")), "b").join(centres.hint("merge"), "a")
     both = F.size(F.array_intersect("a_set", "b_set"))
     union = F.size("a_set") + F.size("b_set") - both
-    return stored(pairs.join(a, "a").join(b, "b").filter(100 * both >= percent * union).select("a", "b").distinct(), f"{name}-links")
+    return stored(met.filter(100 * both >= percent * union).select("a", "b").distinct(), f"{name}-links")
 
 
-def _split(crowded: DataFrame, found: DataFrame) -> DataFrame:
-    """Members (bucket, id, part) of the buckets that hold several components, with their component."""
-    placed = crowded.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("part"))
-    several = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
-    return stored(placed.join(several, "bucket", "left_semi"), "split")
+def _prefix_pairs(sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """All (a, b) of ``parts`` (id, part) in different parts that can reach ``percent``: an exact prefix join.
+
+    Shingles are ordered from rare to frequent. Two sets of that similarity share a
+    shingle among the first n - ceil(percent / 100 * n) + 1 of each, and what follows the
+    first shared place must be enough for the overlap they need; a copy with too many
+    shingles of its own has none but those in front and meets nobody.
+    """
+    held = stored(sets.join(parts, "id"), "split-sets")
+    tokens = held.select("id", F.explode("members").alias("token"))
+    often = stored(tokens.groupBy("token").agg(F.count("*").alias("often")), "shingle-counts")
+    ordered = tokens.join(often, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("tokens"))
+    n = F.size("tokens")
+    prefix = ordered.select("id", n.alias("n"), F.posexplode(F.slice("tokens", 1, n - F.ceil(n * percent / 100).cast("int") + 1)).alias("at", "x")).filter("x.often > 1")
+    prefix = stored(prefix.join(parts, "id").select("id", "part", "n", "at", F.col("x.token").alias("token")), "prefixes")
+    a, b = (prefix.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "part", "n", "at"))) for side in "ab")
+    overlap = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    enough = (100 + percent) * overlap >= percent * (F.col("a_n") + F.col("b_n"))
+    met = a.join(b, "token").filter((F.col("a_id") < F.col("b_id")) & (F.col("a_part") != F.col("b_part")) & enough)
+    return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 def minhash_dedup(df: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -156,20 +169,13 @@ def minhash_dedup(df: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_
     wanted = crowded.select("id").distinct()
     sets = stored(texts.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(n), "id long, members array<long>"), "shingle-sets")
 
-    # first stars: one centre for all buckets of a group, so that the pairs of different buckets are the same pairs
+    # stars: one centre for all buckets of a group, so that the pairs of different buckets are the same pairs
     links = _confirmed(crowded.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")), reps, sets, percent, "star")
-    # second stars: in buckets still split, another centre for each bucket, against the members of other components
-    rest = _split(crowded.select("bucket", "id"), components(links))
-    mark = F.xxhash64("bucket", "id")
-    picked = rest.groupBy("bucket").agg(F.min(mark).alias("mark"))
-    picked = stored(rest.withColumn("mark", mark).join(picked, ["bucket", "mark"]).select("bucket", F.col("id").alias("a"), F.col("part").alias("a_part")).dropDuplicates(["bucket"]), "centres")
-    second = rest.join(picked, "bucket").filter("part <> a_part").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
-    links = stored(links.unionByName(_confirmed(second, reps, sets, percent, "second-star")), "links")
-    # what is left: all pairs across components that a bucket shares and that sizes and sketches allow
-    rest = _split(crowded.select("bucket", "id"), components(links)).join(reps, "id")
-    a, b = (rest.select("bucket", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "part", "n", "s0", "s1"))) for side in "ab")
-    across = a.join(b, "bucket").filter((F.col("a_id") < F.col("b_id")) & (F.col("a_part") != F.col("b_part")) & _plausible(percent))
-    links = links.unionByName(_confirmed(across.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")), reps, sets, percent, "across"))
+    # members of buckets that hold several components even then: an exact join between components
+    placed = crowded.join(components(links), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("part"))
+    several = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
+    parts = stored(placed.join(several, "bucket", "left_semi").select("id", "part").distinct(), "split")
+    links = links.unionByName(_confirmed(_prefix_pairs(sets, parts, percent), reps, sets, percent, "across"))
 
     final = components(links).withColumnRenamed("id", "rep")
     placed = members.select("id", "rep").distinct().join(final, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))

@@ -32,7 +32,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash; filled as words turn up, emptied when it holds ``limit`` of them."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 

@@ -16,9 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from demandtide.llm.storage import stored
 from demandtide.llm.words import batch
 
 UNKNOWN = "und"
+BROADCAST_LANGUAGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -111,7 +113,9 @@ def _document_frequency(train: DataFrame, settings: Settings) -> tuple[np.ndarra
 
 def _sample(train: DataFrame, key: str, settings: Settings) -> DataFrame:
     """About ``sample`` rows of each language, chosen by a hash of the key; no ordering and no group is gathered."""
-    counts = train.groupBy("lang").agg(F.count("*").alias("of"))
+    counts = stored(train.groupBy("lang").agg(F.count("*").alias("of")), "language-counts")
+    if counts.count() <= BROADCAST_LANGUAGES:  # a join on the language itself would put a common one into one task
+        counts = F.broadcast(counts)
     mark = F.pmod(F.xxhash64(F.lit("language sample"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return train.withColumn("mark", mark).join(counts, "lang").filter(F.col("mark") < settings.sample / F.col("of")).select("mark", "lang", "text")
 

@@ -325,19 +325,19 @@ def _(spark, d):
     "category_features",
     with_sql(
         f"""WITH c AS (SELECT m, sum(offtake_il) AS total_vol, {', '.join(f"coalesce(sum(offtake_il) FILTER (tier = '{t}'), 0) AS {t.lower()}_vol" for t in ('ECONOMY', 'PROMO', 'SMALL'))} FROM panel GROUP BY m)
-        SELECT {ym('m')} AS date_to_predict, total_vol, economy_vol, promo_vol, small_vol FROM c WHERE m >= 23977""",
+        SELECT {ym('m')} AS date_to_predict, total_vol, economy_vol, promo_vol, small_vol FROM c""",
         "panel",
     ),
 )
 def _(spark, d):
-    """Category volumes carried on every panel row, read back once per target month since 1998."""
+    """Category volumes carried on every panel row, read back once per target month."""
     rows = panel(spark, d).select("sku", "m", "tier", "offtake_il")
     volumes = rows.groupBy("m").agg(
         F.sum("offtake_il").alias("total_vol"),
         *[F.sum(F.when(F.col("tier") == t, F.col("offtake_il")).otherwise(0.0)).alias(f"{t.lower()}_vol") for t in ("ECONOMY", "PROMO", "SMALL")],
     )
     wide = rows.join(F.broadcast(volumes), "m")  # one row per calendar month
-    targets = rows.select("m").distinct().filter("m >= 23977")
+    targets = rows.select("m").distinct()
     out = S.category_features(wide, "m", ["total_vol", "economy_vol", "promo_vol", "small_vol"], targets)
     return out.withColumn("date_to_predict", idx_to_ym("m")).drop("m")
 

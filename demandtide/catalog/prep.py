@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import date_of, div, query, r4, with_sql, ym
@@ -13,10 +15,6 @@ from demandtide.operators.quality import check_contract
 from demandtide.plans import prep as J
 
 _YM = f"{ym('m')} AS ym"
-# The sheet months of the wide queries, and their serial day numbers.
-YEAR_MONTHS = [f"1999{m:02d}" for m in range(1, 13)]
-SERIALS = ["36161", "36192", "36220", "36251", "36281", "36312", "36342", "36373", "36404", "36434", "36465", "36495"]
-_Y99 = "m BETWEEN 23989 AND 24000"
 BRANDS = [f"Brand#{b}" for b in range(1, 26)]
 GOODS = {"economy": "low", "promo": "low", "standard": "mid", "medium": "mid", "large": "high", "small": "high"}
 
@@ -30,10 +28,29 @@ def brand_months(spark, d):
 _BM = "bm AS (SELECT brand, tier, label, m, sum(qty) AS qty, sum(kept) AS kept FROM lines JOIN master USING (sku) GROUP BY ALL)"
 
 
-def wide_year(df, ids, value, names=YEAR_MONTHS, month="m"):
-    """One column per month of 1999."""
-    rows = df.filter(F.col(month).between(23989, 24000)).withColumn("_n", F.element_at(F.array(*[F.lit(n) for n in names]), F.col(month) - 23988))
-    return rows.groupBy(*ids).pivot("_n", list(names)).agg(F.sum(value))
+def sheet_months(spark, d):
+    """All months of the data, as month indices; their number is bounded by the calendar."""
+    first, last = lines(spark, d).agg(F.min("m"), F.max("m")).first()
+    return range(first, last + 1)
+
+
+def spelled(months):
+    return [f"{(m - 1) // 12}{(m - 1) % 12 + 1:02d}" for m in months]
+
+
+def serials(months):
+    """Spreadsheet day numbers of the months' first days."""
+    return [str((date((m - 1) // 12, (m - 1) % 12 + 1, 1) - date(1899, 12, 30)).days) for m in months]
+
+
+def sheet_name(months, names):
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.col("m") - (months[0] - 1))
+
+
+def wide_months(df, ids, value, months, names=None):
+    """One column per month."""
+    names = names or spelled(months)
+    return df.withColumn("_n", sheet_name(months, names)).groupBy(*ids).pivot("_n", list(names)).agg(F.sum(value))
 
 
 @query(
@@ -88,11 +105,12 @@ def _(spark, d):
 
 @query(
     "job_unit_price",
-    with_sql(f"SELECT sku, {_YM}, sum(qty) AS value, sum(kept) AS volume, {r4(div('sum(qty)', 'sum(kept)'))} AS price FROM lines WHERE {_Y99} GROUP BY ALL HAVING sum(kept) <> 0", "lines"),
+    with_sql(f"SELECT sku, {_YM}, sum(qty) AS value, sum(kept) AS volume, {r4(div('sum(qty)', 'sum(kept)'))} AS price FROM lines GROUP BY ALL HAVING sum(kept) <> 0", "lines"),
 )
 def _(spark, d):
     monthly = lines(spark, d).groupBy("sku", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
-    out = J.unit_price(wide_year(monthly, ["sku"], "qty"), wide_year(monthly, ["sku"], "kept"), ["sku"], YEAR_MONTHS)
+    months = sheet_months(spark, d)
+    out = J.unit_price(wide_months(monthly, ["sku"], "qty", months), wide_months(monthly, ["sku"], "kept", months), ["sku"], spelled(months))
     return out.select("sku", F.col("month").cast("int").alias("ym"), "value", "volume", round_places("price").alias("price"))
 
 
@@ -100,18 +118,19 @@ def _(spark, d):
     "job_sellin_long",
     with_sql(
         f"""SELECT s.sku, name, {date_of('m')} AS date, sum(qty) AS volume, CASE WHEN m < 23995 THEN 'actual' ELSE 'forecasted' END AS status
-        FROM lines s JOIN (SELECT sku, p_name AS name, tier FROM master WHERE tier IN ('LARGE', 'SMALL', 'PROMO')) USING (sku) WHERE {_Y99} GROUP BY ALL""",
+        FROM lines s JOIN (SELECT sku, p_name AS name, tier FROM master WHERE tier IN ('LARGE', 'SMALL', 'PROMO')) USING (sku) GROUP BY ALL""",
         "lines", "master",
     ),
 )
 def _(spark, d):
     monthly = lines(spark, d).groupBy("sku", "m").agg(F.sum("qty").alias("qty"))
     tiers = hierarchy(spark, d).select("sku", "tier")
-    sheet = wide_year(monthly, ["sku"], "qty", SERIALS).join(tiers, "sku")
+    months = sheet_months(spark, d)
+    sheet = wide_months(monthly, ["sku"], "qty", months, serials(months)).join(tiers, "sku")
     # A product mapped under another tier contradicts its sheet and is dropped.
     known = F.when(F.col("tier").isin("LARGE", "SMALL", "PROMO"), F.col("tier")).otherwise("other")
     mapping = master(spark, d).select("sku", F.col("p_name").alias("name"), known.alias("mapped_tier"))
-    return J.sellin_long(sheet, mapping, "sku", ["name"], SERIALS, "1999-07-14").select("sku", "name", "date", "volume", "status")
+    return J.sellin_long(sheet, mapping, "sku", ["name"], serials(months), "1999-07-14").select("sku", "name", "date", "volume", "status")
 
 
 @query(
@@ -175,7 +194,7 @@ def _(spark, d):
 
 @query(
     "job_sp_inventory",
-    f"""SELECT l_orderkey, l_partkey, l_linenumber, coalesce(a.p_name, b.p_name, CAST(l_partkey AS VARCHAR)) AS sku, {r4(div('l_extendedprice', 'l_quantity'))} AS price FROM lineitem
+    f"""SELECT l_orderkey, l_partkey, l_linenumber, coalesce(b.p_name, a.p_name) AS sku, {r4(div('l_extendedprice', 'l_quantity'))} AS price FROM lineitem
         LEFT JOIN (SELECT p_partkey AS k, p_name FROM part WHERE p_type <> 'PROMO') a ON l_partkey = a.k
         LEFT JOIN (SELECT p_partkey + 7 AS k, p_name FROM part WHERE p_type <> 'PROMO') b ON l_partkey = b.k""",
 )
@@ -278,67 +297,65 @@ def _(spark, d):
     return J.unit_table(first, second, names, "p_partkey").select("name", "grams")
 
 
-UPLIFT_MONTHS = [f"{m}/1/1999" for m in range(1, 13)]
-
-
 @query(
     "job_uplift_long",
-    with_sql(f"WITH {_BM} SELECT brand, tier, {date_of('m')} AS date, floor(sum(kept)) / 100 AS uplift FROM bm WHERE {_Y99} GROUP BY ALL", "lines", "master"),
+    with_sql(f"WITH {_BM} SELECT brand, tier, {date_of('m')} AS date, floor(sum(kept)) / 100 AS uplift FROM bm GROUP BY ALL", "lines", "master"),
 )
 def _(spark, d):
     percent = F.concat(F.col("kept").cast("bigint").cast("string"), F.lit("%"))
     sums = brand_months(spark, d).groupBy("brand", "tier", "m").agg(F.sum("kept").alias("kept")).withColumn("pct", percent)
-    names = F.element_at(F.array(*[F.lit(n) for n in UPLIFT_MONTHS]), F.col("m") - 23988)
-    wide = sums.filter("m BETWEEN 23989 AND 24000").withColumn("_n", names).groupBy("brand", "tier").pivot("_n", UPLIFT_MONTHS).agg(F.max("pct"))
-    return J.months_long(wide, ["brand", "tier"], UPLIFT_MONTHS, "uplift").select("brand", "tier", "date", "uplift")
+    months = sheet_months(spark, d)
+    names = [f"{(m - 1) % 12 + 1}/1/{(m - 1) // 12}" for m in months]
+    wide = sums.withColumn("_n", sheet_name(months, names)).groupBy("brand", "tier").pivot("_n", names).agg(F.max("pct"))
+    return J.months_long(wide, ["brand", "tier"], names, "uplift").select("brand", "tier", "date", "uplift")
 
 
 @query(
     "job_unified_split",
     with_sql(
         f"""WITH h AS (SELECT brand, channel, sum(qty) AS q FROM channel_lines JOIN master USING (sku) GROUP BY ALL), r AS (SELECT brand, channel, {div('q', 'sum(q) OVER (PARTITION BY brand)')} AS sr FROM h),
-        {_BM}, w AS (SELECT brand, m, sum(qty) AS offtake, sum(kept) AS sellin FROM bm WHERE {_Y99} AND brand NOT IN ('Brand#3', 'Brand#4') GROUP BY ALL)
+        {_BM}, w AS (SELECT brand, m, sum(qty) AS offtake, sum(kept) AS sellin FROM bm WHERE brand NOT IN ('Brand#3', 'Brand#4') GROUP BY ALL)
         SELECT brand, channel, {_YM}, {r4('offtake * sr')} AS offtake, {r4('sellin * sr')} AS sellin FROM r JOIN w USING (brand)""",
         "channel_lines", "lines", "master",
     ),
 )
 def _(spark, d):
     base = brand_months(spark, d)
-    sheets = [wide_year(base, ["brand"], col).withColumn("measure", F.lit(name)) for col, name in (("qty", "Off"), ("kept", "In"))]
+    months = sheet_months(spark, d)
+    sheets = [wide_months(base, ["brand"], col, months).withColumn("measure", F.lit(name)) for col, name in (("qty", "Off"), ("kept", "In"))]
     out_of_scope = hierarchy(spark, d).filter("brand IN ('Brand#3', 'Brand#4')").select("brand").distinct()
     sums = channel_lines(spark, d).groupBy("sku", "channel").agg(F.sum("qty").alias("qty")).join(hierarchy(spark, d), "sku")
     from demandtide.operators.aggregating import split_ratio
 
     shares = split_ratio(sums, ["brand", "channel"], ["brand"], "qty").drop("qty")
-    out = J.unified_split(sheets[0].unionByName(sheets[1]), ["brand"], YEAR_MONTHS, {"Off": "offtake", "In": "sellin"}, out_of_scope, shares, "brand")
+    out = J.unified_split(sheets[0].unionByName(sheets[1]), ["brand"], spelled(months), {"Off": "offtake", "In": "sellin"}, out_of_scope, shares, "brand")
     return out.select("brand", "channel", F.col("month").cast("int").alias("ym"), round_places("offtake").alias("offtake"), round_places("sellin").alias("sellin"))
 
 
 @query(
     "job_unified_blocks",
     with_sql(
-        f"""WITH {_BM}, g AS (SELECT tier, m, CASE WHEN label = 'di' THEN 'Ali' ELSE 'Total' END AS channel, sum(qty) AS q, sum(kept) AS k FROM bm WHERE {_Y99} GROUP BY ALL)
+        f"""WITH {_BM}, g AS (SELECT tier, m, CASE WHEN label = 'di' THEN 'Ali' ELSE 'Total' END AS channel, sum(qty) AS q, sum(kept) AS k FROM bm GROUP BY ALL)
         SELECT tier AS sku, channel, {_YM}, sum(q) AS offtake, sum(CASE WHEN channel = 'Total' THEN k ELSE 0 END) AS stock FROM g WHERE tier <> 'PROMO' GROUP BY ALL""",
         "lines", "master",
     ),
 )
 def _(spark, d):
     """Two channel blocks side by side with text cells; one row per tier and kind."""
-    base = brand_months(spark, d)
+    base, months = brand_months(spark, d), sheet_months(spark, d)
+    names = spelled(months)
 
     def sheet(value, kind):
-        rows = base.filter("m BETWEEN 23989 AND 24000").withColumn(
-            "_n", F.concat(F.when(F.col("label") == "di", "a").otherwise("t"), F.element_at(F.array(*[F.lit(n) for n in YEAR_MONTHS]), F.col("m") - 23988))
-        )
-        columns = [f"{side}{n}" for side in "at" for n in YEAR_MONTHS]
+        rows = base.withColumn("_n", F.concat(F.when(F.col("label") == "di", "a").otherwise("t"), sheet_name(months, names)))
+        columns = [f"{side}{n}" for side in "at" for n in names]
         wide = rows.groupBy("tier").pivot("_n", columns).agg(F.sum(value))
         texts = [F.coalesce(F.format_number(c, 1), F.lit(" - ")).alias(c) for c in columns]
         return wide.select("tier", F.lit(kind).alias("kind"), *texts)
 
-    blocks = {"Ali": [f"a{n}" for n in YEAR_MONTHS], "Total": [f"t{n}" for n in YEAR_MONTHS]}
+    blocks = {"Ali": [f"a{n}" for n in names], "Total": [f"t{n}" for n in names]}
     products = hierarchy(spark, d).select("tier").distinct().filter("tier != 'PROMO'").withColumn("sku", F.col("tier"))
     out = J.unified_blocks(
-        sheet("qty", "OFF").unionByName(sheet("kept", "INV")), ["tier", "kind"], blocks, YEAR_MONTHS, products, "tier",
+        sheet("qty", "OFF").unionByName(sheet("kept", "INV")), ["tier", "kind"], blocks, names, products, "tier",
         {"OFF": "offtake", "INV": "stock"}, ["INV"],
     )
     return out.select("sku", "channel", F.col("month").cast("int").alias("ym"), "offtake", "stock")
@@ -347,8 +364,8 @@ def _(spark, d):
 @query(
     "job_unified_uplift",
     with_sql(
-        f"""WITH v AS (SELECT brand AS section, tier AS stage, m, sum(qty) AS volume FROM lines JOIN master USING (sku) WHERE {_Y99} GROUP BY ALL),
-        h AS (SELECT brand AS section, tier AS stage, m, channel, sum(kept) AS k FROM channel_lines JOIN master USING (sku) WHERE {_Y99} GROUP BY ALL),
+        f"""WITH v AS (SELECT brand AS section, tier AS stage, m, sum(qty) AS volume FROM lines JOIN master USING (sku) GROUP BY ALL),
+        h AS (SELECT brand AS section, tier AS stage, m, channel, sum(kept) AS k FROM channel_lines JOIN master USING (sku) GROUP BY ALL),
         s AS (SELECT section, stage, m, channel, CASE WHEN sum(k) OVER w = 0 THEN 1.0 / count(*) OVER w ELSE k / sum(k) OVER w END AS share FROM h WINDOW w AS (PARTITION BY section, stage, m))
         SELECT section, stage, channel, {_YM}, {r4("volume * share * (1 + CASE WHEN channel = '1-URGENT' THEN 0.25 ELSE 0 END)")} AS quantity FROM v JOIN s USING (section, stage, m)""",
         "lines", "channel_lines", "master",
@@ -358,21 +375,22 @@ def _(spark, d):
     """A sheet with the brand as section row and its tiers as stage rows below."""
     base = brand_months(spark, d)
     number = F.split_part("brand", F.lit("#"), F.lit(2)).cast("long") * 1000
-    stages = wide_year(base, ["brand", "tier"], "qty").withColumn(
+    months = sheet_months(spark, d)
+    stages = wide_months(base, ["brand", "tier"], "qty", months).withColumn(
         "row_no", number + F.row_number().over(_order_by_tier())
     ).withColumn("stage", F.col("tier")).withColumn("section_name", F.lit(None).cast("string"))
     heads = hierarchy(spark, d).select("brand").distinct().select(
         number.alias("row_no"), F.col("brand").alias("section_name"), F.lit(None).cast("string").alias("stage")
     )
     sheet = stages.drop("brand", "tier").unionByName(heads, allowMissingColumns=True).withColumn("sheet", F.lit("plan"))
-    sums = channel_lines(spark, d).filter("m BETWEEN 23989 AND 24000").groupBy("sku", "channel", "m").agg(F.sum("kept").alias("volume"))
+    sums = channel_lines(spark, d).groupBy("sku", "channel", "m").agg(F.sum("kept").alias("volume"))
     history = group_sum(
         sums.join(hierarchy(spark, d), "sku").select(F.col("brand").alias("section"), F.col("tier").alias("stage"), "channel", idx_to_ym("m").alias("ym"), "volume"),
         ["section", "stage", "ym", "channel"], ["volume"],
     )
     products = hierarchy(spark, d).select(F.col("brand").alias("section"), F.col("tier").alias("stage")).distinct()
     uplift = products.select("section", F.lit("1-URGENT").alias("channel"), F.lit(0.25).alias("uplift")).distinct()
-    out = J.unified_uplift(sheet, "sheet", YEAR_MONTHS, history, products, uplift)
+    out = J.unified_uplift(sheet, "sheet", spelled(months), history, products, uplift)
     return out.withColumn("quantity", round_places("quantity"))
 
 

@@ -75,7 +75,7 @@ def _(spark, d):
 
 @query(
     "fallback_lookup",
-    """SELECT l_orderkey, l_partkey, l_linenumber, coalesce(a.p_name, b.p_name, CAST(l_partkey AS VARCHAR)) AS product FROM lineitem
+    """SELECT l_orderkey, l_partkey, l_linenumber, coalesce(b.p_name, a.p_name) AS product FROM lineitem
         LEFT JOIN (SELECT p_partkey AS k, p_name FROM part WHERE p_type IN ('LARGE', 'SMALL')) a ON l_partkey = a.k
         LEFT JOIN (SELECT p_partkey + 1 AS k, p_name FROM part WHERE p_type IN ('LARGE', 'SMALL')) b ON l_partkey = b.k""",
 )

@@ -114,14 +114,13 @@ def _(spark, d):
 @query(
     "zero_invalid",
     with_sql(
-        f"""WITH {_FUT}, h AS (SELECT label, sku, sum(sellin) AS s FROM sku_label WHERE m > 24000 GROUP BY ALL)
+        f"""WITH {_FUT}, h AS (SELECT label, sku, sum(sellin) AS s FROM sku_label GROUP BY ALL)
         SELECT f.sku, f.label, {_YM}, horizon, CASE WHEN s = 0 THEN 0.0 ELSE prediction END AS prediction FROM (SELECT sku, label, m, CAST(horizon AS INTEGER) AS horizon, prediction FROM fut) f LEFT JOIN h ON h.label = f.label AND h.sku = f.sku""",
         "sku_label", "lines",
     ),
 )
 def _(spark, d):
-    history = sku_label(spark, d).filter("m > 24000")
-    return _out(O.zero_invalid(future(spark, d), history, "sku", "sellin"))
+    return _out(O.zero_invalid(future(spark, d), sku_label(spark, d), "sku", "sellin"))
 
 
 @query(
@@ -187,14 +186,14 @@ def _(spark, d):
 @query(
     "switch_by_date",
     with_sql(
-        f"""SELECT sku, label, lag, {_YM}, {ym('cycle')} AS dwp, forecast * CASE WHEN {ym('cycle')} <= 199804 THEN 1 ELSE 2 END AS prediction FROM cycles WHERE lag IN (1, 6)""",
+        f"""SELECT sku, label, lag, {_YM}, {ym('cycle')} AS dwp, forecast * CASE WHEN {ym('cycle')} <= 199804 THEN 1 ELSE 2 END AS prediction FROM cycles""",
         "cycles",
     ),
 )
 def _(spark, d):
     from demandtide.catalog.roles import cycles
 
-    made = cycles(spark, d).filter("lag IN (1, 6)").select("sku", "label", "lag", "m", idx_to_ym("cycle").alias("dwp"), F.col("forecast").alias("prediction"))
+    made = cycles(spark, d).select("sku", "label", "lag", "m", idx_to_ym("cycle").alias("dwp"), F.col("forecast").alias("prediction"))
     return _out(O.switch_by_date(made, made.withColumn("prediction", F.col("prediction") * 2), "dwp", 199804))
 
 
@@ -306,14 +305,14 @@ def _(spark, d):
 
 
 _EIB = """eo AS (SELECT sku, m, sum(qty) AS offtake FROM lines WHERE label = 'eib' AND make_date(CAST((m - 1) // 12 AS BIGINT), CAST((m - 1) % 12 + 1 AS BIGINT), 1) < DATE '2001-06-15' - 60 GROUP BY ALL),
-  es AS (SELECT sku, m, sum(kept) AS sellin FROM lines WHERE label = 'eib' AND m >= 23960 GROUP BY ALL)"""
+  es AS (SELECT sku, m, sum(kept) AS sellin FROM lines WHERE label = 'eib' GROUP BY ALL)"""
 
 
 @query("actuals_eib", with_sql(f"WITH {_EIB} SELECT eo.sku, {ym('eo.m')} AS ym, 'NewChannel' AS channel, offtake, sellin FROM eo LEFT JOIN es ON es.sku = eo.sku AND es.m = eo.m", "lines"))
 def _(spark, d):
     rows = lines(spark, d).filter("label = 'eib'")
     produced = rows.withColumn("offtake", F.col("qty")).withColumn("produced_date", F.lit("2001-06-15").cast("date"))
-    sellin = rows.filter("m >= 23960").withColumn("sellin", F.col("kept"))
+    sellin = rows.withColumn("sellin", F.col("kept"))
     return _out(G.actuals_eib(produced, sellin, "sku", "m", idx_to_date("m")))
 
 

@@ -7,17 +7,25 @@ remainder by 12 is zero.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, functions as F
 
 # Public dates of the Lunar New Year, one per Gregorian year.
 LUNAR_NEW_YEAR = {
+    1990: "01-27", 1991: "02-15", 1992: "02-04",
     1993: "01-23", 1994: "02-10", 1995: "01-31", 1996: "02-19", 1997: "02-07",
     1998: "01-28", 1999: "02-16", 2000: "02-05", 2001: "01-24", 2002: "02-12",
     2003: "02-01", 2004: "01-22", 2005: "02-09", 2006: "01-29", 2007: "02-18",
     2008: "02-07", 2009: "01-26", 2010: "02-14", 2011: "02-03", 2012: "01-23",
     2013: "02-10", 2014: "01-31", 2015: "02-19", 2016: "02-08", 2017: "01-28",
     2018: "02-16", 2019: "02-05", 2020: "01-25", 2021: "02-12", 2022: "02-01",
-    2023: "01-22", 2024: "02-10", 2025: "01-29",
+    2023: "01-22", 2024: "02-10", 2025: "01-29", 2026: "02-17", 2027: "02-06",
+    2028: "01-26", 2029: "02-13", 2030: "02-03", 2031: "01-23", 2032: "02-11",
+    2033: "01-31", 2034: "02-19", 2035: "02-08", 2036: "01-28", 2037: "02-15",
+    2038: "02-04", 2039: "01-24", 2040: "02-12", 2041: "02-01", 2042: "01-22",
+    2043: "02-10", 2044: "01-30", 2045: "02-17", 2046: "02-06", 2047: "01-26",
+    2048: "02-14", 2049: "02-02", 2050: "01-23",
 }
 # Day zero of the two spreadsheet serial-date conventions in use.
 SERIAL_BASE_1900 = "1900-01-01"
@@ -109,13 +117,18 @@ def in_cycle_window(date: Column | str, cycle: Column | str, first: int, last: i
     return F.trunc(_c(date), "month").between(F.add_months(base, first), F.add_months(base, last))
 
 
-def lunar_month(year: Column | str) -> Column:
-    """Month in which the Lunar New Year effect falls: one later when the day is past the 24th."""
+def lunar_month(year: Column | str, dates: Mapping[int, str] = LUNAR_NEW_YEAR) -> Column:
+    """Month in which the Lunar New Year effect falls: one later when the day is past the 24th.
+
+    ``dates`` holds the day of each year as ``MM-dd``. The job fails for a year that is not held; a null year gives null.
+    """
     entries = []
-    for y, month_day in LUNAR_NEW_YEAR.items():
+    for y, month_day in dates.items():
         month, day = (int(part) for part in month_day.split("-"))
         entries += [F.lit(y), F.lit(month + (1 if day > 24 else 0))]
-    return F.try_element_at(F.create_map(*entries), _c(year).cast("int"))
+    year = _c(year).cast("int")
+    missing = F.raise_error(F.concat(F.lit("no date of the Lunar New Year for "), year.cast("string"))).cast("int")
+    return F.when(year.isNotNull(), F.coalesce(F.try_element_at(F.create_map(*entries), year), missing))
 
 
 def season_terms(ym: Column | str) -> tuple[Column, Column, Column]:

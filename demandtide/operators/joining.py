@@ -26,13 +26,13 @@ def unmapped_keys(df: DataFrame, mapping: DataFrame, df_key: str, map_key: str)
 def fallback_lookup(
     df: DataFrame, mapping: DataFrame, key: str, new_key: str, old_key: str, value: str, out: str
 ) -> DataFrame:
-    """Value found by the new code, else by the old code, else the key itself."""
-    by_new = mapping.select(F.col(new_key).alias(key), F.col(value).alias("_by_new")).dropna().dropDuplicates([key])
-    by_old = mapping.select(F.col(old_key).alias(key), F.col(value).alias("_by_old")).dropna().dropDuplicates([key])
-    joined = df.join(by_new, key, "left").join(by_old, key, "left")
-    return joined.withColumn(out, F.coalesce("_by_new", "_by_old", F.col(key).cast("string"))).drop(
-        "_by_new", "_by_old"
-    )
+    """Value found by the old code, else by the new code, else null. A repeated code stands for its smallest value."""
+
+    def found(code: str, name: str) -> DataFrame:
+        return mapping.select(F.col(code).alias(key), F.col(value).alias(name)).dropna().groupBy(key).agg(F.min(name).alias(name))
+
+    joined = df.join(found(old_key, "_by_old"), key, "left").join(found(new_key, "_by_new"), key, "left")
+    return joined.withColumn(out, F.coalesce("_by_old", "_by_new")).drop("_by_old", "_by_new")
 
 
 def cardinality_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -41,14 +41,17 @@ def cardinality_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows; the job fails where a key occurs twice."""
+    """The same rows; the job fails where a key occurs twice. The maximum of a column over one row is its value."""
     rest = [col for col in df.columns if col not in keys]
+    packed = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.max(col).alias(col) for col in rest])
+    return packed.filter(at_most_one(["_n"], keys)).select(*keys, *rest)
+
+
+def at_most_one(counts: Sequence[str], keys: Sequence[str]) -> Column:
+    """True where no count of rows is above one; the job fails elsewhere."""
     message = F.lit(f"more than one row for key {', '.join(keys)}")
-    packed = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest) if rest else F.lit(1)).alias("_row")
-    )
-    checked = packed.withColumn("_row", F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message)))
-    return checked.select(*keys, *([f"_row.{col}" for col in rest] if rest else []))
+    repeated = reduce(lambda a, b: a | b, [F.col(count) > 1 for count in counts])
+    return F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
 
 
 def join_many_to_one(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -68,16 +71,18 @@ def fold_join(frames: Sequence[DataFrame], key_names: Sequence[str], how: str =
 def outer_panels(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """Full outer join of long facts as one grouped union: a single shuffle for any number of frames.
 
-    Every frame must hold at most one row per key. Columns outside the key are
-    null where a frame lacks the key.
+    Every frame must hold at most one row per key; the job fails where one holds
+    more. Columns outside the key are null where a frame lacks the key.
     """
     names = [[col for col in frame.columns if col not in on] for frame in frames]
+    counts = [f"_rows_{k}" for k in range(len(frames))]
     parts = []
-    for frame, own in zip(frames, names):
-        parts.append(frame.select(*on, *own))
+    for frame, own, count in zip(frames, names, counts):
+        parts.append(frame.select(*on, *own, F.lit(1).alias(count)))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     values = [col for own in names for col in own]
-    return stacked.groupBy(*on).agg(*[F.max(col).alias(col) for col in values])
+    joined = stacked.groupBy(*on).agg(*[F.max(col).alias(col) for col in values], *[F.count(count).alias(count) for count in counts])
+    return joined.filter(at_most_one(counts, on)).drop(*counts)
 
 
 def with_month_totals(df: DataFrame, month: str, **aggregates: Column) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from demandtide.operators.joining import at_most_one
+
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -49,9 +51,11 @@ def stack_labels(df: DataFrame, ids: Sequence[str], labels: Sequence[str], measu
 
 
 def label_pivot(df: DataFrame, keys: Sequence[str], labels: Sequence[str], value: str, name: str) -> DataFrame:
-    """Wide form with one column per label; only keys present for every label remain."""
+    """Wide form with one column per label; only keys present for every label remain. The job fails where a label has two rows."""
     aggs: list[Column] = []
-    for label in labels:
-        aggs.append(F.max(F.when(F.col("label") == label, F.col(value))).alias(name.format(label=label)))
-    held = F.count_distinct(F.when(F.col("label").isin(*labels), F.col("label"))).alias("_held")
-    return df.groupBy(*keys).agg(*aggs, held).filter(F.col("_held") == len(labels)).drop("_held")
+    counts = [f"_rows_{k}" for k in range(len(labels))]
+    for label, count in zip(labels, counts):
+        of_label = F.col("label") == label
+        aggs += [F.max(F.when(of_label, F.col(value))).alias(name.format(label=label)), F.count(F.when(of_label, 1)).alias(count)]
+    everywhere = reduce(lambda a, b: a & b, [F.col(count) > 0 for count in counts])
+    return df.groupBy(*keys).agg(*aggs).filter(at_most_one(counts, [*keys, "label"])).filter(everywhere).drop(*counts)

@@ -168,7 +168,7 @@ def end_to_end(
     made, _ = direct_forecast(held, keys, features, cutoff, list(range(1, modelled + 1)), spec)
     rows = written(
         made.select(
-            *keys, ym_to_idx("date_to_predict").alias("m"), (F.col("horizon") - DATA_LAG).alias("horizon"), F.col("prediction").alias("yhat")
+            *keys, ym_to_idx("date_to_predict").alias("m"), (F.col("horizon") - (DATA_LAG + 1)).alias("horizon"), F.col("prediction").alias("yhat")
         )
     )
     if requested <= MAX_MODEL_HORIZON:

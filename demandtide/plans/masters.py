@@ -91,8 +91,7 @@ def raw_master_il(
     known = join_many_to_one(stacked, attributes, sku, "inner")
     placed = join_many_to_one(known, availability, availability_keys)
     priced = join_many_to_one(placed, prices, [*sku, month])
-    # Market and category tables hold one row per calendar month.
-    monthly = priced.join(F.broadcast(market), month, "left").join(F.broadcast(category), month, "left")
+    monthly = join_many_to_one(join_many_to_one(priced, market, [month]), category, [month])
     il = {
         f"{name}_il": coalesce_zero(f"{name}_di") + coalesce_zero(f"{name}_eib") for name in ("offtake", "sellin")
     }

@@ -110,7 +110,7 @@ def with_unit_price(df: DataFrame, revenue: str, quantity: str, out: str = "pric
 
 
 def stock(df: DataFrame, codes: DataFrame, key: str, new: str, old: str, value: str, revenue: str, quantity: str) -> DataFrame:
-    """Stock rows with a product, named by the new code, else the old one, with unit price."""
+    """Stock rows with a product, named by the old code, else the new one, with unit price."""
     named = fallback_lookup(df.dropna(subset=[key]), codes, key, new, old, value, "sku")
     return with_unit_price(named, revenue, quantity)
 

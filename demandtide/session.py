@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,19 +23,21 @@ def build_session(app: str = "demandtide", master: str | None = None, **conf) ->
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """New folder under the one the cluster names; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"demandtide-{name}-") + "/data"
+    """New folder under the one the cluster names in spark.checkpoint.dir, else under the warehouse; both are shared."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str = "stage") -> DataFrame:
-    """The same rows as a stored columnar table, for a frame that several branches read.
+    """The same rows held once, for a frame that several branches read.
 
-    Cuts the lineage, survives the loss of executors, and gives the planner a
-    known size to choose joins by.
+    Where the cluster names a shared folder, as a stored columnar table: it cuts the
+    lineage, survives the loss of executors, and gives the planner a known size to
+    choose joins by. Elsewhere the executors keep the rows; what a lost one held is
+    computed again.
     """
+    if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        return df.persist()
     folder = shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

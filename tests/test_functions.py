@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from demandtide.functions import cleaning as C, periods as P
@@ -32,7 +33,10 @@ def test_serial_dates_differ_by_two_days(spark):
 
 
 def test_lunar_month_moves_past_the_24th(spark):
-    assert one(spark, *[P.lunar_month(F.lit(y)) for y in (2018, 2019, 2020, 2023, 1900)]) == (2, 2, 2, 1, None)
+    assert one(spark, *[P.lunar_month(F.lit(y)) for y in (2018, 2019, 2020, 2023, 2026, 2028)]) == (2, 2, 2, 1, 2, 2)
+    assert one(spark, P.lunar_month(F.lit(None).cast("int"))) == (None,)
+    with pytest.raises(PySparkException):
+        one(spark, P.lunar_month(F.lit(1900)))
 
 
 # Week counts of months: a week belongs to the month of its Monday, week 1 to January.

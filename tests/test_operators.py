@@ -63,6 +63,28 @@ def test_outer_panels_equal_chain_of_outer_joins(spark, rows):
     c = spark.createDataFrame([(3, 7.0)], "k int, c double")
     chain = a.join(b, "k", "full").join(c, "k", "full")
     assert rows(J.outer_panels([a, b, c], ["k"]), "k") == rows(chain, "k")
+    twice = spark.createDataFrame([(2, 5.0), (2, 7.0)], "k int, b double")
+    with pytest.raises(PySparkException):
+        J.outer_panels([a, twice], ["k"]).collect()
+
+
+def test_label_pivot_fails_on_a_repeated_label(spark, rows):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "b", None), (2, "a", 3.0)], "k int, label string, v double")
+    assert rows(R.label_pivot(df, ["k"], ["a", "b"], "v", "v_{label}")) == [(1, 1.0, None)]
+    with pytest.raises(PySparkException):
+        R.label_pivot(df.unionByName(df), ["k"], ["a", "b"], "v", "v_{label}").collect()
+
+
+def test_stored_or_held_intermediates(spark, tmp_path):
+    from demandtide.session import shared_folder, written
+
+    df = spark.range(5)
+    assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert written(df).inputFiles() and not df.storageLevel.useMemory
+    class Unset:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, *default: str(tmp_path) if "warehouse" in key else default[0])})
+
+    assert shared_folder(Unset, "x").startswith(str(tmp_path))
 
 
 def test_shares_and_fallbacks(spark, rows):
@@ -74,7 +96,10 @@ def test_shares_and_fallbacks(spark, rows):
 def test_fallback_lookup(spark, rows):
     codes = spark.createDataFrame([(10, 1, "new"), (20, 2, "old")], "n int, o int, name string")
     df = spark.createDataFrame([(10,), (2,), (5,)], "k int")
-    assert rows(J.fallback_lookup(df, codes, "k", "n", "o", "name", "out"), "k") == [(2, "old"), (5, "5"), (10, "new")]
+    assert rows(J.fallback_lookup(df, codes, "k", "n", "o", "name", "out"), "k") == [(2, "old"), (5, None), (10, "new")]
+    swapped = spark.createDataFrame([("A", "B", "old-name"), ("C", "A", "new-name"), ("A", "D", "older")], "o string, n string, name string")
+    keys = spark.createDataFrame([("A",), ("Z",), (None,)], "k string")
+    assert rows(J.fallback_lookup(keys, swapped, "k", "n", "o", "name", "out"), "k") == [(None, None), ("A", "old-name"), ("Z", None)]
 
 
 def test_rolled_values_match_pandas(panel):

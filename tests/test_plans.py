@@ -254,3 +254,19 @@ def test_direct_forecast_learns_a_copy(spark):
 def test_selected_features():
     assert L.features_for(2, ["a", "b"], {2: ["b"]}, ["pop"]) == ["b", "pop"]
     assert L.features_for(3, ["a", "b"], {2: ["b"]}) == ["a", "b"]
+
+
+def test_end_to_end_horizons_start_at_the_data(spark):
+    from demandtide.plans import forecasting as L
+
+    cutoff = 200012
+    ym = lambda m: (m - 1) // 12 * 100 + (m - 1) % 12 + 1
+    base = 2000 * 12 + 12
+    rows = [("a", ym(o), ym(o + h), h, float(h), 1.0 + h) for o in range(base - 20, base + 1) for h in range(1, 16)]
+    table = spark.createDataFrame(rows, "sku string, date_when_predicting int, date_to_predict int, horizon int, x double, target double")
+    actual = spark.createDataFrame([("a", base - k, 1.0) for k in range(36)], "sku string, m int, sold double")
+    spec = L.ModelSpec("DecisionTreeRegressor", {"maxDepth": 1})
+    got = L.end_to_end(table, actual, ["sku"], ["x"], cutoff, 5, spec, "sold")
+    assert sorted((r.horizon, r.m) for r in got.collect()) == [(h, base + h + 3) for h in range(-2, 6)]
+    far = L.end_to_end(table, actual, ["sku"], ["x"], cutoff, 12, spec, "sold")
+    assert sorted(r.horizon for r in far.collect()) == list(range(-2, 13))

@@ -25,7 +25,7 @@ _FLOW = """flow AS (SELECT sku, m, channel, 'offtake' AS type, sum(qty) AS quant
 
 
 def tradeflow(spark, d):
-    """Three rows per line in one pass over the joined fact, summed to month, channel and type."""
+    """The joined fact is summed to both months, channel and status; three rows each are then summed to month, channel and type."""
     kind = F.when(F.col("status") == "F", "sellin").when(F.col("status") == "O", "retailer_inv").otherwise("sp_inv")
 
     def row(month, channel, type_, quantity):
@@ -36,7 +36,8 @@ def tradeflow(spark, d):
         row(F.col("om"), F.col("channel"), F.lit("sellout"), F.col("qty")),
         row(F.col("m"), F.lit(M.TOTAL_CHANNEL), kind, F.col("kept")),
     )
-    long = channel_lines(spark, d).filter("label = 'di'").select("sku", F.explode(rows).alias("e")).select("sku", "e.*")
+    sums = channel_lines(spark, d).filter("label = 'di'").groupBy("sku", "m", "om", "channel", "status").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+    long = sums.select("sku", F.explode(rows).alias("e")).select("sku", "e.*")
     return group_sum(long, ["sku", "m", "channel", "type"], ["quantity"])
 
 

@@ -103,9 +103,10 @@ def last_month(spark: SparkSession, folder: str) -> Column:
 
 
 def based(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
-    """Sales of a month beside the sales twelve months earlier, in one aggregation and no self join."""
+    """Sales of a month beside the sales twelve months earlier, without a self join."""
     scopes = F.explode(F.array("label", F.lit("il"))) if with_il else F.col("label")
-    both = lines(spark, folder).select("sku", scopes.alias("label"), "m", "qty").select(
+    monthly = lines(spark, folder).groupBy("sku", "label", "m").agg(F.sum("qty").alias("qty"))  # rows are doubled after the sum
+    both = monthly.select("sku", scopes.alias("label"), "m", "qty").select(
         "sku",
         "label",
         F.explode(
@@ -123,22 +124,17 @@ def based(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
     return sums.filter((F.col("_b") == 1) & (F.col("m") <= last_month(spark, folder))).drop("_b")
 
 
-def cycles(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
+def with_lags(df: DataFrame) -> DataFrame:
     """Deterministic forecasts: last year's month raised with the lag, for lags 1 to 11."""
-    return (
-        based(spark, folder, with_il)
-        .withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(LAGS))))
-        .select(
-            "sku",
-            "label",
-            "m",
-            "lag",
-            (F.col("m") - F.col("lag")).alias("cycle"),
-            "actual",
-            (F.col("base") * (1 + F.col("lag") / 64.0)).alias("forecast"),
-        )
-    )
+    kept = [c for c in df.columns if c != "base"]
+    lagged = df.withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(LAGS))))
+    return lagged.select(*kept, "lag", (F.col("m") - F.col("lag")).alias("cycle"), (F.col("base") * (1 + F.col("lag") / 64.0)).alias("forecast"))
+
+
+def cycles(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
+    return with_lags(based(spark, folder, with_il))
 
 
 def leafs(spark: SparkSession, folder: str) -> DataFrame:
-    return cycles(spark, folder).join(hierarchy(spark, folder), "sku")
+    """Forecasts with the product hierarchy, which is joined before the lags multiply the rows."""
+    return with_lags(based(spark, folder).join(hierarchy(spark, folder), "sku"))

@@ -12,6 +12,7 @@ from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_date, idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
 from demandtide.operators.quality import check_contract
+from demandtide.operators.reshaping import drop_empty_rows, month_columns, normalised_names, unpivot_long
 from demandtide.plans import prep as J
 
 _YM = f"{ym('m')} AS ym"
@@ -398,3 +399,19 @@ def _order_by_tier():
     from pyspark.sql import Window
 
     return Window.partitionBy("brand").orderBy("tier")
+
+
+@query(
+    "sheet_columns",
+    with_sql(f"WITH {_BM} SELECT brand AS brand_name, CAST(tier AS VARCHAR) AS subtobrand, {ym('m')} AS month, sum(qty) AS quantity FROM bm GROUP BY ALL", "lines", "master"),
+)
+def _(spark, d):
+    """A sheet with a yearly column beside the months and an empty row per brand, read back as clean rows."""
+    months = sheet_months(spark, d)
+    sheet = wide_months(brand_months(spark, d), ["brand", "tier"], "qty", months).withColumnsRenamed({"brand": "Brand Name", "tier": "Sub-Brand"})
+    sheet = sheet.withColumn(f"FY {spelled(months)[0]}", F.lit(1.0))
+    blank = sheet.select("Brand Name").distinct().withColumn("Sub-Brand", F.lit("none"))
+    held = month_columns(sheet.columns, r"\d{6}")
+    rows = normalised_names(drop_empty_rows(sheet.unionByName(blank, allowMissingColumns=True), held))
+    out = unpivot_long(rows, ["brand_name", "subtobrand"], held, "month", "quantity", drop_null=True)
+    return out.withColumn("month", F.col("month").cast("int"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -59,3 +60,25 @@ def label_pivot(df: DataFrame, keys: Sequence[str], labels: Sequence[str], value
         aggs += [F.max(F.when(of_label, F.col(value))).alias(name.format(label=label)), F.count(F.when(of_label, 1)).alias(count)]
     everywhere = reduce(lambda a, b: a & b, [F.col(count) > 0 for count in counts])
     return df.groupBy(*keys).agg(*aggs).filter(at_most_one(counts, [*keys, "label"])).filter(everywhere).drop(*counts)
+
+
+# Marks of columns that hold aggregates beside the months of a sheet.
+AGGREGATE_MARKS = ("FY", "GR", "YTD", "Q1", "Q2", "Q3", "Q4")
+
+
+def normalised_names(df: DataFrame) -> DataFrame:
+    """Lower-case column names, blanks as underscores and hyphens as ``to``; names that fall together are an error."""
+    names = [name.replace(" ", "_").replace("-", "to").lower() for name in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"column names fall together: {sorted({n for n in names if names.count(n) > 1})}")
+    return df.toDF(*names)
+
+
+def month_columns(columns: Sequence[str], pattern: str = r"20\d{4}", marks: Sequence[str] = AGGREGATE_MARKS) -> list[str]:
+    """Columns whose name holds a month by ``pattern`` and none of the marks of an aggregate."""
+    return [name for name in columns if re.search(pattern, name) and not any(mark in name for mark in marks)]
+
+
+def drop_empty_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a value in one of the columns at least."""
+    return df.dropna(how="all", subset=list(columns))

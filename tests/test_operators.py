@@ -230,3 +230,12 @@ def test_one_busy_key_changes_nothing(spark):
     assert shares.count() == 30000
     total = shares.groupBy("k").agg(F.sum("share_of_k_v").alias("s")).agg(F.min("s"), F.max("s")).first()
     assert round(total[0], 6) == round(total[1], 6) == 1.0
+
+
+def test_sheet_column_names(spark, rows):
+    df = spark.createDataFrame([(1, None, None), (2, 3, None)], ["Brand Name", "201901", "FY 201902"])
+    assert R.normalised_names(df.withColumnRenamed("Brand Name", "6-12 Month")).columns == ["6to12_month", "201901", "fy_201902"]
+    assert R.month_columns(df.columns) == ["201901"]
+    assert rows(R.drop_empty_rows(df, ["201901", "FY 201902"])) == [(2, 3, None)]
+    with pytest.raises(ValueError):
+        R.normalised_names(spark.createDataFrame([(1, 2)], ["a b", "A_B"]))

@@ -233,7 +233,7 @@ def test_one_busy_key_changes_nothing(spark):
 
 
 def test_sheet_column_names(spark, rows):
-    df = spark.createDataFrame([(1, None, None), (2, 3, None)], ["Brand Name", "201901", "FY 201902"])
+    df = spark.createDataFrame([(1, None, None), (2, 3, None)], "`Brand Name` int, `201901` int, `FY 201902` int")
     assert R.normalised_names(df.withColumnRenamed("Brand Name", "6-12 Month")).columns == ["6to12_month", "201901", "fy_201902"]
     assert R.month_columns(df.columns) == ["201901"]
     assert rows(R.drop_empty_rows(df, ["201901", "FY 201902"])) == [(2, 3, None)]

@@ -13,6 +13,7 @@ from demandtide.operators.dense import dense_series, month_axis, with_origins
 from demandtide.operators.panel import rolled_values, sku_age
 from demandtide.operators.reshaping import unpivot_blocks
 from demandtide.plans import diagnostics as D, kpis as K
+from demandtide.session import written
 
 ERRS = """errs AS (SELECT *, abs(err) AS abs_err FROM (SELECT *, CASE WHEN actual = 0 THEN 0 ELSE actual - forecast END AS err FROM cycles)),
  s AS (SELECT label, lag, m, sum(err) AS err, sum(abs_err) AS abs_err, sum(forecast) AS f FROM errs GROUP BY ALL),
@@ -123,55 +124,57 @@ def _(spark, d):
     return out.select("label", *[round_places(c).alias(c) for c in ("brand_month", "brand_ytd", "total_ytd", "total_month", "score")])
 
 
-_IN = """WITH act AS (SELECT label, sku, m, channel, sum(qty) AS oft, sum(kept) AS sal FROM channel_lines GROUP BY ALL),
-    fc AS (SELECT label, sku, m + 12 AS m, channel, oft, sal FROM act),
-    fl AS (SELECT label, sku, m, lag, m - lag AS cycle, sum(oft * (1 + lag / 64.0::DOUBLE)) AS oft_trk_val, sum(sal * (1 + lag / 64.0::DOUBLE)) AS sal_ins_val FROM fc, (SELECT unnest([1, 4]) AS lag)
-      WHERE m <= (SELECT max(m) FROM act) GROUP BY ALL),
-    al AS (SELECT label, sku, m, sum(oft) AS oft_trk_val, sum(sal) AS sal_ins_val FROM act GROUP BY ALL)"""
+_MEASURES = ["oft_trk_val", "sal_ins_val"]
+_HORIZONS = list(range(1, 12))
+# Umbrella brand of a scope.
+_UMBRELLA = {"il": "IL", "di": "IL", "eib": "IL", "dc": "DC"}
+# Both measures per scope with last year's month as the forecast, raised with the lag; IL is DI plus EIB.
+_INPUT = """parts AS (SELECT label, sku, m, channel, sum(qty) AS oft, sum(kept) AS sal FROM channel_lines GROUP BY ALL),
+    act AS (SELECT * FROM parts UNION ALL SELECT 'il', sku, m, channel, sum(oft), sum(sal) FROM parts GROUP BY sku, m, channel),
+    al AS (SELECT label, sku, m, sum(oft) AS oft, sum(sal) AS sal FROM act GROUP BY ALL),
+    inp AS (SELECT a.label, a.sku, a.m, lag, v AS variable, CASE v WHEN 'oft_trk_val' THEN a.oft ELSE a.sal END AS actual,
+        CASE v WHEN 'oft_trk_val' THEN p.oft ELSE p.sal END * (1 + lag / 64.0::DOUBLE) AS forecast
+      FROM al a JOIN al p ON p.label = a.label AND p.sku = a.sku AND p.m = a.m - 12, lags, (SELECT unnest(['oft_trk_val', 'sal_ins_val']) AS v))"""
+
+
+def measures_input(spark, d):
+    """KPI input of both measures over all scopes and lags."""
+    parts = channel_lines(spark, d).groupBy("label", "sku", "m", "channel").agg(F.sum("qty").alias("oft_trk_val"), F.sum("kept").alias("sal_ins_val"))
+    scoped = parts.withColumn("label", F.explode(F.array("label", F.lit("il"))))
+    actual = written(scoped.groupBy("label", "sku", "m", "channel").agg(*[F.sum(c).alias(c) for c in _MEASURES]), "kpi-actuals")
+    grown = actual.withColumn("m", F.col("m") + 12).withColumn("lag", F.explode(F.lit(_HORIZONS)))
+    factor = 1 + F.col("lag") / 64.0
+    forecast = grown.select("label", "sku", "m", (F.col("m") - F.col("lag")).alias("cycle"), "channel", *[(F.col(c) * factor).alias(c) for c in _MEASURES])
+    return K.kpi_input(actual, forecast, ["label", "sku"], "m", "cycle", _MEASURES)
 
 
 @query(
     "kpi_input",
     with_sql(
-        f"""{_IN} SELECT fl.label, fl.sku, {ym('fl.m')} AS ym, {ym('cycle')} AS cycle_month, v AS variable,
-        CASE v WHEN 'oft_trk_val' THEN al.oft_trk_val ELSE al.sal_ins_val END AS actual, CASE v WHEN 'oft_trk_val' THEN fl.oft_trk_val ELSE fl.sal_ins_val END AS forecast
-        FROM fl JOIN al ON fl.label = al.label AND fl.sku = al.sku AND fl.m = al.m, (SELECT unnest(['oft_trk_val', 'sal_ins_val']) AS v)""",
-        "channel_lines",
+        f"WITH {_INPUT} SELECT label, sku, {ym('m')} AS ym, {ym('m - lag')} AS cycle_month, variable, {r4('actual')} AS actual, {r4('forecast')} AS forecast FROM inp",
+        "channel_lines", "lags",
     ),
 )
 def _(spark, d):
-    actual = (
-        channel_lines(spark, d)
-        .groupBy("label", "sku", "m", "channel")
-        .agg(F.sum("qty").alias("oft_trk_val"), F.sum("kept").alias("sal_ins_val"))
-    )
-    grown = actual.withColumn("m", F.col("m") + 12).withColumn("lag", F.explode(F.array(F.lit(1), F.lit(4))))
-    factor = 1 + F.col("lag") / 64.0
-    forecast = grown.select(
-        "label", "sku", "m", (F.col("m") - F.col("lag")).alias("cycle"), "channel",
-        (F.col("oft_trk_val") * factor).alias("oft_trk_val"), (F.col("sal_ins_val") * factor).alias("sal_ins_val"),
-    )
-    out = K.kpi_input(actual, forecast, ["label", "sku"], "m", "cycle", ["oft_trk_val", "sal_ins_val"])
-    return out.select("label", "sku", idx_to_ym("m").alias("ym"), idx_to_ym("cycle").alias("cycle_month"), "variable", "actual", "forecast")
-
-
-_ALL_SCOPES = """WITH sl AS (SELECT sku, label, m, offtake FROM sku_label UNION ALL SELECT sku, 'il', m, sum(offtake) FROM sku_label GROUP BY sku, m),
-  bs AS (SELECT sku, label, m, sum(actual) AS actual, sum(base) AS base FROM (SELECT sku, label, m, offtake AS actual, 0.0::DOUBLE AS base, 0 AS b FROM sl UNION ALL SELECT sku, label, m + 12, 0.0::DOUBLE, offtake, 1 FROM sl)
-    WHERE m <= (SELECT max(m) FROM lines) GROUP BY sku, label, m HAVING sum(b) > 0),
-  sc AS (SELECT sku, label, m, lag, actual, base * (1 + lag / 64.0::DOUBLE) AS forecast FROM bs, lags),
-  s AS (SELECT label, lag, m, sum(err) AS err, sum(abs(err)) AS abs_err, sum(forecast) AS f FROM (
-    SELECT *, CASE WHEN actual = 0 THEN 0 ELSE actual - forecast END AS err FROM sc) GROUP BY ALL),
-  fcy AS (SELECT label, min(m - lag) AS fc FROM s GROUP BY label),
-  b AS (SELECT s.*, greatest(fc + lag, m - (m - 1) % 12) AS st FROM s JOIN fcy USING (label)),
-  pt AS (SELECT label, lag, m, CASE WHEN count(*) OVER w = m - st + 1 THEN 1.0 END AS ok, sum(err) OVER w AS yerr, sum(abs_err) OVER w AS yabs, sum(f) OVER w AS yf, err, abs_err, f FROM b
-    WINDOW w AS (PARTITION BY label, lag, (m - 1) // 12 ORDER BY m ROWS UNBOUNDED PRECEDING)),
-  rl AS (SELECT label, m - lag + 8 AS m, sum(err) AS err, sum(f) AS f FROM s WHERE lag BETWEEN 3 AND 8 GROUP BY label, m - lag HAVING count(DISTINCT lag) = 6),
-  ry AS (SELECT label, m, CASE WHEN count(*) OVER w = (m - 1) % 12 + 1 THEN sum(abs(err)) OVER w / sum(f) OVER w END AS r6 FROM rl
-   WINDOW w AS (PARTITION BY label, (m - 1) // 12 ORDER BY m ROWS UNBOUNDED PRECEDING)),
-  grid AS (SELECT m, lag, label FROM (SELECT DISTINCT m FROM s), lags, (SELECT unnest(['il', 'di', 'eib', 'dc']) AS label)),
-  wide AS (SELECT g.label, g.m, g.lag, r6 AS R6M, CASE WHEN ok = 1 THEN greatest(0, 1 - yabs / yf) END AS fa_ytd, CASE WHEN ok = 1 THEN yerr / yf END AS bias_ytd,
-    CASE WHEN f IS NOT NULL THEN greatest(0, 1 - abs_err / f) END AS fa_monthly, err / f AS bias_monthly FROM grid g
-    LEFT JOIN pt ON g.label = pt.label AND g.m = pt.m AND g.lag = pt.lag LEFT JOIN ry ON g.label = ry.label AND g.m = ry.m)"""
+    out = measures_input(spark, d)
+    values = [round_places(c).alias(c) for c in ("actual", "forecast")]
+    return out.select("label", "sku", idx_to_ym("m").alias("ym"), idx_to_ym("cycle").alias("cycle_month"), "variable", *values)
+
+
+_ALL_SCOPES = f"""WITH {_INPUT},
+  s AS (SELECT variable, label, lag, m, sum(err) AS err, sum(abs(err)) AS abs_err, sum(forecast) AS f FROM (
+    SELECT *, CASE WHEN actual = 0 THEN 0 ELSE actual - forecast END AS err FROM inp) GROUP BY ALL),
+  fcy AS (SELECT variable, label, min(m - lag) AS fc FROM s GROUP BY ALL),
+  b AS (SELECT s.*, greatest(fc + lag, m - (m - 1) % 12) AS st FROM s JOIN fcy USING (variable, label)),
+  pt AS (SELECT variable, label, lag, m, CASE WHEN count(*) OVER w = m - st + 1 THEN 1.0 END AS ok, sum(err) OVER w AS yerr, sum(abs_err) OVER w AS yabs, sum(f) OVER w AS yf, err, abs_err, f FROM b
+    WINDOW w AS (PARTITION BY variable, label, lag, (m - 1) // 12 ORDER BY m ROWS UNBOUNDED PRECEDING)),
+  rl AS (SELECT variable, label, m - lag + 8 AS m, sum(err) AS err, sum(f) AS f FROM s WHERE lag BETWEEN 3 AND 8 GROUP BY variable, label, m - lag HAVING count(DISTINCT lag) = 6),
+  ry AS (SELECT variable, label, m, CASE WHEN count(*) OVER w = (m - 1) % 12 + 1 THEN {div('sum(abs(err)) OVER w', 'sum(f) OVER w')} END AS r6 FROM rl
+   WINDOW w AS (PARTITION BY variable, label, (m - 1) // 12 ORDER BY m ROWS UNBOUNDED PRECEDING)),
+  grid AS (SELECT variable, m, lag, label FROM (SELECT DISTINCT variable, m FROM s), lags, (SELECT unnest(['il', 'di', 'eib', 'dc']) AS label)),
+  wide AS (SELECT g.variable, CASE g.label WHEN 'dc' THEN 'DC' ELSE 'IL' END AS umbrella, g.label, g.m, g.lag, r6 AS R6M, CASE WHEN ok = 1 THEN greatest(0, 1 - {div('yabs', 'yf')}) END AS fa_ytd,
+    CASE WHEN ok = 1 THEN {div('yerr', 'yf')} END AS bias_ytd, CASE WHEN f <> 0 THEN greatest(0, 1 - abs_err / f) END AS fa_monthly, {div('err', 'f')} AS bias_monthly FROM grid g
+    LEFT JOIN pt ON g.variable = pt.variable AND g.label = pt.label AND g.m = pt.m AND g.lag = pt.lag LEFT JOIN ry ON g.variable = ry.variable AND g.label = ry.label AND g.m = ry.m)"""
 
 
 @query(
@@ -179,16 +182,16 @@ _ALL_SCOPES = """WITH sl AS (SELECT sku, label, m, offtake FROM sku_label UNION
     with_sql(
         _ALL_SCOPES
         + " UNION ALL ".join(
-            f" SELECT label, {ym('m - lag')} AS cyc_dat, lag AS prediction_horizon, '{k}' AS kpi_type, coalesce({r4(k)}, -99999.0::DOUBLE) AS value FROM wide"
+            f" SELECT umbrella, variable, label, {ym('m - lag')} AS cyc_dat, lag AS prediction_horizon, '{k}' AS kpi_type, coalesce({r4(k)}, -99999.0::DOUBLE) AS value FROM wide"
             for k in ("R6M", "fa_ytd", "bias_ytd", "fa_monthly", "bias_monthly")
         ),
-        "sku_label",
-        "lines",
+        "channel_lines",
         "lags",
     ),
 )
 def _(spark, d):
-    out = K.kpi_report(cycles(spark, d, with_il=True), "label", ["il", "di", "eib", "dc"])
+    rows = measures_input(spark, d).withColumn("lag", F.col("m") - F.col("cycle"))
+    out = K.kpi_report(rows, "label", list(_UMBRELLA), by=["variable"], umbrella=_UMBRELLA)
     return out.withColumn("value", round_places("value"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from demandtide.functions.periods import month_idx
+from demandtide.session import written
 
 LABELS = ("di", "eib", "il")
 CHANNELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -97,6 +98,16 @@ def channel_lines(spark: SparkSession, folder: str) -> DataFrame:
     return base.join(orders, "l_orderkey").drop("l_orderkey")
 
 
+def flow_cube(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
+    """Order lines joined with their orders once, summed to the finest grain that any split asks for, and stored.
+
+    Actuals, ratios, scope sums and forecasts are all derived from these rows, so
+    neither fact is scanned or shuffled again.
+    """
+    keys = ["sku", "label", "channel", "status", "m", "om", *extra]
+    return written(channel_lines(spark, folder).groupBy(*keys).agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept")), "flow-cube")
+
+
 def last_month(spark: SparkSession, folder: str) -> Column:
     """Newest month index of the sales fact, as a scalar subquery on one column."""
     return table(spark, folder, "lineitem").agg(F.max(month_idx("l_shipdate")).alias("last")).scalar()

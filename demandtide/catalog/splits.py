@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import date_of, div, query, r4, with_sql, ym
-from demandtide.catalog.roles import bare_panel, channel_lines, hierarchy, last_month, lines, sku_label, table
+from demandtide.catalog.roles import bare_panel, channel_lines, flow_cube, hierarchy, last_month, lines, sku_label, table
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_month, idx_to_date, idx_to_ym, iso_week_mondays
 from demandtide.operators.aggregating import group_sum
@@ -20,16 +20,21 @@ _FUT = """fut AS (SELECT sku, label, m + 12 AS m, m + 12 - (SELECT max(m) FROM l
   fall AS (SELECT * FROM fut UNION ALL SELECT sku, 'il', m, horizon, sum(prediction) * 1.25 FROM fut GROUP BY sku, m, horizon)"""
 
 
-def future(spark, d):
-    last = last_month(spark, d)
-    ahead = sku_label(spark, d).withColumn("m", F.col("m") + 12).withColumn("horizon", F.col("m") - last).filter("horizon > 0")
+def future(spark, d, cube=None):
+    """Forecasts from the sales, or from a stored ``cube`` of them."""
+    sales = sku_label(spark, d) if cube is None else group_sum(cube, ["sku", "label", "m"], ["qty"]).withColumnRenamed("qty", "offtake")
+    last = last_month(spark, d) if cube is None else cube.agg(F.max("m").alias("last")).scalar()
+    ahead = sales.withColumn("m", F.col("m") + 12).withColumn("horizon", F.col("m") - last).filter("horizon > 0")
     return ahead.select("sku", "label", "m", "horizon", (F.col("offtake") * (1 + F.col("horizon") / 64.0)).alias("prediction"))
 
 
-def future_all(spark, d):
-    parts = future(spark, d)
-    il = parts.groupBy("sku", "m", "horizon").agg((F.sum("prediction") * 1.25).alias("prediction")).withColumn("label", F.lit("il"))
-    return parts.unionByName(il)
+def future_all(spark, d, cube=None):
+    """DI and EIB with IL above them; the sales are read once, IL is a sum over a second copy of each row."""
+    rows = future(spark, d, cube)
+    il = F.lit("il")
+    copies = F.array(F.struct(F.col("label"), F.col("prediction").alias("p")), F.struct(il.alias("label"), (F.col("prediction") * 1.25).alias("p")))
+    both = rows.select("sku", "m", "horizon", F.explode(copies).alias("e"))
+    return both.groupBy("sku", F.col("e.label").alias("label"), "m", "horizon").agg(F.sum("e.p").alias("prediction"))
 
 
 def _out(df, *rounded):
@@ -228,8 +233,8 @@ _SPLIT = f"""{_FUT}, h AS (SELECT sku, status, channel, sum(qty) AS q FROM chann
 def _(spark, d):
     from demandtide.operators.reshaping import union_sources
 
-    made = future_all(spark, d).select("sku", "label", "m", F.col("prediction").alias("offtake"))
-    history = channel_lines(spark, d)
+    history = flow_cube(spark, d)
+    made = future_all(spark, d, history).select("sku", "label", "m", F.col("prediction").alias("offtake"))
     di = G.ratios_of(history.filter("label = 'di'"), ["sku", "status", "channel"], ["sku"], "qty")
     il = G.ratios_of(history, ["sku", "channel"], ["sku"], "qty")
     parts = [
@@ -250,10 +255,10 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    history = channel_lines(spark, d)
+    history = flow_cube(spark, d)
     ratios = G.ratios_of(history, ["sku", "channel"], ["sku"], "qty")
     offtake = group_sum(history, ["sku", "channel", "m"], ["qty"]).withColumnRenamed("qty", "offtake")
-    sellin = group_sum(lines(spark, d), ["sku", "m"], ["kept"]).withColumnRenamed("kept", "sellin")
+    sellin = group_sum(history, ["sku", "m"], ["kept"]).withColumnRenamed("kept", "sellin")
     return _out(G.actuals_il(offtake, sellin, ratios, "sku", "m"), "sellin")
 
 
@@ -273,11 +278,12 @@ _DI = f"""fl AS (SELECT country || '_' || brand || '_' || tier || '_' || stage A
     coalesce(sellin, 0) AS sellin, coalesce(sp_inv, 0) AS sp_inv FROM chn a FULL JOIN spl b ON a.sku = b.sku AND a.code = b.code AND a.channel = b.channel AND a.m = b.m)"""
 
 
-def di_flow(spark, d):
+def di_flow(spark, d, cube=None):
     """Offtake, sell-out, sell-in and stock rows, four per line in one pass, summed to month, code and channel."""
     product = F.concat_ws("_", "country", "brand", "tier", "stage")
     package = F.concat_ws("_", "country", "brand", "tier", "status", "stage")
-    sums = channel_lines(spark, d).filter("label = 'di'").groupBy("sku", "channel", "status", "m", "om").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+    history = channel_lines(spark, d) if cube is None else cube
+    sums = history.filter("label = 'di'").groupBy("sku", "channel", "status", "m", "om").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
     known = sums.withColumnRenamed("sku", "_s").join(hierarchy(spark, d).withColumnRenamed("sku", "_s"), "_s")
     sp = F.when(F.col("channel") == "5-LOW", "all").otherwise("x")
 
@@ -324,15 +330,16 @@ def granular_il(spark, d):
     def named(df, *keys):
         return df.join(names, "sku").drop("sku").withColumnRenamed("product", "sku")
 
-    channels = channel_lines(spark, d).groupBy("sku", "channel", "m").agg(F.sum("qty").alias("offtake"))
-    flat = lines(spark, d).groupBy("sku", "label", "m").agg(F.sum("qty").alias("offtake"), F.sum("kept").alias("sellin"))
+    cube = flow_cube(spark, d)
+    channels = cube.groupBy("sku", "channel", "m").agg(F.sum("qty").alias("offtake"))
+    flat = cube.groupBy("sku", "label", "m").agg(F.sum("qty").alias("offtake"), F.sum("kept").alias("sellin"))
     products = named(flat)
     eib = products.filter("label = 'eib'").withColumn("produced_date", F.lit("2001-06-15").cast("date"))
-    future_ = named(future_all(spark, d)).groupBy("sku", "m", "horizon").agg(
+    future_ = named(future_all(spark, d, cube)).groupBy("sku", "m", "horizon").agg(
         *[F.sum(F.when(F.col("label") == x, F.col("prediction"))).alias(f"yhat_{x}_calib") for x in ("di", "eib", "il")]
     )
     return G.granularity_il(
-        di_flow(spark, d), named(channels), products, eib, eib, future_, attributes, "sku", "code", "m", 2001 * 12 + 1, idx_to_date("m"), 2000 * 12 + 4
+        di_flow(spark, d, cube), named(channels), products, eib, eib, future_, attributes, "sku", "code", "m", 2001 * 12 + 1, idx_to_date("m"), 2000 * 12 + 4
     )
 
 
@@ -399,10 +406,11 @@ def _(spark, d):
     segment = F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.col("c_mktsegment"))
     stores = table(spark, d, "customer").select(F.col("c_custkey").alias("store_code"), segment.alias("channel"))
     products = hierarchy(spark, d).select(F.col("sku").alias("sku_no"), F.concat(F.substring("tier", 1, 2), "stage").alias("sku"))
-    history = channel_lines(spark, d).select(F.col("sku").alias("sku_no"), F.col("o_custkey").alias("store_code"), "m", "om", F.col("qty").alias("quantity"))
+    cube = flow_cube(spark, d, "o_custkey")
+    history = cube.select(F.col("sku").alias("sku_no"), F.col("o_custkey").alias("store_code"), "m", "om", F.col("qty").alias("quantity"))
     sellout = history.select("sku_no", F.col("om").alias("m"), F.col("quantity").alias("sellout"))
-    monthly = group_sum(lines(spark, d).withColumnRenamed("sku", "sku_no"), ["sku_no", "m"], ["kept"]).join(products, "sku_no")
-    made = future(spark, d).withColumnRenamed("sku", "sku_no").join(products, "sku_no").groupBy("sku", "m", "horizon").agg(F.sum("prediction").alias("yhat"))
+    monthly = group_sum(cube.withColumnRenamed("sku", "sku_no"), ["sku_no", "m"], ["kept"]).join(products, "sku_no")
+    made = future(spark, d, cube).withColumnRenamed("sku", "sku_no").join(products, "sku_no").groupBy("sku", "m", "horizon").agg(F.sum("prediction").alias("yhat"))
     forecast, actual = G.granularity_dc(
         history, stores, products, made, sellout, monthly.withColumn("sellin", F.col("kept")), monthly.withColumn("sp_inv", F.col("kept")), "m", channels=segments
     )
@@ -419,15 +427,16 @@ _SC = f"""{_SPLIT}, f AS (SELECT 'il' AS label, ir.sku, channel, m, horizon, pre
 
 
 def _scenario(spark, d):
-    history = channel_lines(spark, d)
+    history = flow_cube(spark, d)
+    last = history.agg(F.max("m").alias("last")).scalar()
     ratios = G.ratios_of(history, ["sku", "channel"], ["sku"], "qty")
-    made = future_all(spark, d).filter("label = 'il'").withColumnRenamed("prediction", "offtake")
+    made = future_all(spark, d, history).filter("label = 'il'").withColumnRenamed("prediction", "offtake")
     forecasts = G.split_forecast(made, ratios, "sku", "offtake", keep_missing=False).withColumnRenamed("sku", "sku_wo_pkg")
     actuals = group_sum(history, ["sku", "channel", "m"], ["qty"]).select(
         F.lit("il").alias("label"), F.col("sku").alias("sku_wo_pkg"), "channel", "m", F.lit(G.ACTUAL_HORIZON).alias("horizon"), F.col("qty").alias("offtake")
     )
     # The two newest actual months are forecast as well, so that an overlap has to be removed.
-    again = actuals.filter(F.col("m") > last_month(spark, d) - 2).withColumn("horizon", (F.col("m") - last_month(spark, d)).cast("int"))
+    again = actuals.filter(F.col("m") > last - 2).withColumn("horizon", (F.col("m") - last).cast("int"))
     # Stored, as the first forecast month is looked up before the rows are read.
     made = written(forecasts.unionByName(again.select(*forecasts.columns)), "forecasts")
     return Z.build_scenario(made, actuals, _GRAN)

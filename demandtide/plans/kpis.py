@@ -8,7 +8,7 @@ windows only ever see a handful of months.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -177,18 +177,27 @@ def kpi_table(leafs: DataFrame, label: str, country: str, brand: str, horizons:
     return union_sources(parts)
 
 
-def kpi_report(cycles: DataFrame, scope: str, scopes: Sequence[str], max_horizon: int = 11, r: int = 6, k: int = 3) -> DataFrame:
-    """Grid of months, horizons and scopes with five KPIs; a KPI that cannot be had is -99999."""
+def kpi_report(
+    cycles: DataFrame, scope: str, scopes: Sequence[str], max_horizon: int = 11, r: int = 6, k: int = 3,
+    by: Sequence[str] = (), umbrella: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Grid of months, horizons and scopes with five KPIs; a KPI that cannot be had is -99999.
+
+    ``by`` names further keys, such as the measure, each value of which has a grid of
+    its own. ``umbrella`` gives the umbrella brand of a scope (null for one it lacks)
+    and adds a column of this name.
+    """
+    keys = [*by, scope]
     errors = error_columns(cycles, mask_zero_actual=True)
-    sums = written(monthly_sums(errors, [scope]), "kpi-sums")
-    first_cycle = sums.groupBy(scope).agg(F.min(F.col("m") - F.col("lag")).alias("_first_cycle"))
-    begun = sums.join(first_cycle, scope)
+    sums = written(monthly_sums(errors, keys), "kpi-sums")
+    first_cycle = sums.groupBy(*keys).agg(F.min(F.col("m") - F.col("lag")).alias("_first_cycle"))
+    begun = sums.join(first_cycle, keys)
     start = F.greatest(F.col("_first_cycle") + F.col("lag"), year_start_idx("m"))
-    w = Window.partitionBy(scope, "lag", year_start_idx("m")).orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*keys, "lag", year_start_idx("m")).orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
     whole = F.count(F.lit(1)).over(w) == F.col("m") - start + 1
     run = {c: F.when(whole, F.sum(c).over(w)) for c in SUMS}
     point = begun.select(
-        scope,
+        *keys,
         F.col("lag").alias("prediction_horizon"),
         "m",
         accuracy_of(run["abs_err"], run["forecast"]).alias("fa_ytd"),
@@ -196,21 +205,25 @@ def kpi_report(cycles: DataFrame, scope: str, scopes: Sequence[str], max_horizon
         accuracy_of().alias("fa_monthly"),
         bias_of().alias("bias_monthly"),
     )
-    rolled = ytd_rolling_sums(rolling_sums(sums, [scope], r, k), [scope]).select(scope, "m", bias_of().alias("R6M"))
+    rolled = ytd_rolling_sums(rolling_sums(sums, keys, r, k), keys).select(*keys, "m", bias_of().alias("R6M"))
     grid = (
-        sums.select("m")
+        sums.select(*by, "m")
         .distinct()
-        .select("m", F.explode(F.sequence(F.lit(1), F.lit(max_horizon))).alias("prediction_horizon"))
+        .select("*", F.explode(F.sequence(F.lit(1), F.lit(max_horizon))).alias("prediction_horizon"))
         .select("*", F.explode(F.array(*[F.lit(s) for s in scopes])).alias(scope))
     )
-    wide = grid.join(point, [scope, "prediction_horizon", "m"], "left").join(rolled, [scope, "m"], "left")
+    wide = grid.join(point, [*keys, "prediction_horizon", "m"], "left").join(rolled, [*keys, "m"], "left")
     kinds = ("R6M", "fa_ytd", "bias_ytd", "fa_monthly", "bias_monthly")
     entries = F.array(
         *[F.struct(F.lit(n).alias("kpi_type"), F.coalesce(F.col(n), F.lit(MISSING_KPI)).alias("value")) for n in kinds]
     )
+    above = []
+    if umbrella is not None:
+        names = F.create_map(*[F.lit(x) for pair in umbrella.items() for x in pair])
+        above = [F.try_element_at(names, F.col(scope)).alias("umbrella")]
     return wide.select(
-        scope, (F.col("m") - F.col("prediction_horizon")).alias("cycle"), "prediction_horizon", F.explode(entries).alias("e")
-    ).select(scope, idx_to_ym("cycle").alias("cyc_dat"), "prediction_horizon", "e.kpi_type", "e.value")
+        *above, *keys, (F.col("m") - F.col("prediction_horizon")).alias("cycle"), "prediction_horizon", F.explode(entries).alias("e")
+    ).select(*(["umbrella"] if above else []), *keys, idx_to_ym("cycle").alias("cyc_dat"), "prediction_horizon", "e.kpi_type", "e.value")
 
 
 def kpi_input(actuals: DataFrame, forecasts: DataFrame, keys: Sequence[str], month: str, cycle: str, measures: Sequence[str]) -> DataFrame:

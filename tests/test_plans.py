@@ -89,6 +89,19 @@ def test_report_marks_missing(errors):
     assert out.count() == 21 * 3 * 2 * 5
 
 
+def test_report_keeps_measures_apart(errors):
+    one = errors.drop("err", "abs_err")
+    two = one.withColumn("variable", F.lit("sold")).unionByName(one.withColumns({"variable": F.lit("sent"), "forecast": F.col("forecast") * 2}))
+    names = {"di": "IL", "dc": "DC"}
+    out = K.kpi_report(two, "label", list(names), max_horizon=3, by=["variable"], umbrella=names)
+    plain = K.kpi_report(one, "label", list(names), max_horizon=3)
+    sold = out.filter("variable = 'sold'")
+    assert sorted(sold.select(*plain.columns).collect()) == sorted(plain.collect())
+    assert out.count() == 2 * plain.count()
+    assert {(r.label, r.umbrella) for r in out.select("label", "umbrella").distinct().collect()} == set(names.items())
+    assert out.filter("variable = 'sent'").select("value").subtract(sold.select("value")).count() > 0
+
+
 def test_levels_differ_from_leaf_errors(spark):
     df = spark.createDataFrame([("c", "b", 1, 1, 10.0, 5.0), ("c", "b", 1, 1, 0.0, 5.0)], "country string, brand string, m int, lag int, actual double, forecast double")
     level = K.error_columns(K.levels_rollup(df, ["m", "lag"], ["country", "brand"]))

@@ -424,14 +424,41 @@ def _(spark, d):
     return _rounded_table(S.supervised_table(series_facts(spark, d), _DC_LEAF, "m", "offtake", _DC_LEVELS, 2))
 
 
-@query("feature_table_di")
+_DI_LEAF = ["brand", "label", "channel"]
+_DI_HORIZON = 12
+# The months of the DI sales, which are fewer than those of all sales.
+_DI_FACTS = """fs AS (SELECT brand, label, channel, m, sum(qty) AS offtake FROM channel_lines JOIN master USING (sku) WHERE label = 'di' GROUP BY ALL),
+    rdi AS (SELECT m, CAST(row_number() OVER (ORDER BY m) AS INTEGER) AS r FROM (SELECT DISTINCT m FROM fs)), """
+
+
+def _around_sql(value, factor, delta, shift):
+    """A forecast with its neighbours, under the month it was known in."""
+
+    def near(i):
+        return f"max(v) OVER (PARTITION BY brand, cy ORDER BY m RANGE BETWEEN {abs(i)} {'PRECEDING' if i > 0 else 'FOLLOWING'} AND {abs(i)} {'PRECEDING' if i > 0 else 'FOLLOWING'})"
+
+    offsets = [*range(-delta, 0), *range(1, delta + 1)]
+    return f"""(SELECT brand, {ym('cy')} AS dwp, {ym('m')} AS dtp, v AS {value}, {', '.join(f'{near(i)} AS "{value}_{i}"' for i in offsets)}
+        FROM (SELECT brand, cycle - {shift} AS cy, m, sum(forecast) * {factor} AS v FROM leafs GROUP BY ALL))"""
+
+
+def _di_sql():
+    table_ = _table_sql("fs", _DI_LEAF, "offtake", S.di_levels(_DI_LEAF, "brand", "label"), _DI_HORIZON, (), _DI_FACTS).replace("CROSS JOIN ranked r", "CROSS JOIN rdi r")
+    on = "{0}.brand = t.brand AND {0}.dwp = t.date_when_predicting AND {0}.dtp = t.date_to_predict"
+    return (
+        f"SELECT t.*, p.* EXCLUDE (brand, dwp, dtp), q.* EXCLUDE (brand, dwp, dtp) FROM ({table_}) t "
+        f"LEFT JOIN {_around_sql('forecast', 1.0, 5, 3)} p ON {on.format('p')} LEFT JOIN {_around_sql('forecast_eln', 1.25, 3, 2)} q ON {on.format('q')}"
+    )
+
+
+@query("feature_table_di", with_sql(_di_sql(), "channel_lines", "master", "leafs"))
 def _(spark, d):
     """Channel in the role of the package; the sell-in plan and planner forecast are the lagged forecasts per brand."""
     plan = leafs(spark, d).groupBy("brand", "cycle", "m").agg(F.sum("forecast").alias("forecast"))
     planner = plan.withColumn("forecast_eln", F.col("forecast") * 1.25).drop("forecast")
     sums = channel_lines(spark, d).filter("label = 'di'").groupBy("sku", "label", "channel", "m").agg(F.sum("qty").alias("offtake"))
     sales = sums.join(hierarchy(spark, d), "sku").groupBy("brand", "label", "channel", "m").agg(F.sum("offtake").alias("offtake"))
-    return S.di_table(sales, ["brand", "label", "channel"], "brand", "label", "m", plan, planner, ["brand"], 3)
+    return _rounded_table(S.di_table(sales, _DI_LEAF, "brand", "label", "m", plan, planner, ["brand"], _DI_HORIZON))
 
 
 _BRAND_LEAF = ["label", "country", "brand", "country_brand"]

@@ -15,13 +15,13 @@ from demandtide.session import written
 
 KEYS = ["brand", "label"]
 LEVELS = [
-    S.Level("brand_label_", ("brand", "label"), "offtake", 6),
-    S.Level("brand_", ("brand",), "offtake", 6),
-    S.Level("label_", ("label",), "offtake", 6),
-    S.Level("sellin_brand_label_", ("brand", "label"), "sellin", 6),
+    S.Level("brand_label_", ("brand", "label"), "offtake", 12),
+    S.Level("brand_", ("brand",), "offtake", 12),
+    S.Level("label_", ("label",), "offtake", 12),
+    S.Level("sellin_brand_label_", ("brand", "label"), "sellin", 12),
 ]
 FEATURES = [f"{v.prefix}sales{i}" for v in LEVELS for i in range(1, v.timelag + 1)] + ["month", "sin_month", "cos_month", "di", "eib"]
-CUTOFF = 200010
+HORIZONS = list(range(1, 13))
 FOREST = L.ModelSpec("RandomForestRegressor", {"numTrees": 10, "maxDepth": 5})
 BOOST = L.ModelSpec("XGBRegressor", {"maxIter": 5, "maxDepth": 3})
 
@@ -33,19 +33,27 @@ def brand_facts(spark, d):
     )
 
 
+def cutoff(spark, d, back=0):
+    """Last month of the sales, or ``back`` months before it, as yyyymm."""
+    last = lines(spark, d).agg(F.max("m").alias("m"))
+    return last.select(idx_to_ym(F.col("m") - back).alias("ym")).first().ym
+
+
 def training_table(spark, d, max_horizon):
     return S.supervised_table(brand_facts(spark, d), KEYS, "m", "offtake", LEVELS, max_horizon, one_hot=("label", ("di", "eib")))
 
 
 @query("forecast_direct")
 def _(spark, d):
-    table = written(training_table(spark, d, 3))
-    return L.direct_forecast(table, KEYS, FEATURES, CUTOFF, [1, 2, 3], BOOST)[0]
+    table = written(training_table(spark, d, HORIZONS[-1]))
+    return L.direct_forecast(table, KEYS, FEATURES, cutoff(spark, d), HORIZONS, BOOST)[0]
 
 
 @query("backtest")
 def _(spark, d):
-    return L.backtest(training_table(spark, d, 2), KEYS, FEATURES, [200006, 200010], [1, 2], FOREST)
+    """Origins half a year, a year and a year and a half before the last month, so that most targets are known."""
+    origins = [cutoff(spark, d, back) for back in (18, 12, 6)]
+    return L.backtest(training_table(spark, d, HORIZONS[-1]), KEYS, FEATURES, origins, HORIZONS, FOREST)
 
 
 @query("model_registry")
@@ -59,22 +67,24 @@ def _(spark, d):
         "forest": FOREST,
         "boost": BOOST,
     }
-    made = L.in_threads(lambda item: L.direct_forecast(table, KEYS, FEATURES, CUTOFF, [1], item[1])[0].withColumn("model", F.lit(item[0])), list(specs.items()))
+    last = cutoff(spark, d)
+    made = L.in_threads(lambda item: L.direct_forecast(table, KEYS, FEATURES, last, [1], item[1])[0].withColumn("model", F.lit(item[0])), list(specs.items()))
     return L.union_sources(made)
 
 
 @query("feature_importance")
 def _(spark, d):
-    table = written(training_table(spark, d, 4))
-    models = L.direct_forecast(table, KEYS, FEATURES, CUTOFF, [3, 4], FOREST)[1]
-    return L.feature_importance(spark, models, FEATURES, "il", CUTOFF)
+    last = cutoff(spark, d)
+    table = written(training_table(spark, d, HORIZONS[-1]))
+    models = L.direct_forecast(table, KEYS, FEATURES, last, HORIZONS, FOREST)[1]
+    return L.feature_importance(spark, models, FEATURES, "il", last)
 
 
 @query("forecast_global")
 def _(spark, d):
     means = [c for c in FEATURES if c not in ("di", "eib")]
-    table = written(L.global_table(training_table(spark, d, 3), means))
-    return L.direct_forecast(table, [], means, CUTOFF, [1, 2, 3], FOREST)[0]
+    table = written(L.global_table(training_table(spark, d, HORIZONS[-1]), means))
+    return L.direct_forecast(table, [], means, cutoff(spark, d), HORIZONS, FOREST)[0]
 
 
 @query("tuning_errors")
@@ -83,14 +93,14 @@ def _(spark, d):
         f"depth{depth}_trees{trees}": L.ModelSpec("RandomForestRegressor", {"maxDepth": depth, "numTrees": trees})
         for depth in (3, 5) for trees in (5, 10)
     }
-    return L.tuning_errors(training_table(spark, d, 1), KEYS, FEATURES, [CUTOFF], [1], specs)
+    return L.tuning_errors(training_table(spark, d, 12), KEYS, FEATURES, [cutoff(spark, d, 12)], [1, 6, 12], specs)
 
 
 @query("forecast_end_to_end")
 def _(spark, d):
     actual = lines(spark, d).groupBy("m").agg(F.sum("qty").alias("offtake"))
     spec = L.ModelSpec("RandomForestRegressor", {"numTrees": 5, "maxDepth": 4})
-    out = L.end_to_end(training_table(spark, d, 15), actual, KEYS, FEATURES, CUTOFF, 18, spec, "offtake")
+    out = L.end_to_end(training_table(spark, d, 15), actual, KEYS, FEATURES, cutoff(spark, d), 18, spec, "offtake")
     return out.withColumn("ym", idx_to_ym("m")).drop("m")
 
 

@@ -101,7 +101,7 @@ def _(spark, d):
     with_sql(
         f"""WITH {_TABLE}, sh AS (SELECT country, brand, sum(actual) / (SELECT sum(actual) FROM leafs WHERE lag = 1) AS share FROM leafs WHERE lag = 1 GROUP BY ALL),
         w(horizon, weight) AS (VALUES ('1', 0.2::DOUBLE), ('4', 0.6::DOUBLE), ('R6M', 0.2::DOUBLE)),
-        k AS (SELECT * FROM kt JOIN w USING (horizon) WHERE kpi_name = 'bias' AND value IS NOT NULL AND m BETWEEN 24001 AND 24012 AND computed_on IN ('all', 'country_brand')),
+        k AS (SELECT * FROM kt JOIN w USING (horizon) WHERE kpi_name = 'bias' AND value IS NOT NULL AND m BETWEEN 24001 AND 24012 AND m NOT IN (24004, 24005, 24006) AND computed_on IN ('all', 'country_brand')),
         nm AS (SELECT label, computed_on, count(DISTINCT m) AS n FROM k WHERE kpi_type = 'month' GROUP BY ALL),
         p AS (SELECT k.label, k.computed_on, k.country, k.brand, k.horizon, k.weight, n, sum(value * value) FILTER (kpi_type = 'month') AS sq,
           max(abs(value)) FILTER (kpi_type = 'ytd' AND m = 24012) AS ytd FROM k JOIN nm ON k.label = nm.label AND k.computed_on = nm.computed_on GROUP BY ALL),
@@ -120,7 +120,7 @@ def _(spark, d):
     sold = rows.filter("lag = 1").groupBy("country", "brand").agg(F.sum("actual").alias("sold"))
     total = sold.agg(F.sum("sold").alias("total")).scalar()
     shares = sold.select("country", "brand", (F.col("sold") / total).alias("share"))
-    out = K.model_score(table, shares, "label", "country", "brand", 2000 * 12 + 1, 2000 * 12 + 12)
+    out = K.model_score(table, shares, "label", "country", "brand", 2000 * 12 + 1, 2000 * 12 + 12, without=[2000 * 12 + k for k in (4, 5, 6)])
     return out.select("label", *[round_places(c).alias(c) for c in ("brand_month", "brand_ytd", "total_ytd", "total_month", "score")])
 
 

@@ -239,15 +239,17 @@ def kpi_input(actuals: DataFrame, forecasts: DataFrame, keys: Sequence[str], mon
     return known.join(made, [*keys, month, "variable"], "inner")
 
 
-def model_score(table: DataFrame, shares: DataFrame, label: str, country: str, brand: str, first: int, last: int) -> DataFrame:
-    """Weighted bias score per scope from the KPI table over the months ``first`` to ``last``.
+def model_score(
+    table: DataFrame, shares: DataFrame, label: str, country: str, brand: str, first: int, last: int, without: Sequence[int] = ()
+) -> DataFrame:
+    """Weighted bias score per scope from the KPI table over the months ``first`` to ``last``, ``without`` the given ones.
 
     ``shares`` gives the weight of each country with brand. Year-to-date values
     are read in the last month.
     """
     weights = F.create_map(*[F.lit(x) for pair in HORIZON_WEIGHTS.items() for x in pair])
     rows = (
-        table.filter((F.col("kpi_name") == "bias") & F.col("m").between(first, last) & F.col("value").isNotNull())
+        table.filter((F.col("kpi_name") == "bias") & F.col("m").between(first, last) & ~F.col("m").isin(*without) & F.col("value").isNotNull())
         .filter(F.col("computed_on").isin("all", "country_brand"))
         .withColumn("weight", weights[F.col("horizon")])
     )

@@ -81,9 +81,10 @@ def line_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", spread: i
     base = df.drop("n_lines", "removed_lines", "removed_chars")
     drops = repeated_chunks(df, key, text, spread, long_line)
     joined = base.join(drops.hint("merge"), F.col(key).cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
-    cut = with_chunks(joined, text, spread, long_line)
+    cut = with_chunks(joined.withColumn("__cut", F.when(F.col("__drop").isNotNull(), F.col(text))), "__cut", spread, long_line)
+    lines = F.coalesce(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0))
     kept = F.filter("__chunks", lambda c, i: ~F.array_contains("__drop", i))
-    cut = _held(cut, __kept=F.when(F.col("__drop").isNotNull(), kept), __all=F.coalesce(F.aggregate("__chunks", F.lit(0), lambda s, c: s + c["n"]), F.lit(0)))
+    cut = _held(cut, __kept=F.when(F.col("__drop").isNotNull(), kept), __all=lines)
     body = F.when(F.col("__kept").isNull(), F.col(text)).otherwise(F.array_join(F.transform("__kept", lambda c: c["body"]), "\n"))
     left = F.when(F.col("__kept").isNull(), F.col("__all")).otherwise(F.aggregate("__kept", F.lit(0), lambda s, c: s + c["n"]))
     out = _held(cut, __new=body, __left=left)

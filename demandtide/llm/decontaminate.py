@@ -30,12 +30,13 @@ UNITS = frozenset(
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*")
 _ATTACHED = re.compile(r"([+-]?\d[\d.,]*)([a-z]{1,4})", re.I)
 LITERAL, NUMBER, UNIT, CAPITAL, NOTHING, PAIR = range(6)
+_ENDS = 8
 _MARKS = np.array([xxhash.xxh3_64_intdigest(b"<" + n + b">") for n in (b"literal", b"number", b"unit", b"name")], np.uint64)
 _EXACT = np.uint64(0x5851F42D4C957F2D)
 
 
 class Canonical(dict):
-    """raw word -> number of its entry; the entry's kind, hash, value and whether it ends a sentence stand in arrays."""
+    """raw word -> number of its entry; the entry's hash, value and mark (its kind, and 8 more if it ends a sentence) stand in arrays."""
 
     def __init__(self, limit: int = 300_000):
         super().__init__()
@@ -46,14 +47,14 @@ class Canonical(dict):
         self.clear()
         self.values: list[str] = []
         self.pairs: dict[int, tuple[int, int]] = {}
-        self.kind, self.ends, self.hash = np.zeros(1024, np.int8), np.zeros(1024, bool), np.zeros(1024, np.uint64)
+        self.mark, self.hash = np.zeros(1024, np.uint8), np.zeros(1024, np.uint64)
 
     def _entry(self, kind: int, value: str, ends: bool) -> int:
         k = len(self.values)
-        if k >= len(self.kind):
-            self.kind, self.ends, self.hash = (np.concatenate((x, np.zeros_like(x))) for x in (self.kind, self.ends, self.hash))
+        if k >= len(self.mark):
+            self.mark, self.hash = (np.concatenate((x, np.zeros_like(x))) for x in (self.mark, self.hash))
         self.values.append(value)
-        self.kind[k], self.ends[k], self.hash[k] = kind, ends, xxhash.xxh3_64_intdigest(value.encode("utf-8", "surrogatepass"))
+        self.mark[k], self.hash[k] = kind + _ENDS * ends, xxhash.xxh3_64_intdigest(value.encode("utf-8", "surrogatepass"))
         return k
 
     def __missing__(self, raw: str) -> int:
@@ -80,33 +81,46 @@ class Canonical(dict):
         self[raw] = k
         return k
 
-    def words(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(entries, template hashes, whether a slot) of a text's words."""
+    def words(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(entries, slots) of a text's words; a slot is 1 for a number, 2 for a unit, 3 for a name, 0 for none."""
         if len(self) > self.limit:
             self._reset()
         raw = text.split() if text else []
-        at = np.fromiter(map(self.__getitem__, raw), np.int64, len(raw))
-        kind = self.kind[at]
-        if (kind == PAIR).any():
-            at = np.fromiter((k for e in at.tolist() for k in self.pairs.get(e, (e,))), np.int64)
-            kind = self.kind[at]
-        at = at[kind != NOTHING]
-        kind, ends = self.kind[at], self.ends[at]
-        first = np.concatenate(([True], ends[:-1]))[: len(at)]
-        after_number = np.concatenate(([False], kind[:-1] == NUMBER))[: len(at)]
-        slot = np.where(kind == NUMBER, 1, np.where((kind == UNIT) & after_number, 2, np.where((kind == CAPITAL) & ~first, 3, 0)))
-        return at, np.where(slot > 0, _MARKS[slot], self.hash[at]), slot > 0
+        at = np.fromiter(map(self.__getitem__, raw), np.int32, len(raw))
+        mark = self.mark[at]
+        odd = mark & 7
+        if (odd == PAIR).any():
+            at = np.fromiter((k for e in at.tolist() for k in self.pairs.get(e, (e,))), np.int32)
+            mark = self.mark[at]
+            odd = mark & 7
+        if (odd == NOTHING).any():
+            at = at[odd != NOTHING]
+            mark = self.mark[at]
+        slot = np.zeros(len(at), np.uint8)
+        if len(at):
+            kind = mark & 7
+            slot[kind == NUMBER] = 1
+            slot[1:][(kind[1:] == UNIT) & (kind[:-1] == NUMBER)] = 2
+            slot[1:][(kind[1:] == CAPITAL) & (mark[:-1] < _ENDS)] = 3
+        return at, slot
 
     def windows(self, text: str | None, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hashes of all windows of ``n`` words, entries, slots). Windows with under two literal words keep their values."""
-        at, template, slot = self.words(text)
+        at, slot = self.words(text)
         if len(at) < n:
-            return np.empty(0, np.uint64), at, slot
-        open_ = np.concatenate(([0], np.cumsum(slot)))
-        literals = n - (open_[n:] - open_[:-n])
-        with np.errstate(over="ignore"):
-            exact = mix(shingles(self.hash[at], n) + _EXACT)
-        return np.where(literals >= min(2, n), shingles(template, n), exact), at, slot
+            return np.empty(0, np.uint64), at, slot > 0
+        values = self.hash[at]
+        spots = np.flatnonzero(slot)
+        template = values.copy()
+        template[spots] = _MARKS[slot[spots]]
+        out = shingles(template, n)
+        if len(spots):
+            open_ = np.concatenate(([0], np.cumsum(slot > 0)))
+            kept = np.flatnonzero(n - (open_[n:] - open_[:-n]) < min(2, n))
+            if len(kept):
+                with np.errstate(over="ignore"):
+                    out[kept] = mix(shingles(values, n)[kept] + _EXACT)
+        return out, at, slot > 0
 
 
 _ITEMS = pa.schema([("item_id", pa.int64()), ("width", pa.int32()), ("h", pa.int64()), ("at", pa.int64()), ("slots", pa.list_(pa.string()))])

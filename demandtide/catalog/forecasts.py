@@ -1,4 +1,8 @@
-"""Queries on training and scoring. Trees are not bit-comparable, so most have no SQL."""
+"""Queries on training and scoring.
+
+Trees are not bit-comparable, so the queries that grow them have no SQL. The operators they run are checked beside
+them with a least-squares line on one feature, which SQL has in closed form.
+"""
 
 from __future__ import annotations
 
@@ -104,6 +108,104 @@ def _(spark, d):
     return out.withColumn("ym", idx_to_ym("m")).drop("m")
 
 
+# The same operators with a line on the last month's sales of the series.
+LINE = L.ModelSpec("LinearRegression")
+LAST_SALES = "brand_label_sales1"
+PLACES = 2
+
+
+def line_table(spark, d, max_horizon):
+    return S.supervised_table(brand_facts(spark, d), KEYS, "m", "offtake", [S.Level("brand_label_", ("brand", "label"), "offtake", 1)], max_horizon)
+
+
+def _r2(x):
+    return f"(floor(({x}) * 1e2 + 0.5) / 1e2)"
+
+
+def _line_sql(backs, max_horizon, body, whole=False):
+    """Lines fitted per origin (months before the last one) and horizon, as ``made``: one row per series, or per month over all series."""
+    both = "SELECT m AS om, h, avg(x) AS x, sum(y) AS y FROM series GROUP BY ALL" if whole else "SELECT * EXCLUDE (m), m AS om FROM series"
+    return with_sql(
+        f"""WITH {_BL}, {_dense_sql('dn', ['brand', 'label'], 'sum(v)', 'bl')},
+        series AS (SELECT o.brand, o.label, o.m, h, o.v AS x, t.v AS y FROM dn o CROSS JOIN (SELECT unnest(range(1, {max_horizon + 1})) AS h) LEFT JOIN dn t ON t.brand = o.brand AND t.label = o.label AND t.m = o.m + h),
+        known AS ({both}), cuts AS (SELECT max(m) - b AS c FROM months, (SELECT unnest({list(backs)}) AS b) GROUP BY b),
+        fits AS (SELECT c, h, regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM known, cuts WHERE y IS NOT NULL AND om + h <= c GROUP BY c, h),
+        made AS (SELECT known.*, greatest(base + slope * x, 0) AS p FROM known JOIN fits ON fits.h = known.h AND fits.c = om) {body}""",
+        "sku_label", "master", "ranked",
+    )
+
+
+_LINE_ROWS = f"{ym('om')} AS date_when_predicting, {ym('om + h')} AS date_to_predict, CAST(h AS INTEGER) AS horizon, y AS target, {_r2('p')} AS prediction FROM made"
+
+
+@query("forecast_direct_line", _line_sql([0], 12, f"SELECT brand, label, {_LINE_ROWS}"))
+def _(spark, d):
+    table = written(line_table(spark, d, HORIZONS[-1]))
+    made = L.direct_forecast(table, KEYS, [LAST_SALES], cutoff(spark, d), HORIZONS, LINE)[0]
+    return made.withColumn("prediction", round_places("prediction", PLACES))
+
+
+@query("backtest_line", _line_sql([18, 12, 6], 12, f"SELECT brand, label, {_LINE_ROWS}"))
+def _(spark, d):
+    origins = [cutoff(spark, d, back) for back in (18, 12, 6)]
+    made = L.backtest(line_table(spark, d, HORIZONS[-1]), KEYS, [LAST_SALES], origins, HORIZONS, LINE)
+    return made.withColumn("prediction", round_places("prediction", PLACES))
+
+
+@query("forecast_global_line", _line_sql([0], 12, f"SELECT {_LINE_ROWS}", whole=True))
+def _(spark, d):
+    table = written(L.global_table(line_table(spark, d, HORIZONS[-1]), [LAST_SALES]))
+    made = L.direct_forecast(table, [], [LAST_SALES], cutoff(spark, d), HORIZONS, LINE)[0]
+    return made.withColumn("prediction", round_places("prediction", PLACES))
+
+
+@query(
+    "tuning_errors_line",
+    _line_sql(
+        [12], 12,
+        f"SELECT config, CAST(h AS INTEGER) AS horizon, {_r2('sum(abs(p - y))')} AS error, count(*) AS n_rows FROM made, (SELECT unnest(['plain', 'scaled']) AS config) WHERE y IS NOT NULL AND h IN (1, 6, 12) GROUP BY ALL",
+    ),
+)
+def _(spark, d):
+    """Scaling the feature must not change the errors of a line."""
+    specs = {"plain": LINE, "scaled": L.ModelSpec("LinearRegression", scale=True)}
+    made = L.tuning_errors(line_table(spark, d, 12), KEYS, [LAST_SALES], [cutoff(spark, d, 12)], [1, 6, 12], specs)
+    return made.withColumn("error", round_places("error", PLACES))
+
+
+@query(
+    "forecast_end_to_end_line",
+    _line_sql(
+        [0], 15,
+        f""", modelled AS (SELECT brand, label, om + h AS m, h - 3 AS horizon, p AS yhat FROM made), ahead AS (SELECT * FROM modelled WHERE horizon >= 1),
+        span AS (SELECT min(m) - 12 AS lo, max(m) - 12 AS hi, sum(yhat) AS total FROM ahead), past AS (SELECT sum(qty) AS sold FROM lines, span WHERE m BETWEEN lo AND hi),
+        whole AS (SELECT * FROM modelled UNION ALL SELECT brand, label, m + 12, horizon + 12, yhat * total / sold FROM ahead, span, past)
+        SELECT brand, label, CAST(horizon AS INTEGER) AS horizon, {_r2('yhat')} AS yhat, {ym('m')} AS ym FROM whole WHERE horizon <= 18""",
+    ),
+)
+def _(spark, d):
+    actual = lines(spark, d).groupBy("m").agg(F.sum("qty").alias("offtake"))
+    out = L.end_to_end(line_table(spark, d, 15), actual, KEYS, [LAST_SALES], cutoff(spark, d), 18, LINE, "offtake")
+    return out.select(*KEYS, "horizon", round_places("yhat", PLACES).alias("yhat"), idx_to_ym("m").alias("ym"))
+
+
+@query(
+    "importance_totals",
+    with_sql(
+        f"""SELECT 'il' AS label, CAST(h - 3 AS INTEGER) AS horizon, {ym('max(m) + 2')} AS cycle_date, {len(FEATURES)}::BIGINT AS n_features, 1.0::DOUBLE AS total
+        FROM months, (SELECT unnest(range(1, 13)) AS h) GROUP BY h""",
+        "months",
+    ),
+)
+def _(spark, d):
+    """Importances of a horizon add up to one over all features."""
+    last = cutoff(spark, d)
+    table = written(training_table(spark, d, HORIZONS[-1]))
+    models = L.direct_forecast(table, KEYS, FEATURES, last, HORIZONS, FOREST)[1]
+    long = L.feature_importance(spark, models, FEATURES, "il", last)
+    return long.groupBy("label", "horizon", "cycle_date").agg(F.count("*").alias("n_features"), round_places(F.sum("importance")).alias("total"))
+
+
 _P = "((m + 9) % 12 + 1) / 12.0::DOUBLE"
 
 

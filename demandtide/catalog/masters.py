@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import query, r4, with_sql, ym
-from demandtide.catalog.roles import channel_lines, hierarchy, lines, master, sku_label, table
+from demandtide.catalog.roles import channel_lines, hierarchy, lines, master, master_cube, table
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
@@ -24,8 +24,8 @@ _FLOW = """flow AS (SELECT sku, m, channel, 'offtake' AS type, sum(qty) AS quant
     coalesce(sum(quantity) FILTER (channel = 'Total' AND type = 'sp_inv'), 0) AS sp_inv FROM flow GROUP BY ALL)"""
 
 
-def tradeflow(spark, d):
-    """The joined fact is summed to both months, channel and status; three rows each are then summed to month, channel and type."""
+def tradeflow(sums):
+    """Sums by both months, channel and status give three rows each: month, channel, type and quantity. Whoever reads them sums."""
     kind = F.when(F.col("status") == "F", "sellin").when(F.col("status") == "O", "retailer_inv").otherwise("sp_inv")
 
     def row(month, channel, type_, quantity):
@@ -36,14 +36,13 @@ def tradeflow(spark, d):
         row(F.col("om"), F.col("channel"), F.lit("sellout"), F.col("qty")),
         row(F.col("m"), F.lit(M.TOTAL_CHANNEL), kind, F.col("kept")),
     )
-    sums = channel_lines(spark, d).filter("label = 'di'").groupBy("sku", "m", "om", "channel", "status").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
-    long = sums.select("sku", F.explode(rows).alias("e")).select("sku", "e.*")
-    return group_sum(long, ["sku", "m", "channel", "type"], ["quantity"])
+    return sums.select("sku", F.explode(rows).alias("e")).select("sku", "e.*")
 
 
 @query("tradeflow_pivot", with_sql(f"WITH {_FLOW} SELECT sku, {_YM}, offtake, sellout, sellin, retailer_inv, sp_inv FROM tf", "channel_lines"))
 def _(spark, d):
-    out = M.tradeflow_pivot(tradeflow(spark, d), ["sku", "m"])
+    sums = channel_lines(spark, d).filter("label = 'di'").groupBy("sku", "m", "om", "channel", "status").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+    out = M.tradeflow_pivot(tradeflow(sums), ["sku", "m"])
     return out.withColumn("ym", idx_to_ym("m")).drop("m")
 
 
@@ -107,14 +106,17 @@ _RAW_IL = f"""{_FLOW}, {_PIVOT}, se AS (SELECT sku, m, sellin AS sellin_eib FROM
     ),
 )
 def _(spark, d):
-    offtake = M.scope_pivot_mean(lines(spark, d), ["sku", "m"], "label", ["di", "eib"], "qty", "offtake")
-    sellin = sku_label(spark, d).filter("label = 'eib'").select("sku", "m", F.col("sellin").alias("sellin_eib"))
-    flow = M.tradeflow_pivot(tradeflow(spark, d), ["sku", "m"]).withColumnRenamed("sellin", "sellin_di").drop("offtake")
-    prices = lines(spark, d).groupBy("sku", "m").agg(F.avg(F.floor(F.col("amount") / F.col("qty"))).alias("price"))
-    category = lines(spark, d).groupBy("m").agg(F.sum("qty").alias("total_vol"), F.sum("kept").alias("if_vol"))
-    out = M.raw_master_il(
-        [offtake, sellin, flow], ["sku", "m"], hierarchy(spark, d), _availability(spark, d), ["tier", "m"], prices, _market(spark, d), category
-    )
+    cube = master_cube(spark, d)
+    sellin = F.sum(F.when(F.col("label") == "eib", F.col("kept"))).alias("sellin_eib")
+    price = F.try_divide(F.sum("list"), F.sum("n_list")).alias("price")
+    sold = M.scope_pivot_mean(cube, ["sku", "m"], "label", ["di", "eib"], "qty", "offtake", "n_qty", [sellin, price])
+    flow = M.tradeflow_pivot(tradeflow(cube.filter("label = 'di' AND status IS NOT NULL")), ["sku", "m"]).withColumnRenamed("sellin", "sellin_di").drop("offtake")
+    category = cube.groupBy("m").agg(F.sum("qty").alias("total_vol"), F.sum("kept").alias("if_vol"))
+    by_sku = cube.groupBy("sku", "m").agg(*[F.sum(c).alias(c) for c in ("osa", "n_osa", "isa", "n_isa", "n_placed")])
+    seen = lookup(by_sku.filter("n_placed > 0"), master(spark, d).select("sku", "tier"), "sku", "inner")
+    availability = M.availability_means(seen, ["tier", "m"], {"osa": "n_osa", "isa": "n_isa"})
+    market = M.market_pivot(cube, "m", "status", "F", {"qty": "volume_ton_il"}, 1996 * 12 + 1)
+    out = M.raw_master_il([sold, flow], ["sku", "m"], hierarchy(spark, d), availability, ["tier", "m"], None, market, category)
     rounded = ("offtake_di", "offtake_eib", "osa", "isa", "price", "offtake_il")
     return out.withColumn("ym", idx_to_ym("m")).drop("m").withColumns({c: round_places(c) for c in rounded})
 
@@ -136,7 +138,7 @@ _DC = """sel AS (SELECT sku, m, sum(q) AS sellin_dc FROM (SELECT sku, m, CASE WH
 )
 def _(spark, d):
     """Sell-in from two systems, sell-out mix, and store distribution melted from one column per brand."""
-    sellin = _dc_sellin(spark, d)
+    sellin = _dc_sellin(lines(spark, d))
     sellout = M.sellout_mix(channel_lines(spark, d), ["sku", "om"], "qty", "kept", "qty").withColumnRenamed("om", "m")
     brands = [f"Brand#{b}" for b in range(1, 26)]
     monthly = lines(spark, d).select("sku", "m").distinct().join(hierarchy(spark, d).select("sku", "brand"), "sku")
@@ -146,10 +148,10 @@ def _(spark, d):
     return out.select("sku", idx_to_ym("m").alias("ym"), "sellin_dc", "sellout", "sellout_revenue", round_places("sellout_price").alias("sellout_price"), "store_distribution")
 
 
-def _dc_sellin(spark, d):
+def _dc_sellin(flows):
     signed = F.when(F.col("label") == "eib", -F.col("qty")).otherwise(F.col("qty"))
-    current = lines(spark, d).filter("m >= 23977").select("sku", "m", signed.alias("sellin_dc"))
-    history = lines(spark, d).filter("m < 23977").select("sku", "m", F.col("kept").alias("sellin_dc"))
+    current = flows.filter("m >= 23977").select("sku", "m", signed.alias("sellin_dc"))
+    history = flows.filter("m < 23977").select("sku", "m", F.col("kept").alias("sellin_dc"))
     return M.union_history(current, history, ["sku", "m"], "sellin_dc")
 
 
@@ -167,15 +169,14 @@ def _dc_sellin(spark, d):
     ),
 )
 def _(spark, d):
-    offtake = group_sum(lines(spark, d).filter("label = 'di'"), ["sku", "m"], ["qty"]).withColumnRenamed("qty", "offtake_dc")
-    shelf = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("sku"), month_idx("l_shipdate").alias("m")).agg(
-        F.avg("l_discount").alias("osa"), F.avg("l_tax").alias("csl")
-    )
-    stock = group_sum(channel_lines(spark, d).filter("status = 'O'"), ["sku", "om"], ["kept"]).withColumnsRenamed({"kept": "sp_inv_dc", "om": "m"})
-    sellout = M.sellout_mix(channel_lines(spark, d), ["sku", "om"], "qty", "kept", "qty").withColumnRenamed("om", "m")
+    cube = master_cube(spark, d)
+    offtake = group_sum(cube.filter("label = 'di'"), ["sku", "m"], ["qty"]).withColumnRenamed("qty", "offtake_dc")
+    shelf = cube.groupBy("sku", "m").agg(*[F.try_divide(F.sum(c), F.sum(f"n_{c}")).alias(name) for c, name in (("discount", "osa"), ("tax", "csl"))])
+    stock = group_sum(cube.filter("status = 'O'"), ["sku", "om"], ["kept"]).withColumnsRenamed({"kept": "sp_inv_dc", "om": "m"})
+    sellout = M.sellout_mix(cube, ["sku", "om"], "qty", "kept", "qty", "n_qty").withColumnRenamed("om", "m")
     brands = hierarchy(spark, d).select("sku", "brand")
-    per_brand = lines(spark, d).groupBy("sku", "m").agg(F.sum("kept").alias("kept")).join(brands, "sku").groupBy("brand", "m")
+    per_brand = cube.groupBy("sku", "m").agg(F.sum("kept").alias("kept")).join(brands, "sku").groupBy("brand", "m")
     spending = per_brand.agg((F.sum("kept") / 8).alias("anp"))
     stores = per_brand.agg(F.count("sku").cast("double").alias("store_distribution"))
-    out = M.raw_master_dc([offtake, shelf, _dc_sellin(spark, d), stock, sellout], ["sku", "m"], brands, spending, stores)
+    out = M.raw_master_dc([offtake, shelf, _dc_sellin(cube), stock, sellout], ["sku", "m"], brands, spending, stores)
     return out.withColumn("ym", idx_to_ym("m")).drop("m").withColumns({c: round_places(c) for c in ("osa", "csl", "sellout_price")})

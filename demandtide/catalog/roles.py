@@ -108,6 +108,30 @@ def flow_cube(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     return written(channel_lines(spark, folder).groupBy(*keys).agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept")), "flow-cube")
 
 
+def master_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums and row counts of every measure of the raw masters, from one scan of the lines and one join with their orders, stored.
+
+    Lines without an order keep their place; channel, status and om are null there. ``list`` is the rounded-down unit
+    price; ``osa`` and ``isa`` are the discounts of lines flagged A and N, ``n_placed`` counts both. A mean is a sum over ``n_``, so that it can be
+    taken at any coarser grain.
+    """
+    lines_ = table(spark, folder, "lineitem").select(
+        F.col("l_partkey").alias("sku"), label_of().alias("label"), month_idx("l_shipdate").alias("m"), F.col("l_quantity").alias("qty"),
+        F.when(F.col("l_returnflag") == "R", F.lit(0.0)).otherwise(F.col("l_quantity")).alias("kept"),
+        F.floor(F.col("l_extendedprice") / F.col("l_quantity")).alias("list"),
+        F.when(F.col("l_returnflag") == "A", F.col("l_discount")).alias("osa"),
+        F.when(~F.col("l_returnflag").isin("A", "R"), F.col("l_discount")).alias("isa"),
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"), F.when(F.col("l_returnflag") != "R", 1).alias("placed"), "l_orderkey",
+    )
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("channel"), F.col("o_orderstatus").alias("status"), month_idx("o_orderdate").alias("om")
+    )
+    measures = ("qty", "kept", "list", "osa", "isa", "discount", "tax")
+    joined = lines_.join(orders, "l_orderkey", "left").groupBy("sku", "label", "channel", "status", "m", "om")
+    counts = [F.count(c).alias(f"n_{c}") for c in (*measures, "placed") if c != "kept"]
+    return written(joined.agg(*[F.sum(c).alias(c) for c in measures], *counts), "master-cube")
+
+
 def last_month(spark: SparkSession, folder: str) -> Column:
     """Newest month index of the sales fact, as a scalar subquery on one column."""
     return table(spark, folder, "lineitem").agg(F.max(month_idx("l_shipdate")).alias("last")).scalar()

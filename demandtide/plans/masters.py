@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from demandtide.functions.cleaning import coalesce_zero, map_values
 from demandtide.functions.periods import make_month, month_idx
@@ -49,8 +49,19 @@ def tradeflow_pivot(df: DataFrame, keys: Sequence[str], channel: str = "channel"
     )
 
 
-def scope_pivot_mean(df: DataFrame, keys: Sequence[str], scope: str, scopes: Sequence[str], value: str, prefix: str) -> DataFrame:
-    """Scopes side by side, the mean over repeated rows of a scope, zero where it has none."""
+def scope_pivot_mean(
+    df: DataFrame, keys: Sequence[str], scope: str, scopes: Sequence[str], value: str, prefix: str, count: str | None = None,
+    also: Sequence[Column] = (),
+) -> DataFrame:
+    """Scopes side by side, the mean over repeated rows of a scope, zero where it has none.
+
+    With ``count`` the rows are sums already and that column holds how many values each one sums; other aggregates of the
+    same keys (``also``) are then taken in the same pass.
+    """
+    if count is not None:
+        of = {s: F.col(scope) == s for s in scopes}
+        means = {s: F.try_divide(F.sum(F.when(rows, F.col(value))), F.sum(F.when(rows, F.col(count)))) for s, rows in of.items()}
+        return df.dropna(subset=list(keys)).groupBy(*keys).agg(*[coalesce_zero(mean).alias(f"{prefix}_{s.lower()}") for s, mean in means.items()], *also)
     wide = pivot_fill(df, keys, scope, scopes, value, "avg")
     return wide.select(*keys, *[F.col(s).alias(f"{prefix}_{s.lower()}") for s in scopes])
 
@@ -61,6 +72,12 @@ def availability_pivot(df: DataFrame, keys: Sequence[str], kind: str, kinds: Seq
     return wide.select(*keys, *[F.col(k).alias(k.lower()) for k in kinds])
 
 
+def availability_means(df: DataFrame, keys: Sequence[str], kinds: Mapping[str, str]) -> DataFrame:
+    """``availability_pivot`` over rows that hold a sum and a count column per kind."""
+    means = {k: F.try_divide(F.sum(k), F.sum(n)) for k, n in kinds.items()}
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*[F.coalesce(mean, F.lit(MISSING_AVAILABILITY)).alias(k) for k, mean in means.items()])
+
+
 def market_pivot(df: DataFrame, month: str, scope: str, kept: str, measures: Mapping[str, str], since: int) -> DataFrame:
     """Monthly market totals of one scope since a month."""
     rows = df.filter((F.col(month) >= since) & (F.col(scope) == kept))
@@ -77,20 +94,23 @@ def raw_master_il(
     attributes: DataFrame,
     availability: DataFrame,
     availability_keys: Sequence[str],
-    prices: DataFrame,
+    prices: DataFrame | None,
     market: DataFrame,
     category: DataFrame,
     month: str = "m",
     selected: DataFrame | None = None,
 ) -> DataFrame:
-    """IL master: stacked panels, product attributes, availability, price, market and category columns."""
+    """IL master: stacked panels, product attributes, availability, price, market and category columns.
+
+    Without ``prices`` the panels hold the price themselves.
+    """
     stacked = outer_panels(panels, keys)
     sku = [k for k in keys if k != month]
     if selected is not None:
         stacked = stacked.join(selected, sku, "left_semi")
     known = join_many_to_one(stacked, attributes, sku, "inner")
     placed = join_many_to_one(known, availability, availability_keys)
-    priced = join_many_to_one(placed, prices, [*sku, month])
+    priced = placed if prices is None else join_many_to_one(placed, prices, [*sku, month])
     monthly = join_many_to_one(join_many_to_one(priced, market, [month]), category, [month])
     il = {
         f"{name}_il": coalesce_zero(f"{name}_di") + coalesce_zero(f"{name}_eib") for name in ("offtake", "sellin")
@@ -113,9 +133,11 @@ def union_history(current: DataFrame, history: DataFrame, keys: Sequence[str], v
     return group_sum(current.unionByName(history), keys, [value])
 
 
-def sellout_mix(df: DataFrame, keys: Sequence[str], quantity: str, revenue: str, price: str) -> DataFrame:
+def sellout_mix(df: DataFrame, keys: Sequence[str], quantity: str, revenue: str, price: str, count: str | None = None) -> DataFrame:
+    """Sums and the mean price; with ``count`` the rows are sums already, of as many prices as that column says."""
+    mean = F.avg(price) if count is None else F.try_divide(F.sum(price), F.sum(count))
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(
         coalesce_zero(F.sum(quantity)).alias("sellout"),
         coalesce_zero(F.sum(revenue)).alias("sellout_revenue"),
-        F.avg(price).alias("sellout_price"),
+        mean.alias("sellout_price"),
     )

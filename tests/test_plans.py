@@ -283,3 +283,23 @@ def test_end_to_end_horizons_start_at_the_data(spark):
     assert sorted((r.horizon, r.m) for r in got.collect()) == [(h, base + h + 3) for h in range(-2, 6)]
     far = L.end_to_end(table, actual, ["sku"], ["x"], cutoff, 12, spec, "sold")
     assert sorted(r.horizon for r in far.collect()) == list(range(-2, 13))
+
+
+def test_means_of_sums_equal_means_of_rows(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "di", 2.0), ("a", 1, "di", 5.0), ("a", 1, "eib", None), ("a", 2, "eib", 4.0), ("b", 1, "di", 1.0), (None, 1, "eib", 3.0)],
+        "sku string, m int, label string, qty double",
+    )
+    sums = rows.groupBy("sku", "m", "label").agg(F.sum("qty").alias("qty"), F.count("qty").alias("n"))
+    keys = ["sku", "m"]
+
+    def same(a, b):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.columns == b.columns
+
+    same(M.scope_pivot_mean(rows, keys, "label", ["di", "eib"], "qty", "sold"), M.scope_pivot_mean(sums, keys, "label", ["di", "eib"], "qty", "sold", "n"))
+    same(M.sellout_mix(rows, keys, "qty", "qty", "qty"), M.sellout_mix(sums, keys, "qty", "qty", "qty", "n"))
+    wide = rows.groupBy(*keys).agg(
+        *[F.sum(F.when(F.col("label") == k, F.col("qty"))).alias(k) for k in ("di", "eib")],
+        *[F.count(F.when(F.col("label") == k, F.col("qty"))).alias(f"n_{k}") for k in ("di", "eib")],
+    )
+    same(M.availability_pivot(rows, keys, "label", ["di", "eib"], "qty"), M.availability_means(wide, keys, {"di": "n_di", "eib": "n_eib"}))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandtide.llm.decontaminate import clean
 from demandtide.llm.language_id import accepted, train_model
-from demandtide.llm.line_chunks import line_dedup
+from demandtide.llm.line_chunks import passage_dedup
 from demandtide.llm.minhash_dedup import minhash_dedup
 from demandtide.llm.packing import pack, word_count
 from demandtide.llm.storage import stored, table
@@ -22,8 +22,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines taken out; documents left without any text go. n_chars follows the new text."""
-    cut = line_dedup(docs)
+    """Repeated passages of lines taken out; documents left without any text go. n_chars follows the new text."""
+    cut = passage_dedup(docs)
     emptied = (F.col("removed_lines") > 0) & (F.trim("text") == "")
     kept = cut.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)

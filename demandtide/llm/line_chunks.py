@@ -93,3 +93,69 @@ def line_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", spread: i
         F.col("__all").cast("long").alias("n_lines"), (F.col("__all") - F.col("__left")).cast("long").alias("removed_lines"),
         (F.coalesce(F.length(text), F.lit(0)) - F.coalesce(F.length("__new"), F.lit(0))).cast("long").alias("removed_chars"),
     )
+
+
+def _units(df: DataFrame, long_line: int) -> DataFrame:
+    """(__id, unit, h) of ``df`` (__id, __text): unit 2 * k is the pair of lines k and k + 1, unit 2 * k + 1 is line k if long."""
+    lines = _held(df, __lines=F.split(F.col("__text"), "\n", -1)).drop("__text")
+    after = F.expr("slice(array_append(__lines, CAST(NULL AS STRING)), 2, size(__lines))")
+    each = lines.select("__id", F.posexplode(F.arrays_zip(F.col("__lines").alias("s"), after.alias("t"))).alias("k", "x"))
+    unit = lambda test, kind, h: F.when(test, F.struct((F.col("k").cast("long") * 2 + kind).alias("unit"), h.alias("h")))
+    both = F.array_compact(F.array(unit(F.col("x.t").isNotNull(), 0, _pair_hash(F.col("x.s"), F.col("x.t"))), unit(long_line_test(F.col("x.s"), long_line), 1, F.xxhash64("x.s"))))
+    return each.select("__id", F.explode(both).alias("u")).select("__id", "u.unit", "u.h")
+
+
+def _pair_hash(s: Column, t: Column) -> Column:
+    return F.xxhash64(s, F.lit("\n"), t)
+
+
+def repeated_lines(df: DataFrame, key: str, text: str, long_line: int) -> DataFrame:
+    """(__id, __drop): for every document the numbers of the lines that stand in a pair of lines, or are a long line, which an earlier place also holds.
+
+    Every pair is hashed, so a shared passage is found whatever stands around it. Texts do
+    not travel with the hashes: documents with a repeated hash are read again, and their
+    pairs are compared with the first ones byte by byte.
+    """
+    docs = df.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__text"))
+    place = (F.coalesce(F.col("__id").cast("decimal(20,0)"), F.expr("CAST('-9223372036854775809' AS DECIMAL(20,0))")) * F.lit(1 << 32).cast("decimal(11,0)") + F.col("unit")).cast("decimal(38,0)")
+    placed = _units(docs, long_line).withColumn("place", place)
+    firsts = stored(placed.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).filter("first < last").select("h", "first"), "pair-hashes")
+    met = stored(placed.join(firsts.hint("merge"), "h").select("__id", "unit", "h", F.expr("place = first").alias("first")).distinct(), "pairs")
+    wanted = stored(met.groupBy(F.col("__id").alias("__wanted")).agg(F.collect_list(F.struct("unit", "h", "first")).alias("__units")), "pairs-of-documents")
+    again = docs.join(wanted.hint("merge"), F.col("__id").eqNullSafe(F.col("__wanted"))).drop("__wanted")
+    again = _held(again, __lines=F.split(F.col("__text"), "\n", -1)).drop("__text")
+    line = lambda k: F.get("__lines", k.cast("int"))
+    body = lambda u: F.struct(
+        u["unit"].alias("unit"), u["h"].alias("h"), u["first"].alias("first"), line(F.floor(u["unit"] / 2)).alias("s"), F.when(u["unit"] % 2 == 0, line(F.floor(u["unit"] / 2) + 1)).alias("t")
+    )
+    bodies = _held(again, __bodies=F.transform("__units", body)).select("__id", F.explode("__bodies").alias("u")).select("__id", "u.*")
+    same = F.when(F.col("unit") % 2 == 0, _pair_hash(F.col("s"), F.col("t"))).otherwise(F.xxhash64("s")) == F.col("h")  # rows of one key may differ
+    bodies = stored(bodies.filter(same), "pair-bodies")
+    first = stored(bodies.filter("first").select("h", F.col("s").alias("first_s"), F.col("t").alias("first_t")).dropDuplicates(["h"]), "first-pairs")
+    twice = bodies.filter("not first").join(first, "h").filter("s = first_s AND t <=> first_t")
+    gone = twice.select("__id", F.explode(F.expr("IF(unit % 2 = 0, array(unit DIV 2, unit DIV 2 + 1), array(unit DIV 2))")).alias("k")).distinct()
+    return gone.groupBy("__id").agg(F.collect_list(F.col("k").cast("int")).alias("__drop"))
+
+
+def passage_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", long_line: int = 50) -> DataFrame:
+    """``df`` with repeated passages taken out of ``text``: every run of two or more lines whose neighbouring pairs all stood
+    at earlier places, and every line of ``long_line`` words or more that did.
+
+    Unlike chunks, runs end where the repetition ends, not where a hash of the lines around
+    them says. The first place of a line's text is never removed: a pair that holds it has
+    no earlier place. Columns, nulls, empty texts and repeated keys are as in ``line_dedup``.
+    """
+    base = df.drop("n_lines", "removed_lines", "removed_chars")
+    drops = stored(repeated_lines(df, key, text, long_line), "repeated-lines")
+    joined = base.join(drops.hint("merge"), F.col(key).cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
+    cut = _held(joined, __lines=F.when(F.col("__drop").isNotNull(), F.split(F.col(text), "\n", -1)))
+    cut = _held(cut, __kept=F.array_except(F.expr("sequence(0, size(__lines) - 1)"), F.col("__drop")))
+    lines = F.coalesce(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0))
+    body = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(F.transform("__kept", lambda k: F.get("__lines", k)), "\n"))
+    left = F.when(F.col("__lines").isNull(), lines).otherwise(F.size("__kept"))
+    out = _held(cut, __new=body, __all=lines, __left=left)
+    return out.select(
+        *(F.col("__new").alias(c) if c == text else F.col(c) for c in base.columns),
+        F.col("__all").cast("long").alias("n_lines"), (F.col("__all") - F.col("__left")).cast("long").alias("removed_lines"),
+        (F.coalesce(F.length(text), F.lit(0)) - F.coalesce(F.length("__new"), F.lit(0))).cast("long").alias("removed_chars"),
+    )

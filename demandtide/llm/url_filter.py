@@ -54,29 +54,44 @@ def host_edges(pages: DataFrame, site_links: bool = True) -> DataFrame:
     return edges.filter("src <> dst and src <> '' and dst <> ''").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, iterations: int, every: int = 4) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, iterations: int | None = None, every: int = 4, tolerance: float = 1e-6) -> DataFrame:
     """Personalised PageRank (host, score) from ``seeds`` (host, weight) along ``edges`` (src, dst).
 
     score = (1 - damping) * seed + damping * sum of score / out-degree over the
     incoming links, started from the seeds. What hosts without outgoing links hold
-    would return to the seeds in proportion, which changes scale and not order, so it
-    is left out. Each round is one join and one partial sum; the result is stored
-    every few rounds so that the plan stays short.
+    would return to the seeds in proportion, which scales all scores alike: dividing by
+    their sum gives the scores with that return. Each round is one join and one partial
+    sum; the result is stored every few rounds so that the plan stays short. Scores only
+    grow, so rounds go on until ``every`` of them add less than ``tolerance`` of the
+    sum, or for ``iterations`` rounds if that is given.
     """
     degree = edges.groupBy("src").agg(F.count("*").alias("n"))
     weighted = stored(edges.join(degree, "src").select("src", "dst", (F.lit(1.0) / F.col("n")).alias("share")), "host-links")
     base = seeds.select("host", ((1 - damping) * F.col("weight")).alias("score"))
     score = base
-    for k in range(1, iterations + 1):
+    k, held = 0, 0.0
+    while iterations is None or k < iterations:
+        k += 1
         moved = weighted.join(score.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
         score = base.unionByName(moved).groupBy("host").agg(F.sum("score").alias("score"))
-        if k % every == 0 and k < iterations:
+        if k % every == 0 and k != iterations:
             score = stored(score, "host-scores")
+            if iterations is None:
+                now = score.agg(F.sum("score")).first()[0] or 0.0
+                if now - held <= tolerance * now:
+                    break
+                held = now
     return score
 
 
+def shares(scores: DataFrame) -> DataFrame:
+    """Scores divided by their sum."""
+    total = scores.agg(F.sum("score")).first()[0] or 1.0
+    return scores.select("host", (F.col("score") / F.lit(total)).alias("score"))
+
+
 def url_filter(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, damping: float = 0.85, iterations: int = 12, threshold: float = 1.0, site_links: bool = True
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, damping: float = 0.85, iterations: int | None = None, threshold: float = 1.0, site_links: bool = True, tolerance: float = 1e-6
 ) -> DataFrame:
     """page_id, host, path, rule, verdict of every page (columns read: page_id, url, html).
 
@@ -85,7 +100,10 @@ def url_filter(
     pages that its host has on that side, so copies of a page count as pages. A null
     html has no links. Repeated rows stay; an empty table gives no rows. Hosts, not
     pages, take part in the rounds: pages and links are first summed per host with a
-    partial aggregate, so a host with a third of the pages is one row.
+    partial aggregate, so a host with a third of the pages is one row. Trust and distrust
+    each sum to 1 over all hosts and are compared relative to their size, distrust having
+    to exceed the rest by ``tolerance`` of it, so a verdict does not depend on how many
+    hosts and seeds there are.
     """
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     parsed = parsed.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
@@ -95,12 +113,13 @@ def url_filter(
     ruled = stored(ruled, "seed-hosts")
     total = ruled.agg(F.sum("allow").alias("a"), F.sum("block").alias("b")).first()
     edges = stored(host_edges(parsed, site_links), "host-edges")
-    trust = propagate(edges, ruled.filter("allow > 0").select("host", (F.col("allow") / F.lit(total.a or 1)).alias("weight")), damping, iterations)
+    trust = propagate(edges, ruled.filter("allow > 0").select("host", (F.col("allow") / F.lit(total.a or 1)).alias("weight")), damping, iterations, 8, tolerance)
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    distrust = propagate(back, ruled.filter("block > 0").select("host", (F.col("block") / F.lit(total.b or 1)).alias("weight")), damping, iterations)
+    distrust = propagate(back, ruled.filter("block > 0").select("host", (F.col("block") / F.lit(total.b or 1)).alias("weight")), damping, iterations, 8, tolerance)
+    trust, distrust = shares(trust), shares(distrust)
     sides = [trust.select("host", F.col("score").alias("trust"), F.lit(0.0).alias("distrust")), distrust.select("host", F.lit(0.0).alias("trust"), F.col("score").alias("distrust"))]
     scores = reduce(DataFrame.unionByName, sides).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-    blocked = stored(scores.filter(F.round("distrust", 9) > F.round(threshold * F.col("trust"), 9)).select("host", F.lit(True).alias("distrusted")), "blocked-hosts")
+    blocked = stored(scores.filter(F.col("distrust") > threshold * (1 + tolerance) * F.col("trust")).select("host", F.lit(True).alias("distrusted")), "blocked-hosts")
     judged = parsed.drop("html").join(blocked, "host", "left")
     return judged.select(
         "page_id", "host", "path", F.col("found.rule").alias("rule"),

@@ -167,7 +167,8 @@ def minhash_dedup(df: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_
     reps = reps.select("id", "n", "s0", "s1")
     # the texts of crowded buckets are read once more, for their full sets; the same join at every size, as both sides grow with the corpus
     wanted = crowded.select("id").distinct()
-    sets = stored(texts.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(n), "id long, members array<long>"), "shingle-sets")
+    made = texts.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(n), "id long, members array<long>")
+    sets = stored(made.dropDuplicates(["id"]), "shingle-sets")  # one row per id: a repeated row must not count its shingles twice
 
     # stars: one centre for all buckets of a group, so that the pairs of different buckets are the same pairs
     links = _confirmed(crowded.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")), reps, sets, percent, "star")

@@ -5,6 +5,9 @@ placeholders, other words their lower-case core without surrounding punctuation.
 Windows of five template words are hash-joined with the benchmark's. A question that
 was re-parameterised keeps its windows but not its values; the slot check then asks
 that along one alignment every value of the item stands for one value of the document.
+Windows with names are made a second time with the names as plain words, so that a copy
+in another letter case, where names cannot be told from words, keeps them. New names in
+lower case are not recognised.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from demandtide.llm.storage import stored
-from demandtide.llm.words import batch, mix, shingles
+from demandtide.llm.words import batch, mix, shingles, shingles_at
 
 #: Fixed list of unit words; a unit is one of these right after a number.
 UNITS = frozenset(
@@ -104,31 +107,54 @@ class Canonical(dict):
             slot[1:][(kind[1:] == CAPITAL) & (mark[:-1] < _ENDS)] = 3
         return at, slot
 
-    def windows(self, text: str | None, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hashes of all windows of ``n`` words, entries, slots). Windows with under two literal words keep their values."""
+    def windows(self, text: str | None, n: int, either_first: bool = False) -> tuple[np.ndarray, list[tuple]]:
+        """(entries, forms) of all windows of ``n`` words; a form has its windows' starts, hashes and readings, and marks of the slots
+        among all words and of the windows that keep their values, which are those with under two literal words.
+
+        The first form holds all windows. Those with names come again with the names as
+        literal words and, if ``either_first``, the first one with its first word as a name.
+        Readings are 1 with names as names, 2 with names as words, 0 without names, which is both.
+        """
         at, slot = self.words(text)
         if len(at) < n:
-            return np.empty(0, np.uint64), at, slot > 0
+            return at, []
         values = self.hash[at]
+        names, named = slot == 3, np.zeros(len(at) - n + 1, np.int8)
+        if names.any():
+            count = np.concatenate(([0], np.cumsum(names)))
+            named[count[n:] > count[:-n]] = 1
+        forms = [self._form(values, slot, n, np.arange(len(named)), named)]
+        if named.any():
+            starts = np.flatnonzero(named)
+            forms.append(self._form(values, np.where(names, 0, slot), n, starts, np.full(len(starts), 2, np.int8)))
+        if either_first and self.mark[at[0]] & 7 == CAPITAL:
+            forms.append(self._form(values, np.concatenate(([3], slot[1:])), n, np.zeros(1, np.int64), np.ones(1, np.int8)))
+        return at, forms
+
+    @staticmethod
+    def _form(values: np.ndarray, slot: np.ndarray, n: int, starts: np.ndarray, reading: np.ndarray) -> tuple[np.ndarray, ...]:
         spots = np.flatnonzero(slot)
         template = values.copy()
         template[spots] = _MARKS[slot[spots]]
-        out = shingles(template, n)
+        out = shingles(template, n) if len(starts) == len(values) - n + 1 else shingles_at(template, n, starts)
+        exact = np.zeros(len(out), bool)
         if len(spots):
             open_ = np.concatenate(([0], np.cumsum(slot > 0)))
-            kept = np.flatnonzero(n - (open_[n:] - open_[:-n]) < min(2, n))
+            exact = n - (open_[starts + n] - open_[starts]) < min(2, n)
+            kept = np.flatnonzero(exact)
             if len(kept):
                 with np.errstate(over="ignore"):
-                    out[kept] = mix(shingles(values, n)[kept] + _EXACT)
-        return out, at, slot > 0
+                    out[kept] = mix(shingles_at(values, n, starts[kept]) + _EXACT)
+        return starts, out, reading, slot > 0, exact
 
 
-_ITEMS = pa.schema([("item_id", pa.int64()), ("width", pa.int32()), ("h", pa.int64()), ("at", pa.int64()), ("slots", pa.list_(pa.string()))])
-_DOCS = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("at", pa.int64()), ("slots", pa.list_(pa.string()))])
+_ITEMS = pa.schema([("item_id", pa.int64()), ("width", pa.int32()), ("h", pa.int64()), ("at", pa.int64()), ("reading", pa.int8()), ("slots", pa.list_(pa.string()))])
+_DOCS = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("at", pa.int64()), ("reading", pa.int8()), ("slots", pa.list_(pa.string()))])
 
 
-def _values(table: Canonical, at: np.ndarray, slot: np.ndarray, p: int, n: int) -> list[str]:
-    return [table.values[e] for e, s in zip(at[p : p + n].tolist(), slot[p : p + n].tolist()) if s]
+def _values(table: Canonical, at: np.ndarray, slot: np.ndarray, p: int, n: int, exact: bool) -> list[str]:
+    """Values of a window's slots; of all its words where its hash keeps them, as such windows meet whatever their slots are."""
+    return [table.values[e] for e, s in zip(at[p : p + n].tolist(), slot[p : p + n].tolist()) if s or exact]
 
 
 def _item_windows(n: int):
@@ -138,9 +164,11 @@ def _item_windows(n: int):
             for item, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 width = min(n, len(table.words(body)[0]))
                 if width:
-                    h, at, slot = table.windows(body, width)
-                    m = len(h)
-                    yield batch(_ITEMS, [item] * m, [width] * m, h.view(np.int64), list(range(m)), [_values(table, at, slot, p, width) for p in range(m)])
+                    at, forms = table.windows(body, width, either_first=True)
+                    for starts, h, reading, slot, exact in forms:
+                        m = len(h)
+                        slots = [_values(table, at, slot, p, width, e) for p, e in zip(starts.tolist(), exact.tolist())]
+                        yield batch(_ITEMS, [item] * m, [width] * m, h.view(np.int64), starts, reading, slots)
 
     return make
 
@@ -152,23 +180,22 @@ def _document_windows(widths: list[int], known):
             for doc, cell in zip(b.column(0).to_pylist(), b.column(1)):
                 body = cell.as_py()
                 for n in widths:
-                    h, at, slot = table.windows(body, n)
-                    if not len(h):
-                        continue
-                    if wanted is None:
-                        hit = np.arange(len(h))
-                    else:
-                        near = np.searchsorted(wanted, h)
-                        hit = np.flatnonzero(wanted[np.minimum(near, len(wanted) - 1)] == h)
-                    if not len(hit):
-                        continue
-                    open_ = np.concatenate(([0], np.cumsum(slot)))
-                    slotted = open_[hit + n] > open_[hit]
-                    plain, spots = np.unique(h[hit[~slotted]]), hit[slotted]
-                    hashes = np.concatenate((plain, h[spots])).view(np.int64)
-                    where = [None] * len(plain) + spots.tolist()
-                    slots = [[]] * len(plain) + [_values(table, at, slot, p, n) for p in spots.tolist()]
-                    yield batch(_DOCS, [doc] * len(hashes), hashes, where, slots)
+                    at, forms = table.windows(body, n)
+                    for starts, h, reading, slot, exact in forms:
+                        if wanted is None:
+                            hit = np.arange(len(h))
+                        else:
+                            near = np.searchsorted(wanted, h)
+                            hit = np.flatnonzero(wanted[np.minimum(near, len(wanted) - 1)] == h)
+                        if not len(hit):
+                            continue
+                        open_ = np.concatenate(([0], np.cumsum(slot)))
+                        slotted = (open_[starts[hit] + n] > open_[starts[hit]]) | exact[hit]
+                        plain, spots = np.unique(h[hit[~slotted]]), hit[slotted]
+                        hashes = np.concatenate((plain, h[spots])).view(np.int64)
+                        where = [None] * len(plain) + starts[spots].tolist()
+                        slots = [[]] * len(plain) + [_values(table, at, slot, p, n, e) for p, e in zip(starts[spots].tolist(), exact[spots].tolist())]
+                        yield batch(_DOCS, [doc] * len(hashes), hashes, where, [0] * len(plain) + reading[spots].tolist(), slots)
 
     return make
 
@@ -180,12 +207,13 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.8, n: int =
     without words or without id match nothing, nor do null and empty texts. Rows that
     repeat a key are one document. A window without slots counts wherever it stands; one
     with slots counts on an alignment (equal distance between its places in document and
-    item) whose values agree. The sorted window hashes of the benchmark are broadcast as
+    item) whose values agree. Windows over names match as templates or, in any letter case,
+    as words; the forms of a window are aligned apart, so that one cannot spoil the other. The sorted window hashes of the benchmark are broadcast as
     a filter while they are at most ``filter_limit`` (8 bytes each); a larger benchmark is
     joined without it, with the same result.
     """
     bench = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("body")).filter("item_id is not null and body is not null")
-    windows = stored(bench.mapInArrow(_item_windows(n), "item_id long, width int, h long, at long, slots array<string>"), "item-windows")
+    windows = stored(bench.mapInArrow(_item_windows(n), "item_id long, width int, h long, at long, reading byte, slots array<string>"), "item-windows")
     widths = sorted(r.width for r in windows.select("width").distinct().collect())
     sizes = windows.groupBy("item_id").agg(F.count_distinct("at").alias("windows"))
     hashes = windows.select("h").distinct()
@@ -193,13 +221,16 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.8, n: int =
     if widths and hashes.count() <= filter_limit:
         known = docs.sparkSession.sparkContext.broadcast(np.sort(hashes.toPandas().h.to_numpy().view(np.uint64)))
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("body"))
-    met = texts.mapInArrow(_document_windows(widths, known), "id long, h long, at long, slots array<string>") if widths else texts.select("id", F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("slots")).limit(0)
+    met = texts.mapInArrow(_document_windows(widths, known), "id long, h long, at long, reading byte, slots array<string>") if widths else texts.select("id", F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("byte").alias("reading"), F.array().cast("array<string>").alias("slots")).limit(0)
     met = stored(met, "document-windows")
-    w = windows.select("item_id", "h", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
+    w = windows.select("item_id", "h", F.col("at").alias("item_at"), F.col("reading").alias("item_reading"), F.col("slots").alias("item_slots"))
     pairs = met.join(w, "h")
     plain = pairs.filter("at is null").select("id", "item_id", "item_at")
-    aligned = pairs.filter("at is not null").select("id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("slots"))
-    runs = aligned.groupBy("id", "item_id", "shift").agg(F.collect_set("item_at").alias("item_ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    views = F.filter(F.array(F.lit(1), F.lit(2)), lambda v: F.col("reading").isin(0, v) & F.col("item_reading").isin(0, v))
+    aligned = pairs.filter("at is not null").select(
+        "id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), F.explode(views).alias("view"), "item_at", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("slots")
+    )
+    runs = aligned.groupBy("id", "item_id", "shift", "view").agg(F.collect_set("item_at").alias("item_ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     agree = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["i"])))
     slotted = runs.filter(agree).select("id", "item_id", F.explode("item_ats").alias("item_at"))
     covered = plain.unionByName(slotted).distinct().groupBy("id", "item_id").agg(F.count("*").alias("n"))

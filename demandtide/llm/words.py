@@ -29,6 +29,15 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def shingles_at(words: np.ndarray, n: int, starts: np.ndarray) -> np.ndarray:
+    """The runs of ``shingles`` that begin at ``starts``; there are at least ``n`` words."""
+    with np.errstate(over="ignore"):
+        out = mix(words[starts] + np.uint64(n))
+        for k in range(1, n):
+            out = mix(out * _A + words[starts + k])
+    return out
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash; filled as words turn up, emptied when it holds ``limit`` of them."""
 

@@ -17,6 +17,7 @@ from demandtide.llm.pitman_yor import score_texts
 from demandtide.llm.storage import table
 from demandtide.llm.token_counts import token_counts
 from demandtide.llm.url_filter import url_filter
+from demandtide.llm.vector_codes import vector_codes
 from demandtide.llm.words import crc_mod, narrow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,6 +164,31 @@ def op10(spark, sf_dir):
     return scored.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def _codes_sql(rounds: int = 2) -> str:
+    """Rounds of assignment and replacement as common table expressions; squared distances from inner products of small integers are exact."""
+    nearest = """SELECT a.id, a.part, min(CAST(a.vv - 2 * list_inner_product(a.v, b.v) + list_inner_product(b.v, b.v) AS BIGINT) * 64 + b.entry) AS m
+        FROM cut a JOIN book{k} b ON a.part = b.part GROUP BY a.id, a.part"""
+    steps = ["""sound AS (SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label, list_transform(embedding, lambda x : floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0)""",
+        "cut AS (SELECT id, part, v, list_inner_product(v, v) AS vv FROM (SELECT id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS v FROM sound CROSS JOIN range(16) AS r(part)))",
+        "book0 AS (SELECT part, id - 1 AS entry, v FROM cut WHERE id <= 64)"]
+    for k in range(rounds):
+        steps += [f"near{k} AS ({nearest.format(k=k)})",
+            f"sums{k} AS (SELECT part, entry, pos, floor(sum(x) / count(*)) AS x FROM (SELECT part, m % 64 AS entry, unnest(v) AS x, unnest(range(len(v))) AS pos FROM near{k} JOIN cut USING (id, part)) GROUP BY ALL)",
+            f"book{k + 1} AS (SELECT b.part, b.entry, coalesce(s.v, b.v) AS v FROM book{k} b LEFT JOIN (SELECT part, entry, list(x ORDER BY pos) AS v FROM sums{k} GROUP BY ALL) s USING (part, entry))"]
+    steps += [f"last AS ({nearest.format(k=rounds)})",
+        "coded AS (SELECT id, string_agg(printf('%02x', m % 64), '' ORDER BY part) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM last GROUP BY id)",
+        f"digest AS (SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS d FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS pos FROM book{rounds}))"]
+    return "WITH " + ",\n    ".join(steps) + """
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT d FROM digest) AS codebooks_sha256 FROM sound JOIN coded USING (id)"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def op13(spark, sf_dir):
+    """Codes of all sound vectors under codebooks of 64 entries for 16 parts."""
+    return vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")).drop("label")
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     """The stages of corpus_pipeline over the documents."""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandtide.llm.chat_format import chat_format, digests
 from demandtide.llm.decontaminate import decontaminate
+from demandtide.llm.filter_audit import filter_audit
 from demandtide.llm.language_id import predict, train_model
 from demandtide.llm.line_chunks import line_dedup
 from demandtide.llm.minhash_dedup import minhash_dedup
@@ -164,6 +165,32 @@ def op10(spark, sf_dir):
     return scored.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query(
+    "op12_filter_audit",
+    r"""WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+    words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM docs),
+    known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+    facts AS (SELECT w.part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+        FROM words w LEFT JOIN known USING (doc_id)),
+    stats AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM facts GROUP BY ALL),
+    orders AS (SELECT '' AS o UNION ALL SELECT o || f FROM orders, unnest(['A', 'B', 'C', 'D', 'E']) AS u(f) WHERE NOT contains(o, f)),
+    steps AS (SELECT o, s AS step, o[s] AS f, o[1:s - 1] AS before FROM orders, unnest([1, 2, 3, 4, 5]) AS u(s) WHERE length(o) = 5),
+    judged AS (SELECT part, o, step, n, good, toxic, contains(fails, f) AS hit, regexp_matches(fails, '[' || before || '-]') AS gone, fails = f AS alone, length(fails) AS k FROM stats, steps)
+    SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0) AS BIGINT) AS kept,
+        CAST(coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS BIGINT) AS removed, CAST(coalesce(sum(n) FILTER (hit AND gone), 0) AS BIGINT) AS redundant,
+        CAST(coalesce(sum(n) FILTER (alone), 0) AS BIGINT) AS unique_fails, CAST(coalesce(sum(good) FILTER (hit AND NOT gone), 0) AS BIGINT) AS good_lost,
+        CAST(coalesce(sum(toxic) FILTER (hit AND NOT gone), 0) AS BIGINT) AS toxic_lost, CAST(coalesce(sum(n * 120 // greatest(k, 1)) FILTER (hit), 0) AS BIGINT) AS shapley
+    FROM judged GROUP BY part, o, step""",
+)
+def op12(spark, sf_dir):
+    """What five filters remove from the documents of every source, in all their orders."""
+    return filter_audit(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), table(spark, sf_dir, "labels"))
+
+
 def _codes_sql(rounds: int = 2) -> str:
     """Rounds of assignment and replacement as common table expressions; squared distances from inner products of small integers are exact."""
     nearest = """SELECT a.id, a.part, min(CAST(a.vv - 2 * list_inner_product(a.v, b.v) + list_inner_product(b.v, b.v) AS BIGINT) * 64 + b.entry) AS m

@@ -1,9 +1,9 @@
 """Filter interaction audit: what each of five filters removes, in every order they can be applied in.
 
 The documents become a sparse document-term matrix. A task reads blocks of whole
-documents and writes a block's rows over the block's own word list; the word lists of
-all blocks are dealt by word, every word gets one global code, and the codes go back to
-their blocks, which become CSR shards over the global dictionary. Row sums (words) and
+documents and writes a block's rows over the block's own word list, which is cut by a
+hash of the words; the cuts of all blocks meet, every word gets one global code, and the
+codes go back to their blocks, which become CSR shards over the global dictionary. Row sums (words) and
 nonzero counts (distinct words) of the shards decide filters A and B. The other filters
 are marks taken from the text on the way; identical texts meet by their SHA-256. The
 counts of all 32 combinations of failures a part then give every order.
@@ -18,10 +18,11 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from demandtide.llm.storage import stored
+from demandtide.llm.storage import held, removed, stored
 from demandtide.llm.words import batch, lists
 
 #: The filters of the audit, in the order of their bits.
@@ -36,7 +37,8 @@ BLOCK_ROWS = 8192
 
 #: Of every document: key, part, digest of the text and the marks of filters C and D.
 _FACTS = [("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("digests", pa.list_(pa.binary())), ("marks", pa.list_(pa.int8()))]
-_BLOCK = pa.schema([("block", pa.int64()), *_FACTS, ("ends", pa.list_(pa.int64())), ("terms", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("words", pa.list_(pa.binary()))])
+#: A block: its facts, row ends and packed 32-bit terms and counts (cut null), or a cut of its word list, joined by spaces.
+_BLOCK = pa.schema([("block", pa.int64()), *_FACTS, ("ends", pa.list_(pa.int64())), ("terms", pa.binary()), ("counts", pa.binary()), ("cut", pa.int32()), ("words", pa.binary())])
 _SHARD = pa.schema([("block", pa.int64()), *_FACTS, ("indptr", pa.list_(pa.int64())), ("indices", pa.list_(pa.int64())), ("data", pa.list_(pa.int32()))])
 _FACTS_DDL = "block long, ids array<long>, parts array<string>, digests array<binary>, marks array<tinyint>"
 
@@ -56,73 +58,80 @@ class _Codes(dict):
         return n
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(cuts: int):
     """Blocks of whole documents (id, part, body) as rows over their own word lists; a block ends at ``BLOCK_BYTES`` of text or ``BLOCK_ROWS`` rows."""
-    task, made = TaskContext.get().partitionId(), 0
-    facts, terms, counts, words, size = [], [], [], _Codes(), 0
-
-    def block() -> pa.RecordBatch:
-        ends = np.concatenate(([0], np.cumsum([len(t) for t in terms])))
-        matrix = [lists([ends], pa.int64()), lists([np.concatenate(terms)], pa.int32()), lists([np.concatenate(counts)], pa.int32())]
-        return batch(_BLOCK, [task << 32 | made], *([list(x)] for x in zip(*facts)), *matrix, [list(words)])
-
-    for b in batches:
-        for key, part, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-            body = body.as_py() or b""
-            found = body.split()
-            at, n = np.unique(np.fromiter(map(words.__getitem__, found), np.int32, len(found)), return_counts=True)
-            facts.append((key, part, hashlib.sha256(body).digest(), marks(body)))
-            terms.append(at)
-            counts.append(n.astype(np.int32))
-            size += len(body)
-            if size >= BLOCK_BYTES or len(facts) >= BLOCK_ROWS:
-                yield block()
-                made, facts, terms, counts, words, size = made + 1, [], [], [], _Codes(), 0
-    if facts:
-        yield block()
-
-
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, place, code) of the words (word, block, place) of a sorted partition: equal words follow each other and get one code.
-
-    A code is the partition's number and the word's rank in it, so it is the same if the
-    task runs again.
-    """
-    high, rank, last = TaskContext.get().partitionId() << 40, -1, None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        runs = pc.run_end_encode(b.column(0))
-        ends, values = np.asarray(runs.run_ends), runs.values
-        fresh = last is None or values[0].as_py() != last
-        of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)) + (rank + 1 if fresh else rank)
-        rank, last = int(of[-1]), values[len(values) - 1].as_py()
-        yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(of + high)], names=["block", "place", "code"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId(), 0
+        facts, terms, counts, words, size = [], [], [], _Codes(), 0
+
+        def block() -> Iterator[pa.RecordBatch]:
+            name, listed = task << 32 | made, list(words)
+            cut = np.fromiter((xxhash.xxh3_64_intdigest(w) % cuts for w in listed), np.int32, len(listed))
+            order = np.argsort(cut, kind="stable")
+            place = np.empty(len(listed), np.int32)
+            place[order] = np.arange(len(listed), dtype=np.int32)
+            ends = np.concatenate(([0], np.cumsum([len(t) for t in terms])))
+            yield batch(_BLOCK, [name], *([list(x)] for x in zip(*facts)), lists([ends], pa.int64()), [place[np.concatenate(terms)].tobytes()], [np.concatenate(counts).tobytes()], [None], [None])
+            met, first = np.unique(cut[order], return_index=True)
+            for c, own in zip(met.tolist(), np.split(order, first[1:])) if len(met) else ():
+                yield batch(_BLOCK, [name], *([None] for _ in range(7)), [c], [b" ".join([listed[k] for k in own])])
+
+        for b in batches:
+            for key, part, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                body = body.as_py() or b""
+                found = body.split()
+                at, n = np.unique(np.fromiter(map(words.__getitem__, found), np.int32, len(found)), return_counts=True)
+                facts.append((key, part, hashlib.sha256(body).digest(), marks(body)))
+                terms.append(at)
+                counts.append(n.astype(np.int32))
+                size += len(body)
+                if size >= BLOCK_BYTES or len(facts) >= BLOCK_ROWS:
+                    yield from block()
+                    made, facts, terms, counts, words, size = made + 1, [], [], [], _Codes(), 0
+        if facts:
+            yield from block()
+
+    return read
+
+
+def _number(key: tuple[pa.Scalar, ...], cuts: pa.Table) -> pa.Table:
+    """Codes of all words of one cut (block, cut, words): the cut's number and the word's rank among the cut's distinct words, so a second run gives the same."""
+    lists_ = [w.as_py().split(b" ") for w in cuts.column("words")]
+    met = pa.array([w for x in lists_ for w in x], pa.binary()).dictionary_encode()
+    rank = np.empty(len(met.dictionary), np.int64)
+    rank[np.asarray(pc.sort_indices(met.dictionary))] = np.arange(len(rank))
+    codes = rank[np.asarray(met.indices)] | (key[0].as_py() << 40)
+    return pa.table({"block": cuts.column("block"), "cut": cuts.column("cut"), "codes": lists(np.split(codes, np.cumsum([len(x) for x in lists_])[:-1]), pa.int64())})
 
 
 def _shards(block: pa.Table, codes: pa.Table) -> pa.Table:
-    """One block's rows over the global codes."""
-    code = np.empty(codes.num_rows, np.int64)
-    code[np.asarray(codes.column("place"))] = np.asarray(codes.column("code"))
+    """One block's rows over the global codes: its places follow the cuts."""
+    parts = [np.asarray(codes.column("codes")[int(k)].values) for k in np.argsort(np.asarray(codes.column("cut")))]
+    code = np.concatenate([np.empty(0, np.int64), *parts])
     b = block.combine_chunks().to_batches()[0]
     cells = dict(zip(b.schema.names, b.columns))
-    indices = lists([code[np.asarray(cells["terms"].flatten())]], pa.int64())
-    return pa.Table.from_batches([batch(_SHARD, *(cells[f.name] for f in list(_SHARD)[:5]), cells["ends"], indices, cells["counts"])])
+    terms, counts = (np.frombuffer(cells[name][0].as_py(), np.int32) for name in ("terms", "counts"))
+    return pa.Table.from_batches([batch(_SHARD, *(cells[f.name] for f in list(_SHARD)[:5]), cells["ends"], lists([code[terms]], pa.int64()), lists([counts], pa.int32()))])
 
 
 def document_terms(df: DataFrame) -> DataFrame:
     """Stored CSR shards (block, ids, parts, digests, marks, indptr, indices, data) of ``df`` (id long, part string, body binary).
 
     ``indices`` are codes of one dictionary over all shards, ``data`` the counts; a null
-    body is an empty row. A word stands once in a block's list however often its
-    documents hold it, so the most frequent word is as many rows as there are blocks.
+    body is an empty row. There are as many cuts of the dictionary as shuffle partitions.
+    A word stands once in a block's list however often its documents hold it, so the most
+    frequent word is as many entries of its cut as there are blocks.
     """
-    blocks = stored(df.select("id", "part", "body").mapInArrow(_blocks, f"{_FACTS_DDL}, ends array<long>, terms array<int>, counts array<int>, words array<binary>"), "term-blocks")
-    words = blocks.select("block", F.posexplode("words").alias("place", "word")).select("word", "block", "place")
-    codes = words.repartition("word").sortWithinPartitions("word").mapInArrow(_number, "block long, place int, code long")
-    local = blocks.drop("words")
+    spark = df.sparkSession
+    cuts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks, folder = held(df.select("id", "part", "body").mapInArrow(_blocks(cuts), f"{_FACTS_DDL}, ends array<long>, terms binary, counts binary, cut int, words binary"), "term-blocks")
+    codes = blocks.filter("cut is not null").select("block", "cut", "words").groupBy("cut").applyInArrow(_number, "block long, cut int, codes array<long>")
+    local = blocks.filter("cut is null").drop("cut", "words")
     joined = local.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(_shards, f"{_FACTS_DDL}, indptr array<long>, indices array<long>, data array<int>")
-    return stored(joined, "term-shards")
+    shards, _ = held(joined, "term-shards")
+    removed(spark, folder)
+    return shards
 
 
 def _row_masks(fewest: int, share: int):

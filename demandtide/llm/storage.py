@@ -20,5 +20,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def held(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stored``, zstd-packed, with its folder, for ``removed`` when nothing reads it any more."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    """Takes a folder of ``held`` away."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -15,6 +15,7 @@ from demandtide.llm.minhash_dedup import minhash_dedup
 from demandtide.llm.near_vectors import near_vectors
 from demandtide.llm.packing import pack, word_count
 from demandtide.llm.pitman_yor import score_texts
+from demandtide.llm.quality import quality_scores
 from demandtide.llm.storage import table
 from demandtide.llm.token_counts import token_counts
 from demandtide.llm.url_filter import url_filter
@@ -165,6 +166,13 @@ def op10(spark, sf_dir):
     return scored.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query("op11_quality")
+def op11(spark, sf_dir):
+    """Quality of every document, learned from the positives among those whose key's checksum modulo 4 is not 2."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return quality_scores(docs, labels, lambda key: F.crc32(key.cast("string")) % 4 == 2)
+
+
 @query(
     "op12_filter_audit",
     r"""WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from demandtide.catalog.features import _BL, _dense_sql
 from demandtide.catalog.registry import query, r4, with_sql, ym
-from demandtide.catalog.roles import hierarchy, lines, sku_label
+from demandtide.catalog.roles import LABELS, hierarchy, lines, sku_label
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_ym
 from demandtide.operators.dense import target_window
-from demandtide.plans import forecasting as L, supervised as S
+from demandtide.plans import forecasting as L, least_squares as Q, supervised as S
 from demandtide.session import written
 
 KEYS = ["brand", "label"]
@@ -152,6 +152,75 @@ def _(spark, d):
     return made.withColumn("prediction", round_places("prediction", PLACES))
 
 
+# Linear models of every horizon and origin from one scan.
+RIDGE = 50.0
+BACKS = list(range(24, 0, -1))
+
+
+def scoped_facts(spark, d):
+    """Sales by product and month of both scopes and of their sum."""
+    facts = sku_label(spark, d)
+    return facts.select("sku", F.explode(F.array("label", F.lit(LABELS[-1]))).alias("label"), "m", "offtake")
+
+
+def _fits_sql(backs, features, fit, body, by=()):
+    """Fits of every group of ``by``, horizon and origin over products or brands, as ``made``."""
+    grain, facts = ("sku", "SELECT sku, label, m, offtake AS v FROM sku_label UNION ALL SELECT sku, 'il', m, offtake FROM sku_label") if by else ("brand", None)
+    keyed = "".join(f"{c}, " for c in by)
+    same = "".join(f" AND f.{c} = k.{c}" for c in by)
+    start = f"bl AS ({facts})" if facts else _BL
+    lags = ", ".join(f"coalesce(lag(v, {n - 1}) OVER w, 0) AS x{k}" for k, n in enumerate(features))
+    return with_sql(
+        f"""WITH {start}, {_dense_sql('dn', [grain, 'label'], 'sum(v)', 'bl')},
+        lagged AS (SELECT {grain}, label, m, v, {lags} FROM dn WINDOW w AS (PARTITION BY {grain}, label ORDER BY r)),
+        known AS (SELECT o.* EXCLUDE (v, m), o.m AS om, h, t.v AS y FROM lagged o CROSS JOIN (SELECT unnest(range(1, 13)) AS h) LEFT JOIN dn t ON t.{grain} = o.{grain} AND t.label = o.label AND t.m = o.m + h),
+        cuts AS (SELECT max(m) - b AS c FROM months, (SELECT unnest({list(backs)}) AS b) GROUP BY b),
+        fits AS (SELECT {keyed}c, h, count(*) AS n_rows, {fit} FROM known, cuts WHERE y IS NOT NULL AND om + h <= c GROUP BY ALL),
+        made AS (SELECT k.*, f.n_rows, f.base, f.w FROM known k JOIN fits f ON f.h = k.h AND f.c = k.om{same}) {body}""",
+        "sku_label", "master", "months", "ranked",
+    )
+
+
+_ONE = "coalesce(regr_slope(y, x0), 0) AS slope, coalesce(regr_intercept(y, x0), avg(y)) AS base, [slope] AS w"
+_X = f"(var_pop(x0) + {RIDGE} / count(*))"
+_Z = f"(var_pop(x1) + {RIDGE} / count(*))"
+_DET = f"({_X} * {_Z} - covar_pop(x0, x1) ** 2)"
+_W0 = f"((covar_pop(y, x0) * {_Z} - covar_pop(y, x1) * covar_pop(x0, x1)) / {_DET})"
+_W1 = f"((covar_pop(y, x1) * {_X} - covar_pop(y, x0) * covar_pop(x0, x1)) / {_DET})"
+_TWO = f"avg(y) - {_W0} * avg(x0) - {_W1} * avg(x1) AS base, [{_W0}, {_W1}] AS w"
+_FITTED = f"{ym('om')} AS date_when_predicting, {ym('om + h')} AS date_to_predict, CAST(h AS INTEGER) AS horizon, y AS target, n_rows"
+
+
+@query("forecast_ridge", _fits_sql([0], [1, 12], _TWO, f"SELECT sku, label, {_FITTED}, {_r2('greatest(base + w[1] * x0 + w[2] * x1, 0)')} AS prediction FROM made", ("label",)))
+def _(spark, d):
+    """Ridge on the sales of the last and of the twelfth last month, per scope and horizon at product grain: 36 fits from one scan."""
+    level = S.Level("own_", ("sku", "label"), "offtake", 12)
+    table = S.supervised_table(scoped_facts(spark, d), ["sku", "label"], "m", "offtake", [level], HORIZONS[-1])
+    made = Q.linear_forecast(table, ["sku", "label"], ["own_sales1", "own_sales12"], cutoff(spark, d), HORIZONS, ["label"], RIDGE)
+    return made.withColumn("prediction", round_places("prediction", PLACES))
+
+
+@query("backtest_linear", _fits_sql(BACKS, [1], _ONE, f"SELECT brand, label, {_FITTED}, {_r2('greatest(base + w[1] * x0, 0)')} AS prediction FROM made"))
+def _(spark, d):
+    """Twenty-four monthly origins and twelve horizons: 288 fits from one scan."""
+    origins = [cutoff(spark, d, back) for back in (BACKS[0],)]
+    first = origins[0] // 100 * 12 + origins[0] % 100
+    origins = [(first + k - 1) // 12 * 100 + (first + k - 1) % 12 + 1 for k in range(len(BACKS))]
+    made = Q.linear_backtest(line_table(spark, d, HORIZONS[-1]), KEYS, [LAST_SALES], origins, HORIZONS)
+    return made.withColumn("prediction", round_places("prediction", PLACES))
+
+
+@query("backtest_errors")
+def _(spark, d):
+    """Ridge on every feature of the brand table, three years of history: absolute error and bias by horizon over 24 origins."""
+    last = cutoff(spark, d, BACKS[0])
+    first = last // 100 * 12 + last % 100
+    origins = [(first + k - 1) // 12 * 100 + (first + k - 1) % 12 + 1 for k in range(len(BACKS))]
+    made = Q.linear_backtest(training_table(spark, d, HORIZONS[-1]), KEYS, FEATURES, origins, HORIZONS, ridge=RIDGE, months=36)
+    known = made.filter(F.col("target").isNotNull())
+    return known.groupBy("horizon").agg(F.count("*").alias("n_rows"), F.sum(F.abs(F.col("prediction") - F.col("target"))).alias("error"), F.sum(F.col("prediction") - F.col("target")).alias("bias"), F.sum("target").alias("sold"))
+
+
 @query("forecast_global_line", _line_sql([0], 12, f"SELECT {_LINE_ROWS}", whole=True))
 def _(spark, d):
     table = written(L.global_table(line_table(spark, d, HORIZONS[-1]), [LAST_SALES]))

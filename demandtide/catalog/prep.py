@@ -13,7 +13,7 @@ from demandtide.functions.periods import idx_to_date, idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
 from demandtide.operators.quality import check_contract
 from demandtide.operators.reshaping import drop_empty_rows, month_columns, normalised_names, unpivot_long
-from demandtide.plans import prep as J
+from demandtide.plans import flows, prep as J
 
 _YM = f"{ym('m')} AS ym"
 BRANDS = [f"Brand#{b}" for b in range(1, 26)]
@@ -206,33 +206,62 @@ def _(spark, d):
     return out.select("l_orderkey", "l_partkey", "l_linenumber", "sku", round_places("price").alias("price"))
 
 
+FLOW_CYCLE = 23970
+FLOW_KINDS = ("sellout", "offtake", "sp_inv", "retailer_inv", "sellin")
+#: feed, type, provider, status, first, last, state, priority; of the rules in SQL.
+_FLOW_RULES = """('u1_sellout', 'sellout', 'U1', 'actual', -2, -2, 'sent', 'BBC'), ('u1_offtake', 'offtake', 'U1', 'actual', -2, -1, NULL, 'BBC'),
+        ('u1_retailer_inv', 'retailer_inv', 'U1', 'actual', -2, -2, NULL, 'Total'), ('u1_sp_inv', 'sp_inv', 'U1', 'actual', NULL, NULL, 'good', 'Total'),
+        ('yuou_sellout', 'sellout', 'Yuou', 'actual', -2, -2, 'sent', 'Distribution'), ('yuou_offtake', 'offtake', 'Yuou', 'actual', -2, -1, 'sent', 'Distribution'),
+        ('yuou_replaced', 'offtake', 'Yuou', 'actual', -2, -1, 'sent', 'Distribution'), ('yuou_retailer_inv', 'retailer_inv', 'Yuou', 'actual', -2, -2, NULL, 'Total'),
+        ('yuou_sp_inv', 'sp_inv', 'Yuou', 'actual', NULL, NULL, 'scrap', 'Total'), ('u1_sellin', 'sellin', 'U1', 'actual', -2, -2, 'all', 'Total'),
+        ('yuou_sellin', 'sellin', 'Yuou', 'actual', -2, -2, 'all', 'Total'), ('u1_sellin', 'sellin', 'U1', 'forecasted', -1, 4, 'all', 'Total'), ('yuou_sellin', 'sellin', 'Yuou', 'forecasted', -1, 4, 'all', 'Total')"""
+
+
 @query(
     "job_tradeflow",
     with_sql(
-        f"""WITH s AS (
-          SELECT 'offtake' AS type, sku, CASE channel WHEN '1-URGENT' THEN 'Ali' WHEN '2-HIGH' THEN 'JD' ELSE 'New channel' END AS channel, status, m, qty AS quantity FROM channel_lines WHERE status IN ('F', 'O')
-          UNION ALL SELECT 'sellin', sku, channel, status, om, kept FROM channel_lines WHERE om BETWEEN 23990 AND 24004),
-        o AS (SELECT * FROM s WHERE channel <> '5-LOW' UNION ALL SELECT 'sellin', sku, '5-LOW', status, m, qty * 2 FROM channel_lines WHERE channel = '4-NOT SPECIFIED'),
-        g AS (SELECT type, sku, channel, status, m, sum(quantity) AS quantity FROM o GROUP BY ALL)
-        SELECT type, sku, sku_name, channel, status, {_YM}, quantity * (p_size * 100.0::DOUBLE) / 1e6 AS quantity FROM g JOIN (SELECT sku, p_name AS sku_name, p_size FROM master WHERE tier <> 'MEDIUM') USING (sku)""",
-        "channel_lines", "master",
+        f"""WITH raw AS (SELECT (CASE WHEN l_linestatus = 'O' THEN 'u1' ELSE 'yuou' END) || '_' || CASE o_orderpriority WHEN '1-URGENT' THEN 'sellout' WHEN '2-HIGH' THEN 'offtake' WHEN '3-MEDIUM' THEN 'sp_inv' WHEN '4-NOT SPECIFIED' THEN 'retailer_inv' ELSE 'sellin' END AS feed,
+            l_partkey AS sku, CASE o_custkey % 7 WHEN 0 THEN 'YUNJI' WHEN 1 THEN 'pop' ELSE 'C' || (o_custkey % 7) END AS party, l_suppkey % 2 = 0 AS near, o_orderstatus AS st, CAST(year(l_shipdate) * 12 + month(l_shipdate) AS INTEGER) AS m, l_quantity AS q
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+        twice AS (SELECT * FROM raw UNION ALL SELECT 'yuou_replaced', sku, party, near, st, m, q * 2 FROM raw WHERE feed = 'yuou_offtake' AND party = 'YUNJI'),
+        stated AS (SELECT *, CASE WHEN feed LIKE '%sell%' OR feed LIKE '%offtake' OR feed = 'yuou_replaced' THEN (CASE WHEN feed LIKE '%sellin' THEN (CASE WHEN st <> 'P' THEN 'all' END) WHEN st <> 'O' THEN 'sent' END)
+            WHEN feed = 'u1_sp_inv' THEN (CASE WHEN st = 'F' THEN 'good' ELSE 'scrap' END) WHEN feed = 'yuou_sp_inv' THEN (CASE WHEN st = 'F' THEN 'good' ELSE 'scrap' END) END AS state FROM twice
+            WHERE NOT (feed = 'yuou_offtake' AND party = 'YUNJI') AND NOT (feed = 'u1_sp_inv' AND party = 'pop')),
+        rules(rfeed, type, sp, status, lo, hi, rstate, chan) AS (VALUES {_FLOW_RULES}),
+        hit AS (SELECT *, CASE WHEN type = 'sp_inv' THEN {FLOW_CYCLE} - 2 ELSE m END AS mm FROM stated JOIN rules ON rfeed = feed AND (rstate IS NULL OR rstate = state) AND (lo IS NULL OR m - {FLOW_CYCLE} BETWEEN lo AND hi)
+            WHERE NOT (status = 'forecasted' AND near AND m - {FLOW_CYCLE} > 3)),
+        g AS (SELECT sku, sp, type, status, CASE WHEN type IN ('sellout', 'offtake') THEN (CASE party WHEN 'C2' THEN 'Ali' WHEN 'C3' THEN 'NewChannel' WHEN 'YUNJI' THEN 'YUNJI' ELSE chan END) ELSE chan END AS channel, mm AS m, sum(q) AS q FROM hit WHERE sku % 10 <> 3 GROUP BY ALL)
+        SELECT g.sku, sku_name, sp, type, channel, status, {ym('m')} AS ym, {r4('q * (p_size * 100.0::DOUBLE) / 1e6')} AS quantity FROM g JOIN master USING (sku) LEFT JOIN (SELECT sku, p_name AS sku_name FROM master WHERE tier <> 'MEDIUM') USING (sku)""",
+        "master",
     ),
 )
 def _(spark, d):
-    base = channel_lines(spark, d)
-    sellin = base.select("sku", "channel", "status", F.col("om").alias("m"), F.col("kept").alias("quantity"))
-    offtake = base.select("sku", "channel", "status", "m", F.col("qty").alias("quantity"))
-    sources = [
-        J.FlowSource(offtake, "offtake", {"1-URGENT": "Ali", "2-HIGH": "JD"}, statuses=["F", "O"]),
-        J.FlowSource(sellin, "sellin", months=(-10, 4)),
-    ]
-    redo = offtake.filter("channel = '4-NOT SPECIFIED'").withColumns(
-        {"type": F.lit("sellin"), "channel": F.lit("5-LOW"), "quantity": F.col("quantity") * 2}
+    """Ten feeds in one frame, two per order priority; one retailer's rows come from an eleventh."""
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_orderstatus", "o_custkey")
+    joined = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "l_shipdate", "l_quantity").join(orders, "l_orderkey")
+    side = F.when(F.col("l_linestatus") == "O", "u1").otherwise("yuou")
+    kind = F.element_at(F.array(*[F.lit(k) for k in FLOW_KINDS]), F.substring("o_orderpriority", 1, 1).cast("int"))
+    customer, status = F.col("o_custkey") % 7, F.col("o_orderstatus")
+    state = (
+        F.when(kind.isin("sellout", "offtake"), F.when(status != "O", flows.SHIPPED)).when(kind == "sellin", F.when(status != "P", flows.TOTAL_STATE))
+        .when(kind == "sp_inv", F.when(status == "F", flows.GOOD).otherwise(flows.SCRAP[0]))
+    )
+    party = F.when(customer == 0, flows.REPLACED).when(customer == 1, flows.OWN_STOCK).otherwise(F.concat(F.lit("C"), customer.cast("string")))
+    rows = joined.select(
+        F.concat_ws("_", side, kind).alias("feed"), F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("sku"), party.alias("party"),
+        F.when(F.col("l_suppkey") % 2 == 0, flows.PLANT).otherwise("Other").alias("plant"), state.alias("state"), month_idx("l_shipdate").alias("m"), F.col("l_quantity").alias("quantity"),
     )
-    products = master(spark, d).filter("tier != 'MEDIUM'").select("sku", F.col("p_name").alias("sku_name"))
-    grams = master(spark, d).select("sku", (F.col("p_size") * 100.0).alias("grams"))
-    out = J.tradeflow(sources, products, grams, "sku", "m", 24000, ("channel", "5-LOW", redo))
-    return out.withColumn("ym", idx_to_ym("m")).drop("m")
+    again = rows.filter((F.col("feed") == "yuou_offtake") & (F.col("party") == flows.REPLACED)).withColumns({"feed": F.lit("yuou_replaced"), "quantity": F.col("quantity") * 2})
+    feeds = [f"{s}_{k}" for s in ("u1", "yuou") for k in FLOW_KINDS] + ["yuou_replaced"]
+    sold = [f for f in feeds if f.endswith(("sellout", "offtake", "replaced"))]
+    channels = spark.createDataFrame([(f, *p) for f in sold for p in (("C2", "ALI"), ("C3", "New channel"), (flows.REPLACED, flows.REPLACED))], "feed string, party string, channel string")
+    every = F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed")
+    parts = master(spark, d)
+    names = parts.filter("sku % 10 != 3").select(every, F.concat(F.lit("P"), F.col("sku").cast("string")).alias("feed_sku"), "sku")
+    products = parts.filter("tier != 'MEDIUM'").select("sku", F.col("p_name").alias("sku_name"))
+    grams = parts.select("sku", (F.col("p_size") * 100.0).alias("grams"))
+    out = flows.trade_flow(rows.unionByName(again), flows.di_rules(), FLOW_CYCLE, channels, names, products, grams)
+    return out.select("sku", "sku_name", "sp", "type", "channel", "status", idx_to_ym("m").alias("ym"), round_places("quantity").alias("quantity"))
 
 
 @query(

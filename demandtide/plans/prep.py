@@ -8,7 +8,6 @@ job gets them as a list of names.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -120,48 +119,6 @@ def customers(df: DataFrame, name: str, virtual: str, columns: Mapping[str, str]
     return df.filter(~F.col(name).contains(virtual)).select(*[F.col(c).alias(n) for c, n in columns.items()])
 
 
-@dataclass(frozen=True)
-class FlowSource:
-    """One source of the trade flow and the rules applied to it."""
-
-    rows: DataFrame
-    kind: str
-    channels: Mapping[str, str] = field(default_factory=dict)
-    default_channel: str = "New channel"
-    statuses: Sequence[str] | None = None
-    months: tuple[int, int] | None = None
-
-
-def tradeflow(
-    sources: Sequence[FlowSource], products: DataFrame, grams: DataFrame, sku: str, month: str, cycle: int,
-    override: tuple[str, str, DataFrame] | None = None,
-) -> DataFrame:
-    """All sources in one long flow in tons: channels mapped, statuses and months kept, products mapped, summed."""
-    keys = ["type", sku, "channel", "status", month]
-    parts = []
-    for source in sources:
-        rows = source.rows
-        if source.statuses is not None:
-            rows = rows.filter(F.col("status").isin(*source.statuses))
-        if source.months is not None:
-            rows = rows.filter(F.col(month).between(cycle + source.months[0], cycle + source.months[1]))
-        mapped = C.map_values("channel", source.channels, keep_unmapped=False) if source.channels else F.col("channel")
-        parts.append(
-            rows.select(
-                F.lit(source.kind).alias("type"), sku, F.coalesce(mapped, F.lit(source.default_channel)).alias("channel"),
-                "status", month, "quantity",
-            )
-        )
-    stacked = union_sources(parts)
-    if override is not None:
-        column, value, rows = override
-        stacked = override_rows(stacked, rows.select(*stacked.columns), column, value)
-    # Summed before the product mapping, so the joins see one row per key.
-    sums = group_sum(stacked, keys, ["quantity"])
-    known = lookup(lookup(sums, products, sku, "inner"), grams, sku, "left")
-    return known.withColumn("quantity", C.tins_to_tons("quantity", "grams")).drop("grams")
-
-
 # --- scopes ----------------------------------------------------------------------------
 
 

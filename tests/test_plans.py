@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from demandtide.functions.periods import idx_to_date
 from demandtide.plans import diagnostics as D, forecasting as L, granularity as G, kpis as K, masters as M, postprocess as O, scenario as Z, supervised as S
-from demandtide.plans.prep import FlowSource, availability_sheet, months_long, tradeflow, unit_price
+from demandtide.plans.prep import availability_sheet, months_long, unit_price
 
 HOLES = random.Random(5)
 CYCLE_ROWS = [
@@ -242,14 +242,6 @@ def test_prep_sheets(spark):
     assert [(r.uplift, str(r.date)) for r in months_long(uplift, ["country"], ["1/1/2020", "2/1/2020"], "uplift").collect()] == [(0.25, "2020-01-01")]
 
 
-def test_tradeflow_rules(spark):
-    rows = spark.createDataFrame([("s", "ali", "actual", 24000, 10.0), ("s", "odd", "actual", 24000, 5.0), ("s", "ali", "plan", 24000, 99.0), ("s", "ali", "actual", 23000, 7.0)], "sku string, channel string, status string, m int, quantity double")
-    products = spark.createDataFrame([("s", "name")], "sku string, name string")
-    grams = spark.createDataFrame([("s", 1e6)], "sku string, grams double")
-    out = tradeflow([FlowSource(rows, "offtake", {"ali": "Ali"}, statuses=["actual"], months=(-3, 0))], products, grams, "sku", "m", 24000)
-    assert {(r.channel, r.quantity) for r in out.collect()} == {("Ali", 10.0), ("New channel", 5.0)}
-
-
 def test_direct_forecast_learns_a_copy(spark):
     rnd = random.Random(1)
     rows = [(f"s{s}", 24000 + t, h, 200000 + t % 12 + 1, 200000 + t, float(x), float(2 * x)) for s in range(4) for t in range(30) for h in (1, 2) for x in [rnd.randrange(20)]]

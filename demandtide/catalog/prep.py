@@ -7,13 +7,13 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import date_of, div, query, r4, with_sql, ym
-from demandtide.catalog.roles import channel_lines, hierarchy, lines, master, panel, sku_label, table
+from demandtide.catalog.roles import CHANNELS, channel_lines, hierarchy, lines, master, panel, sku_label, table
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_date, idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
 from demandtide.operators.quality import check_contract
 from demandtide.operators.reshaping import drop_empty_rows, month_columns, normalised_names, unpivot_long
-from demandtide.plans import flows, prep as J
+from demandtide.plans import flows, prep as J, unified
 
 _YM = f"{ym('m')} AS ym"
 BRANDS = [f"Brand#{b}" for b in range(1, 26)]
@@ -391,21 +391,35 @@ def _(spark, d):
     return out.select("sku", "channel", F.col("month").cast("int").alias("ym"), "offtake", "stock")
 
 
+PLAN_MONTHS = 18
+#: What of the history is missing: every fourth month, one brand's last years, another brand altogether.
+_GAPS = "m % 4 <> 0 AND NOT (brand = 'Brand#7' AND m > 23950) AND brand <> 'Brand#9'"
+
+
 @query(
     "job_unified_uplift",
     with_sql(
-        f"""WITH v AS (SELECT brand AS section, tier AS stage, m, sum(qty) AS volume FROM lines JOIN master USING (sku) GROUP BY ALL),
-        h AS (SELECT brand AS section, tier AS stage, m, channel, sum(kept) AS k FROM channel_lines JOIN master USING (sku) GROUP BY ALL),
-        s AS (SELECT section, stage, m, channel, CASE WHEN sum(k) OVER w = 0 THEN 1.0 / count(*) OVER w ELSE k / sum(k) OVER w END AS share FROM h WINDOW w AS (PARTITION BY section, stage, m))
-        SELECT section, stage, channel, {_YM}, {r4("volume * share * (1 + CASE WHEN channel = '1-URGENT' THEN 0.25 ELSE 0 END)")} AS quantity FROM v JOIN s USING (section, stage, m)""",
+        f"""WITH span AS (SELECT max(m) - {PLAN_MONTHS} AS lo FROM lines),
+        v AS (SELECT brand AS section, tier AS stage, m, sum(qty) AS offtake, sum(kept) AS sellin FROM lines JOIN master USING (sku), span WHERE m > lo GROUP BY ALL),
+        h AS (SELECT brand AS section, tier AS stage, sku, channel, m, (m - 1) // 12 AS y, sum(kept) AS k FROM channel_lines JOIN master USING (sku) WHERE {_GAPS} GROUP BY ALL HAVING sum(kept) > 0),
+        cube AS (SELECT section, stage, sku, channel, 1 AS level, m AS bucket, k FROM h UNION ALL SELECT section, stage, sku, channel, 2, y, sum(k) FROM h GROUP BY ALL UNION ALL SELECT section, stage, sku, channel, 3, 0, sum(k) FROM h GROUP BY ALL),
+        members AS (SELECT brand AS section, tier AS stage, sku, channel, count(*) OVER (PARTITION BY brand, tier) AS n FROM master, (SELECT DISTINCT o_orderpriority AS channel FROM orders)),
+        t AS (SELECT section, stage, level, bucket, sum(k) AS total FROM cube GROUP BY ALL),
+        best AS (SELECT v.section, v.stage, v.m, min(level) AS level FROM v JOIN t ON t.section = v.section AND t.stage = v.stage AND t.bucket = CASE level WHEN 1 THEN m WHEN 2 THEN (m - 1) // 12 ELSE 0 END GROUP BY ALL),
+        shares AS (SELECT b.section, b.stage, b.m, c.sku, c.channel, c.k / t.total AS share, b.level FROM best b JOIN cube c ON c.section = b.section AND c.stage = b.stage AND c.level = b.level AND c.bucket = CASE b.level WHEN 1 THEN b.m WHEN 2 THEN (b.m - 1) // 12 ELSE 0 END
+              JOIN t ON t.section = b.section AND t.stage = b.stage AND t.level = b.level AND t.bucket = c.bucket
+            UNION ALL SELECT v.section, v.stage, v.m, x.sku, x.channel, 1.0::DOUBLE / n, 4 FROM v JOIN members x ON x.section = v.section AND x.stage = v.stage LEFT JOIN best b ON b.section = v.section AND b.stage = v.stage AND b.m = v.m WHERE b.m IS NULL)
+        SELECT s.section, s.stage, s.sku, country, channel, {ym('s.m')} AS ym, {r4('offtake * share')} AS offtake, {r4("(CASE WHEN s.stage = 'PROMO' THEN 0 ELSE sellin END) * share")} AS sellin,
+        {r4("offtake * share * (1 + CASE WHEN channel = '1-URGENT' THEN 0.25 ELSE 0 END)")} AS total_offtake, CAST(level AS INTEGER) AS level
+        FROM shares s JOIN v ON v.section = s.section AND v.stage = s.stage AND v.m = s.m JOIN master ON master.sku = s.sku""",
         "lines", "channel_lines", "master",
     ),
 )
 def _(spark, d):
-    """A sheet with the brand as section row and its tiers as stage rows below."""
-    base = brand_months(spark, d)
+    """A sheet with the brand as section row and its tiers as stage rows below, and a sell-in sheet with text cells that lacks one tier."""
+    months = list(sheet_months(spark, d))[-PLAN_MONTHS:]
+    base = brand_months(spark, d).filter(F.col("m") >= months[0])
     number = F.split_part("brand", F.lit("#"), F.lit(2)).cast("long") * 1000
-    months = sheet_months(spark, d)
     stages = wide_months(base, ["brand", "tier"], "qty", months).withColumn(
         "row_no", number + F.row_number().over(_order_by_tier())
     ).withColumn("stage", F.col("tier")).withColumn("section_name", F.lit(None).cast("string"))
@@ -413,15 +427,18 @@ def _(spark, d):
         number.alias("row_no"), F.col("brand").alias("section_name"), F.lit(None).cast("string").alias("stage")
     )
     sheet = stages.drop("brand", "tier").unionByName(heads, allowMissingColumns=True).withColumn("sheet", F.lit("plan"))
-    sums = channel_lines(spark, d).groupBy("sku", "channel", "m").agg(F.sum("kept").alias("volume"))
-    history = group_sum(
-        sums.join(hierarchy(spark, d), "sku").select(F.col("brand").alias("section"), F.col("tier").alias("stage"), "channel", idx_to_ym("m").alias("ym"), "volume"),
-        ["section", "stage", "ym", "channel"], ["volume"],
-    )
-    products = hierarchy(spark, d).select(F.col("brand").alias("section"), F.col("tier").alias("stage")).distinct()
-    uplift = products.select("section", F.lit("1-URGENT").alias("channel"), F.lit(0.25).alias("uplift")).distinct()
-    out = J.unified_uplift(sheet, "sheet", spelled(months), history, products, uplift)
-    return out.withColumn("quantity", round_places("quantity"))
+    described = F.concat_ws("/", "brand", "tier")
+    cells = wide_months(base.filter("tier != 'PROMO'").withColumn("description", described), ["description"], "kept", months)
+    cells = cells.select("description", *[F.coalesce(F.format_number(c, 1), F.lit(" - ")).alias(c) for c in spelled(months)])
+    known = hierarchy(spark, d)
+    sums = channel_lines(spark, d).groupBy("sku", "channel", "m").agg(F.sum("kept").alias("volume")).join(known, "sku").filter(_GAPS)
+    history = sums.select(F.col("brand").alias("section"), F.col("tier").alias("stage"), "sku", "channel", idx_to_ym("m").alias("ym"), "volume")
+    products = known.select(F.col("brand").alias("section"), F.col("tier").alias("stage"), "sku", "country", described.alias("description"))
+    spans = F.explode(F.array(*[F.lit(int(m)) for m in spelled(months)])).alias("ym")
+    uplift = known.select("country").distinct().select("country", F.lit(CHANNELS[0]).alias("channel"), spans, F.lit(0.25).alias("uplift"))
+    offtake = unified.stage_volumes(sheet, "sheet", spelled(months))
+    out = unified.unified_il(offtake, unified.described_sellin(cells, spelled(months)), products, CHANNELS, history, uplift)
+    return out.withColumns({c: round_places(c) for c in ("offtake", "sellin", "total_offtake")})
 
 
 def _order_by_tier():

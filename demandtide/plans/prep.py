@@ -198,22 +198,3 @@ def unified_blocks(
     kept = numbers.filter(~F.col("kind").isin(*stock_kinds) | (F.col("channel") == total))
     named = lookup(kept.withColumn("kind", C.map_values("kind", kinds)), products, key, "inner")
     return named.groupBy("sku", "channel", "month").pivot("kind", list(kinds.values())).agg(F.sum("number")).fillna(0.0)
-
-
-def unified_uplift(
-    sheet: DataFrame, sheet_key: str, months: Sequence[str], history: DataFrame, products: DataFrame, uplift: DataFrame
-) -> DataFrame:
-    """Stage rows under section names, spread over products and channels, raised by the uplift.
-
-    Shares come from history per product and month; a month without sales splits evenly.
-    """
-    filled = fill_down(sheet, sheet_key, "row_no", "section_name", "section").filter(F.col("stage").isNotNull())
-    volumes = unpivot_long(filled, ["section", "stage"], ticked(months), "ym_text", "volume", drop_null=True)
-    volumes = volumes.withColumn("ym", F.col("ym_text").cast("int")).drop("ym_text")
-    shares = equal_share_fallback(history, ["section", "stage", "ym"], "volume", "share").drop("volume")
-    split = volumes.join(shares, ["section", "stage", "ym"], "inner")
-    raised = lookup(split, uplift, ["section", "channel"], "left")
-    quantity = F.col("volume") * F.col("share") * (1 + C.coalesce_zero("uplift"))
-    return raised.withColumn("quantity", quantity).join(products, ["section", "stage"], "left_semi").select(
-        "section", "stage", "channel", "ym", "quantity"
-    )

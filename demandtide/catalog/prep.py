@@ -13,7 +13,7 @@ from demandtide.functions.periods import idx_to_date, idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
 from demandtide.operators.quality import check_contract
 from demandtide.operators.reshaping import drop_empty_rows, month_columns, normalised_names, unpivot_long
-from demandtide.plans import flows, prep as J, unified
+from demandtide.plans import flows, prep as J, sheets, unified
 
 _YM = f"{ym('m')} AS ym"
 BRANDS = [f"Brand#{b}" for b in range(1, 26)]
@@ -279,21 +279,75 @@ def _(spark, d):
     return out.withColumn("ym", idx_to_ym("m")).drop("m")
 
 
+_SHEETS = """span AS (SELECT max(m) - 18 AS lo FROM lines), sold AS (SELECT channel, label, brand, m, sum(qty) AS q FROM channel_lines JOIN master USING (sku), span WHERE m > lo GROUP BY ALL),
+        grid AS (SELECT channel, label, brand, m, coalesce(q, 0) AS q FROM (SELECT DISTINCT channel, label FROM sold) CROSS JOIN (SELECT DISTINCT brand FROM sold) CROSS JOIN (SELECT DISTINCT m FROM sold) LEFT JOIN sold USING (channel, label, brand, m))"""
+
+
+def offtake_cells(spark, d):
+    """Ten sheets, a channel and scope each, as cells: DI sheets with two header rows and merged blocks, EIB sheets with one row of day numbers.
+
+    A brand stands in row 3 + 2 * its number; the rows between hold totals that no mapping names. The first block and the
+    columns after the data are to be left out.
+    """
+    months = list(sheet_months(spark, d))[-PLAN_MONTHS:]
+    first, width = months[0], len(months)
+    sums = channel_lines(spark, d).filter(F.col("m") >= first).groupBy("sku", "channel", "label", "m").agg(F.sum("qty").alias("q")).join(hierarchy(spark, d).select("sku", "brand"), "sku")
+    sold = sums.groupBy("channel", "label", "brand", "m").agg(F.sum("q").alias("q"))
+    sheet = F.concat_ws("/", "channel", "label").alias("sheet")
+    kinds = sold.select(sheet, "channel", "label").distinct()
+    brands = F.explode(F.array(*[F.struct(F.lit(b).alias("brand"), F.lit(int(b.split("#")[1])).alias("n")) for b in BRANDS])).alias("b")
+    every = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.lit(k).alias("k"), F.lit(spelled([m])[0][2:]).alias("yymm"), F.lit(serials([m])[0]).alias("day")) for k, m in enumerate(months)])).alias("t")
+    di = F.col("label") == "di"
+    # a brand without sales in a month shows a dash or a word
+    grid = kinds.select("sheet", "label", brands).select("sheet", "label", "b.*").select("*", every).select("sheet", "label", "brand", "n", "t.*")
+    body = grid.join(sold.select(sheet, "brand", "m", "q"), ["sheet", "brand", "m"], "left")
+    row = (F.col("n") * 2 + 3).cast("long")
+    shown = F.when(di, F.coalesce(F.format_number("q", 1), F.lit(" - "))).otherwise(F.coalesce(F.col("q").cast("string"), F.lit("n/a")))
+    at = F.when(di, F.col("k") + 1 + width).otherwise(F.col("k") + 2).cast("long")
+    values = body.select("sheet", row.alias("row"), at.alias("col"), shown.alias("text"))
+    shares = body.filter(di).select("sheet", row.alias("row"), (F.col("k") + 1).cast("long").alias("col"), F.lit("12%").alias("text"))
+    totals = body.select("sheet", (row + 1).alias("row"), at.alias("col"), F.lit("1,000").alias("text"))
+    tops = kinds.select("sheet", "label", every).select("sheet", "label", "t.*")
+    left, right = (F.col("k") + 1).cast("long"), (F.col("k") + 1 + width).cast("long")
+    heads = ((1, left, F.when(F.col("k") == 0, "Share")), (1, right, F.when(F.col("k") == 0, "Absolute")), (2, left, F.col("yymm")), (2, right, F.col("yymm")))
+    two = tops.filter(di).select("sheet", F.explode(F.array(*[F.struct(F.lit(r).cast("long").alias("row"), c.alias("col"), t.alias("text")) for r, c, t in heads])).alias("c")).select("sheet", "c.*")
+    one = tops.filter(~di).select("sheet", F.lit(4).cast("long").alias("row"), (F.col("k") + 2).cast("long").alias("col"), F.col("day").alias("text"))
+    beyond = kinds.filter(~di).select("sheet", F.lit(5).cast("long").alias("row"), F.lit(width + 3).cast("long").alias("col"), F.lit("99").alias("text"))
+    cells = values.unionByName(shares).unionByName(totals).unionByName(two).unionByName(one).unionByName(beyond)
+    mapping = kinds.select("*", brands).select("sheet", "channel", "label", "b.brand", (F.col("b.n") * 2 + 4).alias("row_no"))
+    return cells, mapping
+
+
 @query(
     "job_brand_to_sku",
     with_sql(
-        f"""WITH v AS (SELECT brand, channel, m, sum(qty) AS volume FROM channel_lines JOIN master USING (sku) GROUP BY ALL),
-        p AS (SELECT brand, tier, stage, sum(kept) AS k FROM lines JOIN master USING (sku) GROUP BY ALL), s AS (SELECT *, {div('k', 'sum(k) OVER (PARTITION BY brand)')} AS share FROM p)
-        SELECT brand, channel, {_YM}, tier, stage, {r4('volume * share')} AS volume FROM v JOIN s USING (brand)""",
+        f"""WITH {_SHEETS}, p AS (SELECT brand, tier, stage, m, sum(kept) AS k FROM lines JOIN master USING (sku) GROUP BY ALL), s AS (SELECT *, {div('k', 'sum(k) OVER (PARTITION BY brand, m)')} AS share FROM p)
+        SELECT brand, channel, label, {_YM}, tier, stage, {r4('q * share')} AS volume FROM grid JOIN s USING (brand, m)""",
         "channel_lines", "lines", "master",
     ),
 )
 def _(spark, d):
-    sums = channel_lines(spark, d).groupBy("sku", "channel", "m").agg(F.sum("qty").alias("volume"))
-    volumes = sums.join(hierarchy(spark, d), "sku").groupBy("brand", "channel", "m").agg(F.sum("volume").alias("volume"))
-    sheets = lines(spark, d).groupBy("sku").agg(F.sum("kept").alias("volume")).join(hierarchy(spark, d), "sku")
-    out = J.brand_to_sku(volumes, sheets, ["brand"], ["tier", "stage"], "volume")
-    return out.select("brand", "channel", idx_to_ym("m").alias("ym"), "tier", "stage", round_places("volume").alias("volume"))
+    """Ten sheets of two layouts read as cells, then spread over tier and stage by the month's share inside the brand."""
+    cells, mapping = offtake_cells(spark, d)
+    is_di = F.col("sheet").endswith("/di")
+    day_month = idx_to_ym(month_idx(F.date_add(F.lit(date(1899, 12, 30)), F.col("serial"))))
+    read = sheets.brand_sheets(cells.filter(is_di), mapping.filter(is_di)).unionByName(sheets.serial_sheets(cells.filter(~is_di), mapping.filter(~is_di), day_month))
+    volumes = read.select("brand", "channel", "label", F.col("month").alias("ym"), F.col("value").alias("volume"))
+    sold = lines(spark, d).groupBy("sku", "m").agg(F.sum("kept").alias("volume")).join(hierarchy(spark, d), "sku").withColumn("ym", idx_to_ym("m"))
+    out = J.brand_to_sku(volumes, sold, ["brand", "ym"], ["tier", "stage"], "volume")
+    return out.select("brand", "channel", "label", "ym", "tier", "stage", round_places("volume").alias("volume"))
+
+
+@query(
+    "row_number_join",
+    """WITH sheet AS (SELECT p_name, p_partkey, row_number() OVER (ORDER BY p_name, p_partkey) - 1 AS r FROM part), mapping AS (SELECT s_suppkey * 23 AS row_no, s_name, s_nationkey FROM supplier)
+    SELECT m.row_no - 1 AS row, p_name, p_partkey, s_name, s_nationkey FROM mapping m LEFT JOIN sheet s ON s.r = m.row_no - 1""",
+)
+def _(spark, d):
+    """Products as a sheet in the order of their names; rows are named by number, and names of rows beyond the sheet stay."""
+    sheet = sheets.numbered_rows(table(spark, d, "part").select("p_name", "p_partkey"), ["p_name"])
+    mapping = table(spark, d, "supplier").select((F.col("s_suppkey") * 23).alias("row_no"), "s_name", "s_nationkey")
+    return sheets.rows_by_number(sheet, mapping)
 
 
 @query(

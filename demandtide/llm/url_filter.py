@@ -9,11 +9,10 @@ without a rule is blocked when its distrust exceeds ``threshold`` times its trus
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from demandtide.llm.storage import stored
+from demandtide.llm.storage import held, removed, stored
 
 #: Fixed rules of the query: (verdict, host, path).
 RULES = (
@@ -54,34 +53,76 @@ def host_edges(pages: DataFrame, site_links: bool = True) -> DataFrame:
     return edges.filter("src <> dst and src <> '' and dst <> ''").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, iterations: int | None = None, every: int = 4, tolerance: float = 1e-6) -> DataFrame:
-    """Personalised PageRank (host, score) from ``seeds`` (host, weight) along ``edges`` (src, dst).
+def _weighted(edges: DataFrame) -> DataFrame:
+    """Stored (side, src, dst, share): a link carries an equal part of what its source passes on."""
+    degree = edges.groupBy("side", "src").agg(F.count("*").alias("n"))
+    return stored(edges.join(degree, ["side", "src"]).select("side", "src", "dst", (F.lit(1.0) / F.col("n")).alias("share")), "host-links")
 
-    score = (1 - damping) * seed + damping * sum of score / out-degree over the
-    incoming links, started from the seeds. What hosts without outgoing links hold
-    would return to the seeds in proportion, which scales all scores alike: dividing by
-    their sum gives the scores with that return. Each round is one join and one partial
-    sum; the result is stored every few rounds so that the plan stays short. Scores only
-    grow, so rounds go on until ``every`` of them add less than ``tolerance`` of the
-    sum, or for ``iterations`` rounds if that is given.
+
+def _round(links: DataFrame, state: DataFrame, damping: float) -> DataFrame:
+    """What each host got last moves on along its links and is added where it arrives."""
+    got = state.select("side", F.col("host").alias("src"), "fresh").filter("fresh > 0")
+    moved = links.join(got, ["side", "src"]).select("side", F.col("dst").alias("host"), F.lit(0.0).alias("score"), (damping * F.col("fresh") * F.col("share")).alias("fresh"))
+    both = state.select("side", "host", "score", F.lit(0.0).alias("fresh")).unionByName(moved)
+    return both.groupBy("side", "host").agg((F.sum("score") + F.sum("fresh")).alias("score"), F.sum("fresh").alias("fresh"))
+
+
+def undecided(state: DataFrame, total: dict[int, float], ahead: dict[int, float], threshold: float) -> int:
+    """Hosts with both scores whose verdict what is still on its way could turn.
+
+    A side holds ``total`` and gets at most ``ahead`` more, of which a host may get all
+    or nothing: its share of the sum lies between s / (total + ahead) and (s + ahead) / (total + ahead).
+    """
+    scores = [F.sum(F.when(F.col("side") == side, F.col("score")).otherwise(0.0)).alias(name) for side, name in ((0, "trust"), (1, "distrust"))]
+    hosts = state.groupBy("host").agg(*scores).filter("trust > 0 and distrust > 0")
+    most = [F.lit(total.get(side, 0.0) + ahead.get(side, 0.0)) for side in (0, 1)]
+    more = [F.lit(ahead.get(side, 0.0)) for side in (0, 1)]
+    blocked = F.col("distrust") / most[1] > threshold * (F.col("trust") + more[0]) / most[0]
+    allowed = (F.col("distrust") + more[1]) / most[1] <= threshold * F.col("trust") / most[0]
+    return hosts.filter(~blocked & ~allowed).count()
+
+
+def spread(edges: DataFrame, seeds: DataFrame, damping: float, iterations: int | None = None, tolerance: float = 1e-6, threshold: float | None = None) -> DataFrame:
+    """Personalised PageRank of several sides at once: (side, host, score) from ``seeds`` (side, host, weight) along ``edges`` (side, src, dst).
+
+    score = (1 - damping) * seed + damping * sum of score / out-degree over the incoming
+    links. Only what was new in the last round is carried on, in one join and one partial
+    sum for all sides. Two rounds are one stored table of few rows, and the table before
+    is taken away. Rounds end after ``iterations``; or when no side has more than
+    ``tolerance`` of its sum on its way (at most the last arrivals times damping / (1 - damping)); or,
+    given ``threshold``, when no further host is reached and no comparison of sides 0 and 1 can turn.
+    """
+    spark, links = edges.sparkSession, _weighted(edges)
+    state, folder = held(seeds.select("side", "host", ((1 - damping) * F.col("weight")).alias("score"), ((1 - damping) * F.col("weight")).alias("fresh")), "host-scores")
+    files, done, reached = 1 + links.count() // 500_000, 0, -1  # a host of the scores has a link or is a seed
+    while iterations is None or done < iterations:
+        steps = 2 if iterations is None else min(2, iterations - done)
+        following = state
+        for _ in range(steps):
+            following = _round(links, following, damping)
+        following, new = held(following.coalesce(files), "host-scores")
+        removed(spark, folder)
+        state, folder, done = following, new, done + steps
+        sums = {r.side: r for r in state.groupBy("side").agg(F.sum("score").alias("total"), F.sum("fresh").alias("fresh"), F.count("*").alias("n")).collect()}
+        if iterations is not None:
+            continue
+        total, ahead = {k: r.total for k, r in sums.items()}, {k: r.fresh * damping / (1 - damping) for k, r in sums.items()}
+        if all(ahead[k] <= tolerance * total[k] for k in sums):
+            break
+        before, reached = reached, sum(r.n for r in sums.values())
+        if threshold is not None and before == reached and not undecided(state, total, ahead, threshold):
+            break
+    return state.select("side", "host", "score")
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, iterations: int | None = None, every: int = 2, tolerance: float = 1e-6) -> DataFrame:
+    """``spread`` of one side: (host, score) from ``seeds`` (host, weight) along ``edges`` (src, dst).
+
+    What hosts without outgoing links hold would return to the seeds in proportion, which
+    scales all scores alike: dividing by their sum (``shares``) gives the scores with that return.
     """
-    degree = edges.groupBy("src").agg(F.count("*").alias("n"))
-    weighted = stored(edges.join(degree, "src").select("src", "dst", (F.lit(1.0) / F.col("n")).alias("share")), "host-links")
-    base = seeds.select("host", ((1 - damping) * F.col("weight")).alias("score"))
-    score = base
-    k, held = 0, 0.0
-    while iterations is None or k < iterations:
-        k += 1
-        moved = weighted.join(score.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
-        score = base.unionByName(moved).groupBy("host").agg(F.sum("score").alias("score"))
-        if k % every == 0 and k != iterations:
-            score = stored(score, "host-scores")
-            if iterations is None:
-                now = score.agg(F.sum("score")).first()[0] or 0.0
-                if now - held <= tolerance * now:
-                    break
-                held = now
-    return score
+    side = F.lit(0).alias("side")
+    return spread(edges.select(side, "src", "dst"), seeds.select(side, "host", "weight"), damping, iterations, tolerance).drop("side")
 
 
 def shares(scores: DataFrame) -> DataFrame:
@@ -113,12 +154,11 @@ def url_filter(
     ruled = stored(ruled, "seed-hosts")
     total = ruled.agg(F.sum("allow").alias("a"), F.sum("block").alias("b")).first()
     edges = stored(host_edges(parsed, site_links), "host-edges")
-    trust = propagate(edges, ruled.filter("allow > 0").select("host", (F.col("allow") / F.lit(total.a or 1)).alias("weight")), damping, iterations, 8, tolerance)
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    distrust = propagate(back, ruled.filter("block > 0").select("host", (F.col("block") / F.lit(total.b or 1)).alias("weight")), damping, iterations, 8, tolerance)
-    trust, distrust = shares(trust), shares(distrust)
-    sides = [trust.select("host", F.col("score").alias("trust"), F.lit(0.0).alias("distrust")), distrust.select("host", F.lit(0.0).alias("trust"), F.col("score").alias("distrust"))]
-    scores = reduce(DataFrame.unionByName, sides).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+    both = edges.select(F.lit(0).alias("side"), "src", "dst").unionByName(edges.select(F.lit(1).alias("side"), F.col("dst").alias("src"), F.col("src").alias("dst")))
+    weights = [ruled.filter(F.col(c) > 0).select(F.lit(side).alias("side"), "host", (F.col(c) / F.lit(n or 1)).alias("weight")) for side, c, n in ((0, "allow", total.a), (1, "block", total.b))]
+    found = spread(both, weights[0].unionByName(weights[1]), damping, iterations, tolerance, threshold * (1 + tolerance))
+    sums = {r.side: r.total for r in found.groupBy("side").agg(F.sum("score").alias("total")).collect()}
+    scores = found.groupBy("host").agg(*[(F.sum(F.when(F.col("side") == side, F.col("score")).otherwise(0.0)) / F.lit(sums.get(side, 1.0))).alias(name) for side, name in ((0, "trust"), (1, "distrust"))])
     blocked = stored(scores.filter(F.col("distrust") > threshold * (1 + tolerance) * F.col("trust")).select("host", F.lit(True).alias("distrusted")), "blocked-hosts")
     judged = parsed.drop("html").join(blocked, "host", "left")
     return judged.select(

@@ -12,6 +12,7 @@ from demandtide.operators import panel as P
 from demandtide.operators.dense import lag_matrix, target_join, target_window
 from demandtide.plans import supervised as S
 from demandtide.plans.feature_master import dc_spec, feature_master, il_spec
+from demandtide.session import written
 
 _YM = f"{ym('m')} AS ym"
 
@@ -406,12 +407,23 @@ def series_facts(spark, d):
     )
 
 
-_IL_LEVELS = S.il_levels(_LEAF, "sku_wo_pkg", "label", "country", "stage", timelag=4)
+_IL_LEVELS = S.il_levels(_LEAF, "sku_wo_pkg", "label", "country", "stage")
+HORIZON, ORIGINS = 12, 24
 
 
-@query("feature_table_il", with_sql(_table_sql("fx", _LEAF, "offtake", _IL_LEVELS, 2, ("di", "eib"), _SERIES_SQL), "lines", "master", "ranked"))
+def origins(spark, d):
+    """The last two years of months, as month indices: the origins that a backtest forecasts from."""
+    last = lines(spark, d).agg(F.max("m").alias("m")).first().m
+    return list(range(last - ORIGINS + 1, last + 1))
+
+
+def _of_origins(sql):
+    return f"SELECT * FROM ({sql}) WHERE date_when_predicting IN (SELECT {ym('m - k')} FROM (SELECT max(m) AS m FROM lines), (SELECT unnest(range({ORIGINS})) AS k))"
+
+
+@query("feature_table_il", with_sql(_of_origins(_table_sql("fx", _LEAF, "offtake", _IL_LEVELS, HORIZON, ("di", "eib"), _SERIES_SQL)), "lines", "master", "ranked"))
 def _(spark, d):
-    out = S.supervised_table(series_facts(spark, d), _LEAF, "m", "offtake", _IL_LEVELS, 2, one_hot=("label", ("di", "eib")))
+    out = S.supervised_table(series_facts(spark, d), _LEAF, "m", "offtake", _IL_LEVELS, HORIZON, origins(spark, d), ("label", ("di", "eib")))
     return _rounded_table(out)
 
 
@@ -419,9 +431,9 @@ _DC_LEAF = ["label", "sku_wo_pkg"]
 _DC_LEVELS = S.dc_levels(_DC_LEAF, "sku_wo_pkg", "label")
 
 
-@query("feature_table_dc", with_sql(_table_sql("fx", _DC_LEAF, "offtake", _DC_LEVELS, 2, (), _SERIES_SQL), "lines", "master", "ranked"))
+@query("feature_table_dc", with_sql(_of_origins(_table_sql("fx", _DC_LEAF, "offtake", _DC_LEVELS, HORIZON, (), _SERIES_SQL)), "lines", "master", "ranked"))
 def _(spark, d):
-    return _rounded_table(S.supervised_table(series_facts(spark, d), _DC_LEAF, "m", "offtake", _DC_LEVELS, 2))
+    return _rounded_table(S.supervised_table(series_facts(spark, d), _DC_LEAF, "m", "offtake", _DC_LEVELS, HORIZON, origins(spark, d)))
 
 
 _DI_LEAF = ["brand", "label", "channel"]
@@ -462,28 +474,47 @@ def _(spark, d):
 
 
 _BRAND_LEAF = ["label", "country", "brand", "country_brand"]
-_BRAND_LEVELS = S.brand_levels("label", "country", "brand", "country_brand", timelag=6)
-_BRAND_SQL = """fb AS (SELECT label, tier AS country, brand, tier || '_' || brand AS country_brand, m, sum(qty) AS offtake, sum(kept) AS sellin FROM lines JOIN master USING (sku) GROUP BY ALL),
+_PRICES = ("price", "upre", "spre", "mainstream")
+_PRICE_TIERS = {"mainstream": "ECONOMY", "spre": "PROMO", "upre": "LARGE"}
+_BRAND_LEVELS = S.brand_levels("label", "country", "brand", "country_brand", _PRICES)
+_BRAND_SQL = f"""tp AS (SELECT m, {', '.join(f"coalesce({div(f"sum(qty) FILTER (tier = '{t}')", f"count(*) FILTER (tier = '{t}')")}, 0) AS {c}" for c, t in _PRICE_TIERS.items())} FROM lines JOIN master USING (sku) GROUP BY m),
+    fb AS (SELECT f.*, upre, spre, mainstream FROM (SELECT label, tier AS country, brand, tier || '_' || brand AS country_brand, m, sum(qty) AS offtake, sum(kept) AS sellin, floor(sum(amount) * 100 + 0.5) / 100 / sum(qty) AS price
+        FROM lines JOIN master USING (sku) GROUP BY ALL) f JOIN tp USING (m)),
     cat AS (SELECT CAST((m - 1) // 12 * 100 + (m - 1) % 12 + 1 AS INTEGER) AS date_to_predict, sum(qty) AS total_vol FROM lines GROUP BY ALL), """
 
 
+def tier_prices(known):
+    """Mean line quantity of three tiers by month, in the role of their prices."""
+
+    def of(tier):
+        own = F.col("tier") == tier
+        return ratio(F.sum(F.when(own, F.col("qty"))), F.sum(F.when(own, F.col("n"))), 0)
+
+    return known.groupBy("m").agg(*[of(t).alias(c) for c, t in _PRICE_TIERS.items()])
+
+
 def _brand_facts(spark, d):
-    sums = lines(spark, d).groupBy("sku", "label", "m").agg(F.sum("qty").alias("offtake"), F.sum("kept").alias("sellin"))
-    known = sums.join(hierarchy(spark, d), "sku")
-    return known.groupBy("label", F.col("tier").alias("country"), "brand", "m").agg(F.sum("offtake").alias("offtake"), F.sum("sellin").alias("sellin"))
+    sums = lines(spark, d).groupBy("sku", "label", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"), F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n"))
+    known = written(sums.join(hierarchy(spark, d), "sku"), "brand-lines")
+    price = (round_places(F.sum("amount"), 2) / F.sum("qty")).alias("price")
+    facts = known.groupBy("label", F.col("tier").alias("country"), "brand", "m").agg(F.sum("qty").alias("offtake"), F.sum("kept").alias("sellin"), price)
+    return facts.join(F.broadcast(tier_prices(known)), "m")  # one row per calendar month
 
 
 @query(
     "feature_table_brand",
     with_sql(
-        _table_sql("fb", _BRAND_LEAF, "offtake", _BRAND_LEVELS, 2, ("di", "eib"), _BRAND_SQL),
+        _of_origins(
+            _table_sql("fb", _BRAND_LEAF, "offtake", _BRAND_LEVELS, HORIZON, ("di", "eib"), _BRAND_SQL).replace(" t.v AS target", " t.v AS target, cat.total_vol")
+            + " JOIN cat ON cat.date_to_predict = " + ym("b.m + h")
+        ),
         "lines", "master", "ranked",
-    ).replace(" t.v AS target", " t.v AS target, cat.total_vol") + " JOIN cat ON cat.date_to_predict = " + ym("b.m + h"),
+    ),
 )
 def _(spark, d):
     facts = _brand_facts(spark, d)
     category = facts.groupBy(idx_to_ym("m").alias("date_to_predict")).agg(F.sum("offtake").alias("total_vol"))
-    out = S.brand_table(facts, "label", "country", "brand", "m", 2, ("di", "eib"), category, timelag=6)
+    out = S.brand_table(facts, "label", "country", "brand", "m", HORIZON, ("di", "eib"), category, origins=origins(spark, d), prices=_PRICES)
     return _rounded_table(out)
 
 
@@ -504,13 +535,8 @@ def _(spark, d):
     """Sub-brands with the price of their own tier, trailing means up to two years and lags."""
     sums = lines(spark, d).groupBy("sku", "m").agg(F.sum("qty").alias("qty"), F.count(F.lit(1)).alias("n"))
     known = sums.join(hierarchy(spark, d), "sku")
-    tiers = {"ECONOMY": "mainstream", "PROMO": "spre", "LARGE": "upre"}
-
-    def tier_price(tier):
-        own = F.col("tier") == tier
-        return ratio(F.sum(F.when(own, F.col("qty"))), F.sum(F.when(own, F.col("n"))), 0)
-
-    prices = known.groupBy("m").agg(*[tier_price(t).alias(c) for t, c in tiers.items()])
+    tiers = {t: c for c, t in _PRICE_TIERS.items()}
+    prices = tier_prices(known)
     facts = known.groupBy(F.concat_ws("_", "brand", "tier").alias("sub_brand"), "tier", "m").agg(F.sum("qty").alias("offtake"))
     priced = facts.join(F.broadcast(prices), "m")  # one row per calendar month
     panel_ = priced.select("sub_brand", "tier", "m", "offtake", pick_by_key("tier", tiers).alias("price"))

@@ -70,7 +70,7 @@ def brand_levels(label: str, country: str, brand: str, gran: str, prices: Sequen
         Level("country_offtake_", (country,), "offtake", timelag),
         Level("brand_offtake_", (brand,), "offtake", timelag),
         Level("label_country_brand_sellin_", leaf, "sellin", timelag),
-        *[Level(f"{price}_", (gran,), price, 3, "mean") for price in prices],
+        *[Level({"price": "label_country_brand_price_"}.get(price, f"{price}_"), (gran,), price, 3, "mean") for price in prices],
     ]
 
 
@@ -88,7 +88,9 @@ def supervised_table(
     """Lag features of all levels, seasonality, target and one-hot labels.
 
     Facts are summed to the finest grain and month first and stored; every level
-    is built from those sums, a mean from sum and count.
+    is built from those sums, a mean from sum and count. Coarser levels are stored as one
+    row a key, finest first, so the planner knows their size: small ones are broadcast
+    and the widening rows are shuffled only for a level that is large itself.
     """
     values = sorted({target, *[level.value for level in levels]})
     grain = list(dict.fromkeys([*leaf, *all_keys]))
@@ -110,11 +112,11 @@ def supervised_table(
 
     own = {level.prefix: expr(level) for level in by_keys[tuple(grain)]}
     series = dense_series(base, grain, month, {"_target": F.sum(f"_s_{target}"), **own}, axis)
-    for keys, group in by_keys.items():
+    for keys, group in sorted(by_keys.items(), key=lambda item: -len(item[0])):
         if keys == tuple(grain):
             continue
         other = dense_series(base, list(keys), month, {level.prefix: expr(level) for level in group}, axis).drop("months")
-        series = series.join(other, list(keys), "left")
+        series = series.join(written(other, "level"), list(keys), "left")
 
     prefixes = [level.prefix for level in levels]
     grid = with_targets(with_origins(series, [*grain, "months", "_target", *prefixes], origins), max_horizon)

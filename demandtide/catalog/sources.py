@@ -9,10 +9,11 @@ from demandtide.catalog.roles import hierarchy, lines, panel, table
 from demandtide.functions.cleaning import round_places, sink_number
 from demandtide.functions.periods import idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
-from demandtide.operators.quality import check_contract, column_profile, reconcile
+from demandtide.operators.quality import check_contract, column_profile, column_values, reconcile
+from demandtide.operators.reshaping import union_sources
 from demandtide.session import shared_folder
 from demandtide.sources.reading import latest_file, latest_version, load_channel_fact, read_delimited, read_scenario
-from demandtide.sources.writing import append_scenario, replace_partitions, write_contract
+from demandtide.sources.writing import append_scenario, content_sum, publish, published, read_snapshot, reload_table, replace_partitions, write_contract, write_snapshot
 
 
 @query(
@@ -96,13 +97,68 @@ def _scenario(spark, d, version, cycle, factor):
         "panel",
     ),
 )
+def _(spark, d):
+    """Two versions, the second published twice."""
+    folder = shared_folder(spark, "scenario")
+    for version, factor in (("v1", 1.0), ("v2", 1.5), ("v2", 99.0)):
+        publish(_scenario(spark, d, version, 200101, factor), folder, version)
+    return published(spark, folder, every=True)
+
+
+@query(
+    "scenario_append",
+    with_sql(
+        _SCENARIO_ROWS.format(version="'v1'", cycle=200101, factor="1.0::DOUBLE")
+        + " UNION ALL "
+        + _SCENARIO_ROWS.format(version="'v2'", cycle=200102, factor="1.5::DOUBLE"),
+        "panel",
+    ),
+)
 def _(spark, d):
     folder = shared_folder(spark, "scenario")
     append_scenario(_scenario(spark, d, "v1", 200101, 1.0), folder)
-    append_scenario(_scenario(spark, d, "v2", 200101, 1.5), folder)
+    append_scenario(_scenario(spark, d, "v2", 200102, 1.5), folder)
     return spark.read.parquet(folder)
 
 
+@query("reload_table", with_sql(_SCENARIO_ROWS.format(version="'v1'", cycle=200101, factor="2.0::DOUBLE"), "panel"))
+def _(spark, d):
+    """A table rebuilt from its own rows; the second run of the same version changes nothing."""
+    folder = shared_folder(spark, "reloaded")
+    rows = reload_table(_scenario(spark, d, "v1", 200101, 1.0), folder, "1")
+    for _ in range(2):
+        rows = reload_table(rows.withColumn("oft_trk_val", F.col("oft_trk_val") * 2), folder, "2")
+    return rows
+
+
+_INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@query("snapshot", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, true AS whole FROM {t}" for t in _INPUTS))
+def _(spark, d):
+    """All inputs exported with a manifest, read back in their types and compared with what was exported."""
+    folder = shared_folder(spark, "snapshot")
+    tables = {t: table(spark, d, t) for t in _INPUTS}
+    write_snapshot(spark, tables, folder, "20200101000000")
+    back = read_snapshot(spark, folder, "20200101000000")
+    rows = []
+    for t, df in tables.items():
+        sums = [content_sum(x).withColumn("side", F.lit(k)) for k, x in enumerate((df, back[t]))]
+        both = sums[0].unionByName(sums[1]).agg(F.max(F.when(F.col("side") == 0, F.col("n_rows"))).alias("n_rows"), (F.count_distinct("n_rows", "digest") == 1).alias("whole"))
+        rows.append(both.select(F.lit(t).alias("table_name"), "n_rows", "whole"))
+    return union_sources(rows)
+
+
+@query(
+    "column_values",
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM part GROUP BY ALL" for c in ("p_partkey", "p_size", "p_name", "p_brand", "p_type")),
+)
+def _(spark, d):
+    return column_values(table(spark, d, "part").select("p_partkey", "p_size", "p_name", "p_brand", "p_type"))
+
+
+
+
 @query(
     "partition_overwrite",
     with_sql(
@@ -173,7 +229,7 @@ def _profile_sql(numeric, text, relation):
 @query("column_profile", _profile_sql(["p_partkey", "p_size"], ["p_name", "p_brand", "p_type"], "part"))
 def _(spark, d):
     part = table(spark, d, "part").select("p_partkey", "p_size", "p_name", "p_brand", "p_type")
-    out = column_profile(part)
+    out = column_profile(part, 500)
     return out.withColumns({c: round_places(c) for c in ("mean_value", "std_value")})
 
 

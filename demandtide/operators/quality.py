@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+def repeated_column_names(df: DataFrame) -> list[str]:
+    return sorted({name for name in df.columns if df.columns.count(name) > 1})
+
+
 def check_contract(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The frame itself when its column set equals the contract, an error otherwise."""
+    """The frame itself when its column set equals the contract and no name repeats, an error otherwise."""
+    if repeated := repeated_column_names(df):
+        raise ValueError(f"repeated columns: {repeated}")
     if len(df.columns) != len(columns):
         raise ValueError(f"{len(df.columns)} columns found, contract has {len(columns)}")
     if set(df.columns) != set(columns):
@@ -16,17 +22,23 @@ def check_contract(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def repeated_column_names(df: DataFrame) -> list[str]:
-    return sorted({name for name in df.columns if df.columns.count(name) > 1})
+def column_values(df: DataFrame) -> DataFrame:
+    """column_name, value (as text), n_rows: every value of every column, null included.
+
+    One pass and one shuffle by column and value with partial counts, so a column with
+    many values is many tasks and a frequent value one row a task.
+    """
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns]
+    pairs = df.select(F.explode(F.array(*cells)).alias("p")).select("p.*")
+    return pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def column_profile(df: DataFrame, text_limit: int = 500) -> DataFrame:
-    """One row per column: range, mean, spread, distinct and null counts, start of the value list.
+def column_profile(df: DataFrame, text_limit: int | None = None) -> DataFrame:
+    """One row per column: range, mean, spread, distinct and null counts.
 
-    Numeric columns are profiled in one aggregate. The distinct counts and value
-    list come from one (column, value) count table, so that a column with many
-    values is spread over tasks, and the list takes just enough of the smallest
-    values to fill ``text_limit`` characters.
+    Numeric columns are profiled in one aggregate. Distinct counts come from
+    ``column_values``, which is the value list itself. With ``text_limit`` the list
+    is also given as text of so many characters, from its smallest values.
     """
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
 
@@ -45,17 +57,15 @@ def column_profile(df: DataFrame, text_limit: int = 500) -> DataFrame:
 
     wide = df.agg(*[stats(name).alias(f"_{i}") for i, name in enumerate(df.columns)])
     base = wide.select(F.explode(F.array(*[f"_{i}" for i in range(len(df.columns))])).alias("s")).select("s.*")
-    pairs = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in df.columns])
-        ).alias("p")
-    ).select("p.*")
-    distinct = pairs.distinct()
-    counts = distinct.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    values = column_values(df)
+    counts = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    profile = base.join(counts, "column_name")
+    if text_limit is None:
+        return profile
     # Every value but the empty one fills a character and a separator: text_limit values always suffice.
     from demandtide.operators.aggregating import top_per_group
 
-    head = top_per_group(distinct.filter("v IS NOT NULL"), ["column_name"], [F.col("v")], text_limit, "r")
+    head = top_per_group(values.filter("value IS NOT NULL").select("column_name", F.col("value").alias("v")), ["column_name"], [F.col("v")], text_limit, "r")
     texts = head.groupBy("column_name").agg(
         F.substring(
             F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r", "v"))), lambda e: e["v"]), ","),
@@ -63,7 +73,7 @@ def column_profile(df: DataFrame, text_limit: int = 500) -> DataFrame:
             text_limit,
         ).alias("values_text")
     )
-    return base.join(counts, "column_name").join(texts, "column_name", "left")
+    return profile.join(texts, "column_name", "left")
 
 
 def reconcile(

@@ -14,8 +14,8 @@ from demandtide.catalog.roles import LABELS, hierarchy, lines, sku_label
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_ym
 from demandtide.operators.dense import target_window
-from demandtide.plans import forecasting as L, least_squares as Q, supervised as S
-from demandtide.session import written
+from demandtide.plans import forecasting as L, least_squares as Q, selection as X, supervised as S
+from demandtide.session import shared_folder, written
 
 KEYS = ["brand", "label"]
 LEVELS = [
@@ -62,7 +62,7 @@ def _(spark, d):
 
 @query("model_registry")
 def _(spark, d):
-    table = written(training_table(spark, d, 1))
+    table = written(training_table(spark, d, HORIZONS[-1]))
     specs = {
         "linear": L.ModelSpec("LinearRegression", {"regParam": 0.1}, scale=True),
         "ridge_pca": L.ModelSpec("Ridge", {"regParam": 1.0}, scale=True, components=5),
@@ -72,7 +72,7 @@ def _(spark, d):
         "boost": BOOST,
     }
     last = cutoff(spark, d)
-    made = L.in_threads(lambda item: L.direct_forecast(table, KEYS, FEATURES, last, [1], item[1])[0].withColumn("model", F.lit(item[0])), list(specs.items()))
+    made = L.in_threads(lambda item: L.direct_forecast(table, KEYS, FEATURES, last, HORIZONS, item[1])[0].withColumn("model", F.lit(item[0])), list(specs.items()))
     return L.union_sources(made)
 
 
@@ -97,7 +97,7 @@ def _(spark, d):
         f"depth{depth}_trees{trees}": L.ModelSpec("RandomForestRegressor", {"maxDepth": depth, "numTrees": trees})
         for depth in (3, 5) for trees in (5, 10)
     }
-    return L.tuning_errors(training_table(spark, d, 12), KEYS, FEATURES, [cutoff(spark, d, 12)], [1, 6, 12], specs)
+    return L.tuning_errors(training_table(spark, d, 12), KEYS, FEATURES, [cutoff(spark, d, 12)], HORIZONS, specs)
 
 
 @query("forecast_end_to_end")
@@ -221,6 +221,39 @@ def _(spark, d):
     return known.groupBy("horizon").agg(F.count("*").alias("n_rows"), F.sum(F.abs(F.col("prediction") - F.col("target"))).alias("error"), F.sum(F.col("prediction") - F.col("target")).alias("bias"), F.sum("target").alias("sold"))
 
 
+@query(
+    "forecast_selected",
+    _fits_sql(
+        [0], [1, 12], "coalesce(regr_slope(y, CASE WHEN h % 2 = 1 THEN x0 ELSE x1 END), 0) AS slope, coalesce(regr_intercept(y, CASE WHEN h % 2 = 1 THEN x0 ELSE x1 END), avg(y)) AS base, [slope] AS w",
+        f"SELECT brand, label, {_FITTED}, {_r2('greatest(base + w[1] * CASE WHEN h % 2 = 1 THEN x0 ELSE x1 END, 0)')} AS prediction FROM made",
+    ),
+)
+def _(spark, d):
+    """A saved selection, read back: the last month's sales at odd horizons, the twelfth last month's at even ones."""
+    names = ["brand_label_sales1", "brand_label_sales12"]
+    importances = spark.range(1, HORIZONS[-1] + 1).select(F.col("id").cast("int").alias("horizon"), F.explode(F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.when(F.col("id") % 2 == odd, 0.9).otherwise(0.1).alias("importance")) for n, odd in zip(names, (1, 0))
+    ])).alias("e")).select("horizon", "e.*")
+    folder = shared_folder(spark, "selection")
+    X.save_selection(X.select_features(importances, 1), folder, "1")
+    table = S.supervised_table(brand_facts(spark, d), KEYS, "m", "offtake", [S.Level("brand_label_", ("brand", "label"), "offtake", 12)], HORIZONS[-1])
+    ready = X.masked(table, names, X.read_selection(spark, folder))
+    return Q.linear_forecast(ready, KEYS, names, cutoff(spark, d), HORIZONS).withColumn("prediction", round_places("prediction", PLACES))
+
+
+@query(
+    "train_test_rmse",
+    _line_sql(
+        [12], 12,
+        f""", scored AS (SELECT k.h, om + k.h <= c AS train, (base + slope * x - y) ** 2 AS e FROM known k JOIN fits f ON f.h = k.h WHERE y IS NOT NULL)
+        SELECT CAST(h AS INTEGER) AS horizon, count(*) FILTER (train) AS n_train, {_r2('sqrt(avg(e) FILTER (train))')} AS rmse_train, count(*) FILTER (NOT train) AS n_test, {_r2('sqrt(avg(e) FILTER (NOT train))')} AS rmse_test FROM scored GROUP BY h""",
+    ),
+)
+def _(spark, d):
+    out = Q.train_test_rmse(line_table(spark, d, HORIZONS[-1]), [LAST_SALES], cutoff(spark, d, 12), HORIZONS)
+    return out.withColumns({c: round_places(c, PLACES) for c in ("rmse_train", "rmse_test")})
+
+
 @query("forecast_global_line", _line_sql([0], 12, f"SELECT {_LINE_ROWS}", whole=True))
 def _(spark, d):
     table = written(L.global_table(line_table(spark, d, HORIZONS[-1]), [LAST_SALES]))

@@ -190,7 +190,10 @@ _ALL_SCOPES = f"""WITH {_INPUT},
     ),
 )
 def _(spark, d):
-    rows = measures_input(spark, d).withColumn("lag", F.col("m") - F.col("cycle"))
+    """Channels play no part, so the lines need no order; lags and measures multiply the rows last."""
+    sums = lines(spark, d).groupBy("sku", "label", "m").agg(F.sum("qty").alias("oft_trk_val"), F.sum("kept").alias("sal_ins_val"))
+    scoped = sums.select(F.explode(F.array("label", F.lit("il"))).alias("label"), "sku", "m", F.col("label").alias("part"), *_MEASURES)
+    rows = K.lagged_input(scoped, ["label", "sku"], "m", _MEASURES, _HORIZONS, lambda lag: 1 + lag / 64.0)
     out = K.kpi_report(rows, "label", list(_UMBRELLA), by=["variable"], umbrella=_UMBRELLA)
     return out.withColumn("value", round_places("value"))
 

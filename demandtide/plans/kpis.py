@@ -8,7 +8,7 @@ windows only ever see a handful of months.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -227,16 +227,50 @@ def kpi_report(
 
 
 def kpi_input(actuals: DataFrame, forecasts: DataFrame, keys: Sequence[str], month: str, cycle: str, measures: Sequence[str]) -> DataFrame:
-    """Actuals beside forecasts per key, month and measure, channels summed, up to the last actual month."""
+    """Actuals beside forecasts per key, month and measure, channels summed, up to the last actual month.
+
+    Rows that repeat as a whole count once. Both frames are dealt by key and month once:
+    dropping repeats, summing and joining then need no further shuffle, and measures become
+    rows after the join.
+    """
     last = actuals.agg(F.max(month).alias("last")).scalar()
 
-    def long(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-        sums = df.distinct().groupBy(*by).agg(*[F.sum(c).alias(c) for c in measures])
-        return sums.unpivot(list(by), list(measures), "variable", name)
+    def summed(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+        dealt = df.repartition(*[F.col(c) for c in (*keys, month)]).distinct()
+        return dealt.groupBy(*by).agg(*[F.sum(c).alias(f"{name}_{c}") for c in measures])
+
+    known = summed(actuals, [*keys, month], "actual")
+    made = summed(forecasts.filter(F.col(month) <= last), [*keys, month, cycle], "forecast")
+    both = known.join(made, [*keys, month], "inner")
+    return both.select(*keys, month, cycle, measure_rows(measures)).select(*keys, month, cycle, "e.*")
+
+
+def measure_rows(measures: Sequence[str], factor: Column | None = None) -> Column:
+    """One struct (variable, actual, forecast) per measure as rows ``e``."""
+    made = {c: F.col(f"forecast_{c}") if factor is None else F.col(f"forecast_{c}") * factor for c in measures}
+    return F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"actual_{c}").alias("actual"), made[c].alias("forecast")) for c in measures])).alias("e")
+
+
+def lagged_input(
+    actuals: DataFrame, keys: Sequence[str], month: str, measures: Sequence[str], lags: Sequence[int], grown: Callable[[Column], Column], back: int = 12
+) -> DataFrame:
+    """``kpi_input`` where the forecast is the month ``back`` before, times ``grown`` of the lag: key, month, cycle, lag, variable, actual, forecast.
+
+    Repeated rows count once. A month is paired with the earlier one by stacking it under
+    both months and summing: one shuffle of the panel. Lags and measures multiply the
+    rows last, right before whatever sums them, so no shuffle carries them. Months without an earlier
+    one, and after the last actual one, have no row.
+    """
+    empty = {c: F.lit(None).cast("double").alias(c) for c in (f"{side}_{c}" for side in ("actual", "forecast") for c in measures)}
+
+    def as_of(side: str, shift: int) -> Column:
+        filled = empty | {f"{side}_{c}": F.col(c).cast("double").alias(f"{side}_{c}") for c in measures}
+        return F.struct((F.col(month) + shift).alias(month), F.lit(1 if side == "actual" else 0).alias("_a"), F.lit(0 if side == "actual" else 1).alias("_b"), *filled.values())
 
-    known = long(actuals, [*keys, month], "actual")
-    made = long(forecasts.filter(F.col(month) <= last), [*keys, month, cycle], "forecast")
-    return known.join(made, [*keys, month, "variable"], "inner")
+    stacked = actuals.distinct().select(*keys, F.explode(F.array(as_of("actual", 0), as_of("forecast", back))).alias("s")).select(*keys, "s.*")
+    paired = stacked.groupBy(*keys, month).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"), *[F.sum(c).alias(c) for c in empty]).filter("_a = 1 AND _b = 1").drop("_a", "_b")
+    lagged = paired.withColumn("lag", F.explode(F.array(*[F.lit(x) for x in lags])))
+    return lagged.select(*keys, month, (F.col(month) - F.col("lag")).alias("cycle"), "lag", measure_rows(measures, grown(F.col("lag")))).select(*keys, month, "cycle", "lag", "e.*")
 
 
 def model_score(

@@ -167,3 +167,17 @@ def linear_forecast(
 ) -> DataFrame:
     """``linear_backtest`` of one origin."""
     return linear_backtest(table, keys, features, [cutoff], horizons, by, ridge, None, target)
+
+
+def train_test_rmse(table: DataFrame, features: Sequence[str], cutoff: int, horizons: Sequence[int], by: Sequence[str] = (), ridge: float = 0.0, target: str = "target") -> DataFrame:
+    """``by``, horizon, n_train, rmse_train, n_test, rmse_test: fits on target months up to the cutoff, errors on both sides of it.
+
+    All horizons are fitted from one scan and scored in another; predictions are not clipped here.
+    """
+    known = table.filter(F.col("horizon").isin(list(horizons)) & F.col(target).isNotNull())
+    fits = written(origin_fits(known, by, features, target, [cutoff], ridge).drop("date_when_predicting", "n_rows"), "fits")
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
+    made = F.aggregate(F.zip_with("weights", x, lambda w, v: w * v), F.col("intercept"), lambda s, v: s + v)
+    scored = known.join(fits, [*by, "horizon"]).select(*by, "horizon", (F.col("date_to_predict") <= cutoff).alias("_train"), F.pow(made - F.col(target), 2).alias("_e"))
+    sides = [(F.col("_train"), "train"), (~F.col("_train"), "test")]
+    return scored.groupBy(*by, "horizon").agg(*[c for side, name in sides for c in (F.count_if(side).alias(f"n_{name}"), F.sqrt(F.avg(F.when(side, F.col("_e")))).alias(f"rmse_{name}"))])

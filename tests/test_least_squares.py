@@ -80,3 +80,22 @@ def test_no_rows(spark):
     table = spark.createDataFrame(rows, ddl)
     assert Q.linear_forecast(table.limit(0), ["item"], names, 202101, [1]).count() == 0
     assert Q.linear_forecast(table.withColumn("target", F.lit(None).cast("double")), ["item"], names, 202101, [1]).count() == 0
+
+
+def test_masked_features_fit_as_their_own_columns(spark, tmp_path):
+    from demandtide.plans import forecasting as L, selection as X
+
+    rows, names, ddl = made(3)
+    table = spark.createDataFrame(rows, ddl).fillna(0.0, subset=names)
+    importances = spark.createDataFrame([(1, "x0", 0.6), (1, "x1", 0.3), (1, "x2", 0.1), (2, "x2", 0.5), (2, "x1", 0.5), (9, "x0", 1.0)], "horizon int, feature string, importance double")
+    X.save_selection(X.select_features(importances, 1), str(tmp_path / "s"), "1")
+    chosen = X.read_selection(spark, str(tmp_path / "s"))
+    assert {tuple(r) for r in chosen.collect()} == {(1, 1, "x0"), (2, 1, "x1"), (9, 1, "x0")}
+    ready = X.masked(table, names, chosen, fixed=["flat"])
+    at = shifted(202001, 12)
+    key = lambda df: {(r.label, r.item): r.prediction for r in df.collect()}
+    for h, own in ((1, ["x0"]), (2, ["x1"]), (5, names)):
+        alone = key(Q.linear_forecast(table, ["label", "item"], own, at, [h]))
+        assert len(alone) == 12 and key(Q.linear_forecast(ready, ["label", "item"], names, at, [h])) == pytest.approx(alone, abs=1e-6)
+        tree = L.ModelSpec("DecisionTreeRegressor", {"maxDepth": 3})
+        assert key(L.direct_forecast(ready, ["label", "item"], names, at, [h], tree)[0]) == key(L.direct_forecast(table, ["label", "item"], own, at, [h], tree)[0])

@@ -63,14 +63,15 @@ def sequences(df: DataFrame, key: str, length: str, max_len: int) -> DataFrame:
 
 
 def pack(
-    df: DataFrame, key: str = "doc_id", length: str = "n_tokens", max_len: int = 2048, buckets: int = 16, token_budget: int = 65536, slot_size: int = 1024
+    df: DataFrame, key: str = "doc_id", length: str = "n_tokens", max_len: int = 2048, buckets: int = 16, token_budget: int = 65536, slot_batches: int = 32
 ) -> DataFrame:
     """doc_id, part, length, bucket_len, batch_id: every sequence, its bucket's padded length and its batch.
 
     A batch holds sequences of one bucket, at most ``token_budget`` padded tokens
     (max(1, budget // bucket_len) sequences). Batches are numbered within slots of
-    about ``slot_size`` sequences, chosen by a hash of document and part; a slot leaves
-    at most one batch unfilled. batch_id is ``bucket_len-slot-number``. A document
+    about ``slot_batches`` full batches, chosen by a hash of document and part; a slot leaves
+    at most one batch unfilled, so on average batches are full but for half a batch in
+    ``slot_batches``, whatever the length. batch_id is ``bucket_len-slot-number``. A document
     longer than ``max_len`` fills several sequences; documents without tokens have none.
     Repeated rows are sequences of their own, a null key is kept; an empty table gives
     no rows. The driver sees the histogram only: at most ``max_len`` rows.
@@ -82,7 +83,8 @@ def pack(
         return cut.select("doc_id", "part", "length", F.col("length").alias("bucket_len"), F.lit("").alias("batch_id"))
     slots, low = {}, 0
     for high in bounds:
-        slots[high] = -(-sum(n for k, n in histogram.items() if low < k <= high) // slot_size)
+        full = max(1, token_budget // high)
+        slots[high] = max(1, round(sum(n for k, n in histogram.items() if low < k <= high) / (full * slot_batches)))
         low = high
     bucket = F.element_at(F.filter(F.array(*map(F.lit, bounds)), lambda b: b >= F.col("length")), 1).cast("long")
     spread = F.pmod(F.xxhash64(F.lit("slot"), "doc_id", "part"), F.element_at(F.create_map(*(F.lit(int(x)) for pair in slots.items() for x in pair)), F.col("bucket_len").cast("int")))

@@ -274,7 +274,7 @@ def test_packing_places_every_token_once(spark):
     rng = random.Random(6)
     rows = [(k, rng.randrange(0, 300)) for k in range(400)] + [(7, 50), (None, 10), (500, None), (501, 5000)]
     frame = spark.createDataFrame(rows, "doc_id long, n_tokens long").withColumn("length", F.lit("x"))
-    out = pack(frame, max_len=256, buckets=5, token_budget=1024, slot_size=50).collect()
+    out = pack(frame, max_len=256, buckets=5, token_budget=1024, slot_batches=4).collect()
     assert sum(r.length for r in out) == sum(n or 0 for _, n in rows)
     assert all(r.length <= r.bucket_len <= 256 for r in out) and len({r.bucket_len for r in out}) <= 5
     sizes = defaultdict(list)

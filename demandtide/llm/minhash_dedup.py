@@ -66,6 +66,10 @@ def sketch(sig: np.ndarray) -> np.ndarray:
     return np.packbits((sig & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
+def _digest(members: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(members.tobytes(), digest_size=16).digest() if len(members) else None
+
+
 def _signed(n: int):
     schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64())), ("s0", pa.int64()), ("s1", pa.int64())])
 
@@ -76,7 +80,7 @@ def _signed(n: int):
             for k, body in enumerate(b.column(1)):
                 members = shingle_set(hashes.of(body.as_py()), n)
                 sizes.append(len(members))
-                digests.append(hashlib.blake2b(members.tobytes(), digest_size=16).digest() if len(members) else None)
+                digests.append(_digest(members))
                 keys.append(none)
                 if len(members):
                     sig = signature(members)
@@ -87,6 +91,7 @@ def _signed(n: int):
 
 
 def _sets(n: int):
+    """(id, members) of the texts (id, body, want) whose set has the digest ``want``."""
     schema = pa.schema([("id", pa.int64()), ("members", pa.list_(pa.int64()))])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +99,9 @@ def _sets(n: int):
         for b in batches:
             for start in range(0, len(b), 256):  # long texts: a bounded part at a time
                 part = b.slice(start, 256)
-                yield batch(schema, part.column(0), lists([shingle_set(hashes.of(t.as_py()), n).view(np.int64) for t in part.column(1)], pa.int64()))
+                found = [shingle_set(hashes.of(t.as_py()), n) for t in part.column(1)]
+                at = [k for k, (m, want) in enumerate(zip(found, part.column(2))) if _digest(m) == want.as_py()]
+                yield batch(schema, part.column(0).take(pa.array(at, pa.int64())), lists([found[k].view(np.int64) for k in at], pa.int64()))
 
     return make
 
@@ -151,23 +158,25 @@ def minhash_dedup(df: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_
     ``n``-word shingles, with fewer words the whole sequence as one. Linked are documents
     with 100 * intersection >= ``percent`` * union. Null and wordless texts have an empty
     set and link with nothing; rows with a null key link with nothing, have a null
-    component and are kept. Rows that repeat a key are one document (the text of any of
-    them). An empty table gives no rows.
+    component and are kept. Rows that repeat a key are one document: of different texts
+    the one whose set has the smallest digest speaks for it, in any order of the rows. An
+    empty table gives no rows.
     """
     texts = narrow(df, key, text)
     signed = stored(texts.mapInArrow(_signed(n), "id long, n_shingles long, digest binary, keys array<long>, s0 long, s1 long"), "signatures")
     sound = signed.filter("id is not null and digest is not null")
     classes = stored(sound.groupBy("digest").agg(F.min("id").alias("rep")), "digests")  # stored: the join can then split a frequent digest
     is_rep = F.col("id") == F.col("rep")
-    members = stored(sound.join(classes, "digest").select("id", "rep", F.col("n_shingles").alias("n"), F.when(is_rep, F.col("keys")).alias("keys"), "s0", "s1"), "classes")
-    reps = members.filter("keys is not null").dropDuplicates(["id"])
+    members = stored(sound.join(classes, "digest").select("id", "rep", "digest", F.col("n_shingles").alias("n"), F.when(is_rep, F.col("keys")).alias("keys"), "s0", "s1"), "classes")
+    reps = members.filter("keys is not null").groupBy("id").agg(F.min_by(F.struct("n", "keys", "s0", "s1"), "digest").alias("r")).select("id", "r.*")
     rows = reps.select("id", F.explode("keys").alias("bucket"))
     centres = rows.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last").drop("last")
     crowded = stored(rows.join(centres, "bucket"), "buckets")
     reps = reps.select("id", "n", "s0", "s1")
     # the texts of crowded buckets are read once more, for their full sets; the same join at every size, as both sides grow with the corpus
-    wanted = crowded.select("id").distinct()
-    made = texts.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(n), "id long, members array<long>")
+    chosen = members.filter("keys is not null").groupBy("id").agg(F.min("digest").alias("want"))
+    wanted = chosen.join(crowded.select("id").distinct(), "id", "left_semi")
+    made = texts.join(wanted.hint("merge"), "id").mapInArrow(_sets(n), "id long, members array<long>")
     sets = stored(made.dropDuplicates(["id"]), "shingle-sets")  # one row per id: a repeated row must not count its shingles twice
 
     # stars: one centre for all buckets of a group, so that the pairs of different buckets are the same pairs

@@ -208,7 +208,7 @@ def test_reshaping(spark, rows):
 
 def test_profile_counts_null_as_a_value(spark):
     df = spark.createDataFrame([(1, "x"), (2, None), (None, "x")], "n int, t string")
-    got = {r.column_name: r for r in Q.column_profile(df).collect()}
+    got = {r.column_name: r for r in Q.column_profile(df, 500).collect()}
     assert (got["n"].n_distinct, got["n"].n_null, got["n"].mean_value, got["n"].values_text) == (3, 1, 1.5, "1,2")
     assert (got["t"].n_distinct, got["t"].min_value, got["t"].values_text) == (2, 0.0, "x")
 

@@ -23,7 +23,7 @@ def test_copies_in_other_letter_case_are_found(spark):
     assert got[8] == [13]
     assert got[9] == [15] and got[11] == []  # 12 stands for 31 and for 12
     assert 10 in got[10]
-    found = {(r.id, r.item_id) for r in dec.contaminated(docs, items, filter_limit=0).collect()}
+    found = {(r.id, r.item_id) for r in dec.contaminated(docs, items, filter_bits=6).collect()}
     assert found == {(k, i) for k, v in got.items() for i in v}
 
 

@@ -236,7 +236,7 @@ def test_templates_catch_new_values_only_when_consistent(spark):
     assert got[1] == [(True, [10])] * 2 and got[2] == [(True, [10])] and got[None] == [(True, [10])]
     assert got[3] == [(False, [])] and got[4] == got[5] == got[6] == [(False, [])]
     assert got[8][0][0] is False or got[8][0][1] == [13]
-    wide = {tuple(r) for r in dec.contaminated(docs, items, filter_limit=0).collect()}
+    wide = {tuple(r) for r in dec.contaminated(docs, items, filter_bits=6).collect()}
     assert wide == {tuple(r) for r in dec.contaminated(docs, items).collect()}
     kept = dec.clean(docs, items)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {3, 4, 5, 6}

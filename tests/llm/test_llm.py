@@ -415,11 +415,13 @@ def test_table_counts_follow_their_conditional():
 
 def test_blocks_round_trip():
     rng = np.random.default_rng(4)
-    keys = np.sort(rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2))
-    docs, counts = rng.integers(0, 60_000, 500), rng.integers(1, 70_000, 500)
-    ids, train = np.array([-5, 1 << 62, 3], np.int64), np.array([True, False, True])
-    back = py.unpack_part(py.pack_part(keys, docs, counts, ids, train))
-    for x, y in zip((keys, docs, counts, ids, train), back):
+    context = np.sort(rng.integers(0, 1 << 53, 500, dtype=np.uint64))[rng.integers(0, 60, 500)]
+    context.sort()
+    word = rng.integers(0, 1 << 53, 500, dtype=np.uint64)
+    docs, counts = rng.choice([1, 3], 500), rng.integers(1, 70_000, 500)
+    ids, train = np.array([7, -5, 9, 1 << 62], np.int64), np.array([False, True, True, False])
+    back = py.unpack_part(py.pack_part(context, word, docs, counts, ids, train))
+    for x, y in zip((context, word, docs // 2, counts, ids[[1, 3]], train[[1, 3]]), back):  # documents that do not occur stay behind
         assert (x == y).all()
 
 
@@ -446,22 +448,20 @@ def test_scores_are_probabilities_and_base_is_exact(spark):
 
 def test_predictive_probabilities_add_up_to_one():
     rng = np.random.default_rng(6)
-    word = np.repeat(np.arange(30, dtype=np.uint64), 4)
-    context = np.tile(np.array([3, 9, 11, 700]), 30)
-    c = rng.integers(1, 90, 120)
-    dishes = py.Dishes(word, context, c, 1.0, 30, 1)
-    in_context = np.bincount(context, c, py.CONTEXTS)
+    c, vocabulary = rng.integers(0, 90, (4, 30)), 30
+    t = np.minimum(c, 1)
     for _ in range(3):
-        dishes.sweep()
-        total = py._sums(dishes)
-        parent = py.root_probability(dishes.root(), dishes.root_t, total, 30)
-        unseen = py.root_probability(0, 0, total, 30)
+        c1 = t.sum(axis=0)
+        t1 = py.sample_tables(c1, np.full(30, 1 / 31), np.full(30, 25), py.ROOT_DISCOUNT, py.ROOT_STRENGTH, rng)
+        total = c1.sum(), t1.sum()
+        parent, unseen = py.root_probability(c1 - py.ROOT_DISCOUNT * t1, total, vocabulary), py.root_probability(0, total, vocabulary)
         assert parent.sum() + unseen == pytest.approx(1)
-        for g in (3, 9, 11, 700, 5):
-            at = np.flatnonzero(context == g)
-            seen = py.predictive(c[at], dishes.t[at], parent[word[at].astype(int)], g, total, in_context).sum() if len(at) else 0
-            rest = py.predictive(0, 0, (parent.sum() if not len(at) else 0) + unseen, g, total, in_context)
-            assert seen + rest == pytest.approx(1)
+        for u in range(4):
+            tables, customers = t[u].sum(), c[u].sum()
+            seen = py.predictive(c[u], t[u], parent, tables, customers).sum()
+            assert seen + py.predictive(0, 0, unseen, tables, customers) == pytest.approx(1)
+            t[u] = py.sample_tables(c[u], parent, np.maximum(tables - t[u], 0), py.DISCOUNT, py.STRENGTH, rng)
+    assert py.predictive(0, 0, parent, 0, 0) == pytest.approx(parent)  # an unseen context
 
 
 def test_model_beats_the_base_on_held_out_text(spark):

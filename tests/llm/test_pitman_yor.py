@@ -9,7 +9,7 @@ import pytest
 
 from demandtide.llm import pitman_yor as py
 
-LAYOUTS = [{"frequent_share": 10**6}, {"frequent_share": 1}, {"frequent_share": 1, "bucket_bytes": 32}]
+LAYOUTS = [{"frequent_share": 10**6}, {"frequent_share": 1}, {"frequent_share": 1, "bucket_bytes": 8}]
 
 
 def frame(spark, rows):

@@ -2,7 +2,9 @@
 
 Joins carry no broadcast hint, except against one row per calendar month:
 Catalyst and adaptive execution broadcast a side only after checking its size,
-and split skewed partitions otherwise.
+and split skewed partitions otherwise. That size is one of compressed files, and an
+exploded side counts as its source: tables with rows per product are kept from
+broadcasts by ``dealt_lookup``.
 """
 
 from __future__ import annotations
@@ -17,6 +19,11 @@ def lookup(df: DataFrame, mapping: DataFrame, on: str | Sequence[str], how: str
     return df.join(mapping, on=[on] if isinstance(on, str) else list(on), how=how)
 
 
+def dealt_lookup(df: DataFrame, mapping: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """``lookup`` by sorting both sides, so that no mapping passes through the driver whatever the planner takes for its size."""
+    return lookup(df, mapping.hint("merge"), on, how)
+
+
 def unmapped_keys(df: DataFrame, mapping: DataFrame, df_key: str, map_key: str) -> DataFrame:
     """Distinct key values that have no row in the mapping."""
     keys = df.select(F.col(df_key).alias("unmapped_key")).dropna().distinct()

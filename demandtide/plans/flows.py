@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from demandtide.functions import cleaning as C
 from demandtide.operators.aggregating import group_sum
-from demandtide.operators.joining import lookup
+from demandtide.operators.joining import dealt_lookup, lookup
 
 #: Rules are broadcast by feed; more than this many are refused.
 MOST_RULES = 1000
@@ -143,13 +143,14 @@ def trade_flow(rows: DataFrame, rules: Sequence[Rule], cycle: int, channels: Dat
     (feed, feed_sku, sku) the standard product; feeds without a party in the mapping fall to
     their rule's channel, rows without a standard product go. ``products`` (sku, ...) and ``grams``
     (sku, grams) may lack a product: its attributes, and its tons, are null then.
-    Sums come before the lookups of products, which then meet one row per key.
+    Sums come before the lookups of products, which then meet one row per key. Mappings with
+    rows per product (names, products, grams) are never broadcast.
     """
     known = ruled(rows.withColumnRenamed("sku", "feed_sku"), rules, cycle)
     # partial sums by what the lookups need, so that a busy retailer or product meets them as few rows
     sums = known.groupBy("feed", "feed_sku", "party", "sp", "type", "status", "default_channel", "m").agg(F.sum("quantity").alias("quantity"))
-    named = lookup(lookup(sums, channels, ["feed", "party"], "left"), names, ["feed", "feed_sku"], "inner")
+    named = dealt_lookup(lookup(sums, channels, ["feed", "party"], "left"), names, ["feed", "feed_sku"], "inner")
     channel = C.map_values(F.coalesce("channel", "default_channel"), CHANNEL_NAMES)
     flow = group_sum(named.withColumn("channel", channel), ["sku", "sp", "type", "channel", "status", "m"], ["quantity"])
-    full = lookup(lookup(flow, products, "sku", "left"), grams, "sku", "left")
+    full = dealt_lookup(dealt_lookup(flow, products, "sku", "left"), grams, "sku", "left")
     return full.withColumn("quantity", C.tins_to_tons("quantity", "grams")).drop("grams")

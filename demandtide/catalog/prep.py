@@ -11,6 +11,7 @@ from demandtide.catalog.roles import CHANNELS, channel_lines, hierarchy, lines,
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_date, idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
+from demandtide.operators.joining import dealt_lookup
 from demandtide.operators.quality import check_contract
 from demandtide.operators.reshaping import drop_empty_rows, month_columns, normalised_names, unpivot_long
 from demandtide.plans import flows, prep as J, sheets, unified
@@ -22,7 +23,7 @@ GOODS = {"economy": "low", "promo": "low", "standard": "mid", "medium": "mid", "
 
 def brand_months(spark, d):
     sums = lines(spark, d).groupBy("sku", "label", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
-    known = sums.join(hierarchy(spark, d), "sku")
+    known = dealt_lookup(sums, hierarchy(spark, d), "sku", "inner")
     return known.groupBy("brand", "tier", "label", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
 
 
@@ -485,7 +486,7 @@ def _(spark, d):
     cells = wide_months(base.filter("tier != 'PROMO'").withColumn("description", described), ["description"], "kept", months)
     cells = cells.select("description", *[F.coalesce(F.format_number(c, 1), F.lit(" - ")).alias(c) for c in spelled(months)])
     known = hierarchy(spark, d)
-    sums = channel_lines(spark, d).groupBy("sku", "channel", "m").agg(F.sum("kept").alias("volume")).join(known, "sku").filter(_GAPS)
+    sums = dealt_lookup(channel_lines(spark, d).groupBy("sku", "channel", "m").agg(F.sum("kept").alias("volume")), known, "sku", "inner").filter(_GAPS)
     history = sums.select(F.col("brand").alias("section"), F.col("tier").alias("stage"), "sku", "channel", idx_to_ym("m").alias("ym"), "volume")
     products = known.select(F.col("brand").alias("section"), F.col("tier").alias("stage"), "sku", "country", described.alias("description"))
     spans = F.explode(F.array(*[F.lit(int(m)) for m in spelled(months)])).alias("ym")

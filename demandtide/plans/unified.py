@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from demandtide.functions import cleaning as C
 from demandtide.operators.aggregating import group_sum
-from demandtide.operators.joining import lookup
+from demandtide.operators.joining import dealt_lookup, lookup
 from demandtide.operators.panel import fill_down
 from demandtide.operators.reshaping import unpivot_long
 from demandtide.session import written
@@ -31,7 +31,8 @@ def backoff_shares(wanted: DataFrame, history: DataFrame, members: DataFrame, gr
     count as zero. A group without members has no shares.
 
     One pass sums the history by level and bucket with partial sums; what is wanted, a row a
-    group and month, then picks its level, and only rows of that level are fetched.
+    group and month, then picks its level, and only rows of that level are fetched. Members
+    are never broadcast.
     """
     keys, who = list(group), list(member)
     known = members.select(*keys, *who).dropna().distinct()
@@ -41,7 +42,7 @@ def backoff_shares(wanted: DataFrame, history: DataFrame, members: DataFrame, gr
     )
     sold = history.select(*keys, *who, F.col(month).cast("int").alias(month), F.greatest(F.coalesce(F.col(value).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("v")).filter("v > 0")
     spread = sold.select(*keys, *who, "v", F.explode(levels).alias("l")).select(*keys, *who, "v", "l.level", "l.bucket")
-    cube = spread.groupBy(*keys, *who, "level", "bucket").agg(F.sum("v").alias("v")).join(known, [*keys, *who], "left_semi")
+    cube = spread.groupBy(*keys, *who, "level", "bucket").agg(F.sum("v").alias("v")).join(known.hint("merge"), [*keys, *who], "left_semi")
     cube = written(cube, "share-levels")
     totals = cube.groupBy(*keys, "level", "bucket").agg(F.sum("v").alias("total"))
     asked = wanted.select(*keys, F.col(month).cast("int").alias(month)).dropna().distinct()
@@ -49,7 +50,7 @@ def backoff_shares(wanted: DataFrame, history: DataFrame, members: DataFrame, gr
     best = found.groupBy(*keys, month).agg(F.min(F.struct("level", "bucket", "total")).alias("b")).select(*keys, month, "b.*")
     dealt = best.join(cube, [*keys, "level", "bucket"]).select(*keys, month, *who, (F.col("v") / F.col("total")).alias("share"), "level")
     sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rest = asked.join(best.select(*keys, month), [*keys, month], "left_anti").join(sizes, keys).join(known, keys)
+    rest = asked.join(best.select(*keys, month), [*keys, month], "left_anti").join(sizes, keys).join(known.hint("merge"), keys)
     equal = rest.select(*keys, month, *who, (F.lit(1.0) / F.col("_n")).alias("share"), F.lit(EQUAL).alias("level"))
     return dealt.unionByName(equal)
 
@@ -82,7 +83,7 @@ def unified_il(offtake: DataFrame, sellin: DataFrame, products: DataFrame, chann
     members = products.select(*keys, "sku", F.explode(F.array(*[F.lit(c) for c in channels])).alias("channel"))
     shares = backoff_shares(volumes, history, members, keys, ["sku", "channel"], "ym", "volume")
     spread = lookup(shares, volumes.drop("description"), [*keys, "ym"], "inner")
-    raised = lookup(lookup(spread, products.select(*keys, "sku", "country"), [*keys, "sku"], "left"), uplift, ["country", "channel", "ym"], "left")
+    raised = lookup(dealt_lookup(spread, products.select(*keys, "sku", "country"), [*keys, "sku"], "left"), uplift, ["country", "channel", "ym"], "left")
     own = F.col("offtake") * F.col("share")
     return raised.select(
         *keys, "sku", "country", "channel", "ym", own.alias("offtake"), (F.col("sellin") * F.col("share")).alias("sellin"),

@@ -193,10 +193,10 @@ _FITTED = f"{ym('om')} AS date_when_predicting, {ym('om + h')} AS date_to_predic
 
 @query("forecast_ridge", _fits_sql([0], [1, 12], _TWO, f"SELECT sku, label, {_FITTED}, {_r2('greatest(base + w[1] * x0 + w[2] * x1, 0)')} AS prediction FROM made", ("label",)))
 def _(spark, d):
-    """Ridge on the sales of the last and of the twelfth last month, per scope and horizon at product grain: 36 fits from one scan."""
-    level = S.Level("own_", ("sku", "label"), "offtake", 12)
-    table = S.supervised_table(scoped_facts(spark, d), ["sku", "label"], "m", "offtake", [level], HORIZONS[-1])
-    made = Q.linear_forecast(table, ["sku", "label"], ["own_sales1", "own_sales12"], cutoff(spark, d), HORIZONS, ["label"], RIDGE)
+    """Ridge on the sales of the last and of the twelfth last month, per scope and horizon at product grain: 36 fits from sums of products of months."""
+    facts = scoped_facts(spark, d)
+    axis = sorted(r.m for r in lines(spark, d).select("m").dropna().distinct().collect())  # bounded by the calendar
+    made = Q.series_backtest(facts, axis, ["sku", "label"], "m", "offtake", [1, 12], [cutoff(spark, d)], HORIZONS, ["label"], RIDGE)
     return made.withColumn("prediction", round_places("prediction", PLACES))
 
 

@@ -28,18 +28,11 @@ def _pairs(width: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(width) for j in range(i, width)]
 
 
-def product_sums(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """``by`` and ``sums``: over a group's rows, the sums of all products of two of 1 and ``columns`` (null: 0), upper triangle by rows.
-
-    Sums are partial before their shuffle, so a group with a third of the rows is spread out.
-    """
-    values = [F.lit(1.0), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns]]
-    pairs = _pairs(len(values))
-    if len(pairs) <= WIDEST:
-        return df.groupBy(*by).agg(F.array(*[F.sum(values[i] * values[j]) for i, j in pairs]).alias("sums"))
+def _array_sums(df: DataFrame, by: Sequence[str], x: Column, width: int) -> DataFrame:
+    """``by`` and ``sums`` as ``product_sums`` gives them, of the ``width`` entries of an array; batches are multiplied, their sums add up."""
     keys = df.select(*by).schema
-    rows = df.select(F.struct(*by).alias("key") if by else F.struct(F.lit(0).alias("_")).alias("key"), F.array(*values).alias("x"))
-    upper = np.triu_indices(len(values))
+    rows = df.select(F.struct(*by).alias("key") if by else F.struct(F.lit(0).alias("_")).alias("key"), x.alias("x"))
+    upper = np.triu_indices(width)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, np.ndarray] = {}
@@ -70,6 +63,18 @@ def product_sums(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Da
     return packed.select(*[F.col("key")[c].alias(c) for c in keys.names], F.transform("s", lambda e: e["v"]).alias("sums"))
 
 
+def product_sums(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``by`` and ``sums``: over a group's rows, the sums of all products of two of 1 and ``columns`` (null: 0), upper triangle by rows.
+
+    Sums are partial before their shuffle, so a group with a third of the rows is spread out.
+    """
+    values = [F.lit(1.0), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns]]
+    pairs = _pairs(len(values))
+    if len(pairs) <= WIDEST:
+        return df.groupBy(*by).agg(F.array(*[F.sum(values[i] * values[j]) for i, j in pairs]).alias("sums"))
+    return _array_sums(df, by, F.array(*values), len(values))
+
+
 def _system(sums: np.ndarray, width: int, ridge: float) -> tuple[float, list[float]]:
     """Intercept and weights from the sums of products of 1, ``width`` features and the target; of many solutions the shortest."""
     m = np.zeros((width + 2, width + 2))
@@ -181,3 +186,88 @@ def train_test_rmse(table: DataFrame, features: Sequence[str], cutoff: int, hori
     scored = known.join(fits, [*by, "horizon"]).select(*by, "horizon", (F.col("date_to_predict") <= cutoff).alias("_train"), F.pow(made - F.col(target), 2).alias("_e"))
     sides = [(F.col("_train"), "train"), (~F.col("_train"), "test")]
     return scored.groupBy(*by, "horizon").agg(*[c for side, name in sides for c in (F.count_if(side).alias(f"n_{name}"), F.sqrt(F.avg(F.when(side, F.col("_e")))).alias(f"rmse_{name}"))])
+
+
+def month_arrays(facts: DataFrame, axis: Sequence[int], keys: Sequence[str], month: str, value: str) -> DataFrame:
+    """``keys`` and ``value`` as ``dense_series`` gives them over ``axis``, filled in batches: a row a series, null and missing months zero."""
+    monthly = facts.dropna(subset=[*keys, month]).groupBy(*keys, month).agg(F.sum(value).alias("v"))
+    packed = monthly.groupBy(*keys).agg(F.collect_list(F.struct(F.col(month).cast("int").alias("m"), F.coalesce(F.col("v").cast("double"), F.lit(0.0)).alias("v"))).alias("e"))
+    months = np.array(axis)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            entries = b.column(len(keys))
+            flat, n = entries.flatten(), len(months)
+            row = np.repeat(np.arange(b.num_rows), np.diff(entries.offsets.to_numpy()))
+            cells = np.zeros(b.num_rows * n)
+            cells[row * n + np.searchsorted(months, flat.field(0).to_numpy())] = flat.field(1).to_numpy()
+            arrays = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * n, pa.int32()), pa.array(cells))
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(keys))), arrays], names=[*keys, value])
+
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in packed.select(*keys).schema)
+    return packed.mapInArrow(fill, f"{ddl}`{value}` array<double>")
+
+
+def series_backtest(
+    facts: DataFrame, axis: Sequence[int], keys: Sequence[str], month: str, value: str, lags: Sequence[int], origins: Sequence[int], horizons: Sequence[int],
+    by: Sequence[str] = (), ridge: float = 0.0, months: int | None = None,
+) -> DataFrame:
+    """``linear_backtest`` where the features are the ``lags`` of the series itself, without a row per origin and horizon to learn from.
+
+    ``facts`` hold ``keys``, ``month`` and ``value``; ``axis`` all their months (indices, ascending).
+    Lag 1 is the origin month, lags before the axis are zero. What a fit sums
+    are products of two months of one series, so a group's sums of products of all
+    months, once, hold the sums of every fit: their size is the square of the calendar. Only the rows that are
+    forecast are made, a row a series, origin and horizon. Series are stored.
+    """
+    place = {m: k for k, m in enumerate(axis)}
+    at = {o: o // 100 * 12 + o % 100 for o in sorted(set(origins))}
+    held = written(month_arrays(facts, axis, keys, month, value), "series")
+    sums = _array_sums(held, by, F.concat(F.array(F.lit(1.0)), value), len(axis) + 1)
+    width, zero = len(lags), len(axis) + 1
+    spans = {h: np.array([(p, place[m + h]) for m, p in place.items() if m + h in place], np.int64).reshape(-1, 2) for h in horizons}
+    named = len(by)
+    schema = sums.select(*by).schema
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upper = np.triu_indices(width + 2)
+        for b in batches:
+            made = []
+            for k in range(b.num_rows):
+                m = np.zeros((zero + 1, zero + 1))  # the last row and column stand for months before the axis
+                m[:zero, :zero][np.triu_indices(zero)] = b.column(named)[k].values.to_numpy()
+                m = m + np.triu(m, 1).T
+                for h, span in spans.items():
+                    target = np.array([axis[q] for q in span[:, 1]], np.int64)
+                    for date, o in at.items():
+                        p, q = span[(target <= o) & (target > (o - months if months else -1))].T
+                        of = [np.zeros_like(p), *[np.where(p - lag + 1 >= 0, p - lag + 2, zero) for lag in lags], q + 1]
+                        use = np.array([m[of[i], of[j]].sum() for i, j in zip(*upper)])
+                        if use[0] >= 0.5:
+                            made.append((k, h, date, round(use[0]), *_system(use, width, ridge)))
+            take, h, date, n, base, w = zip(*made) if made else ((),) * 6
+            types = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(j).take(pa.array(take, pa.int64())) for j in range(named)), *(pa.array(c, t) for c, t in zip((h, date, n, base, w), types))],
+                names=[*by, "horizon", "date_when_predicting", "n_rows", "intercept", "weights"],
+            )
+
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in schema)
+    fits = written(sums.mapInArrow(solve, f"{ddl}horizon int, date_when_predicting int, n_rows long, intercept double, weights array<double>"), "fits")
+    ym = lambda m: (m - 1) // 12 * 100 + (m - 1) % 12 + 1
+    # a position outside the axis has no entry
+    wanted = [
+        F.struct(
+            F.lit(date).alias("date_when_predicting"), F.lit(ym(o + h)).alias("date_to_predict"), F.lit(h).alias("horizon"), F.lit(place.get(o + h, -1)).alias("_target"),
+            F.array(*[F.lit(place[o] - lag + 1) for lag in lags]).alias("_lags"),
+        )
+        for date, o in at.items() if o in place for h in horizons
+    ]
+    if not wanted:
+        raise ValueError(f"no origin of {list(origins)} is a month of the data")
+    rows = held.select(*keys, value, F.explode(F.array(*wanted)).alias("_w")).select(
+        *keys, "_w.date_when_predicting", "_w.date_to_predict", "_w.horizon", F.get(value, F.col("_w._target")).alias("target"),
+        *[F.get(value, F.col("_w._lags")[k]).alias(f"_x{k}") for k in range(width)],
+    )
+    scored = rows.join(fits, [*by, "horizon", "date_when_predicting"]).withColumn("prediction", linear_prediction([f"_x{k}" for k in range(width)]))
+    return scored.select(*keys, "date_when_predicting", "date_to_predict", "horizon", "target", "prediction", "n_rows")

@@ -1,6 +1,8 @@
 """What grows with the products stays out of the driver, and what lags or origins multiply stays out of maps and shuffles."""
 
-from demandtide.plans import flows, unified
+import random
+
+from demandtide.plans import flows, least_squares as Q, supervised as S, unified
 
 
 def plan(df):
@@ -24,3 +26,20 @@ def test_members_are_never_broadcast(spark):
     out = unified.backoff_shares(wanted, history, members, ["g"], ["sku"], "ym", "v")
     assert "strategy=merge" in plan(out)  # the equal parts; the other join is behind the stored levels
     assert {(r.g, r.sku, r.share, r.level) for r in out.collect()} == {("a", "s", 0.75, 1), ("a", "t", 0.25, 1), ("b", "u", 0.5, 4), ("b", "w", 0.5, 4)}
+
+
+def test_fits_from_months_equal_fits_from_rows(spark):
+    """Gaps in the calendar, lags before its first month, targets behind it, series of two groups."""
+    rng = random.Random(5)
+    axis = [m for m in range(24001, 24040) if m not in (24011, 24025)]
+    facts = spark.createDataFrame([(k, "ab"[k % 2], m, float(rng.randrange(90))) for k in range(9) for m in rng.sample(axis, 20)] + [(0, "a", m, 1.0) for m in axis], "sku int, label string, m int, v double")
+    origins, horizons = [200012, 200206, 200303], [1, 3, 12]
+    table = S.supervised_table(facts, ["sku", "label"], "m", "v", [S.Level("own_", ("sku", "label"), "v", 12)], 12)
+    for months in (None, 18):
+        want = Q.linear_backtest(table, ["sku", "label"], ["own_sales1", "own_sales12"], origins, horizons, ["label"], 50.0, months)
+        got = Q.series_backtest(facts, axis, ["sku", "label"], "m", "v", [1, 12], origins, horizons, ["label"], 50.0, months)
+        order = ["sku", "label", "date_when_predicting", "horizon"]
+        left, right = want.orderBy(*order).collect(), got.orderBy(*order).collect()
+        assert len(left) == len(right) > 60 and any(r.target is None for r in right)
+        for a, b in zip(left, right):
+            assert a[:6] == b[:6] and a.n_rows == b.n_rows and abs(a.prediction - b.prediction) < 1e-6

@@ -8,8 +8,10 @@ pool; the data never leaves the executors.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -27,6 +29,8 @@ SEED = 17
 # Longest horizon that is modelled, and months between data and origin.
 MAX_MODEL_HORIZON = 12
 DATA_LAG = 2
+#: Singular values come from a library in the driver's JVM that prepares its constants at its first use without a lock.
+_COMPONENTS = Lock()
 
 REGISTRY = {
     "RandomForestRegressor": lambda **p: RandomForestRegressor(seed=SEED, **p),
@@ -93,7 +97,8 @@ def direct_forecast(
 
     def fit(horizon: int):
         columns = features_for(horizon, features, selected, fixed)
-        model = build_pipeline(spec, columns).fit(training_rows(ready, horizon, cutoff))
+        with _COMPONENTS if spec.components else nullcontext():
+            model = build_pipeline(spec, columns).fit(training_rows(ready, horizon, cutoff))
         rows = ready.filter((F.col("horizon") == horizon) & (F.col("date_when_predicting") == cutoff))
         scored = model.transform(rows).withColumn("prediction", F.greatest(F.col("prediction"), F.lit(0.0)))
         return model, scored.select(*keys, "date_when_predicting", "date_to_predict", "horizon", "target", "prediction")

@@ -1,8 +1,12 @@
 """What grows with the products stays out of the driver, and what lags or origins multiply stays out of maps and shuffles."""
 
 import random
+import time
 
-from demandtide.plans import flows, least_squares as Q, supervised as S, unified
+from pyspark.ml.feature import PCA
+
+from demandtide.catalog import roles
+from demandtide.plans import flows, forecasting as L, least_squares as Q, supervised as S, unified
 
 
 def plan(df):
@@ -43,3 +47,29 @@ def test_fits_from_months_equal_fits_from_rows(spark):
         assert len(left) == len(right) > 60 and any(r.target is None for r in right)
         for a, b in zip(left, right):
             assert a[:6] == b[:6] and a.n_rows == b.n_rows and abs(a.prediction - b.prediction) < 1e-6
+
+
+def test_component_fits_run_one_at_a_time(spark, monkeypatch):
+    now, most, fit = [0], [0], PCA._fit
+
+    def slow(self, df):
+        now[0] += 1
+        most[0] = max(most[0], now[0])
+        time.sleep(0.5)
+        out = fit(self, df)
+        now[0] -= 1
+        return out
+
+    monkeypatch.setattr(PCA, "_fit", slow)
+    rows = [(h, 202001 + k, 202001 + k, float(k), float(k * k), float(k)) for h in (1, 2, 3) for k in range(6)]
+    table = spark.createDataFrame(rows, "horizon int, date_when_predicting int, date_to_predict int, a double, b double, target double")
+    spec = L.ModelSpec("Ridge", {"regParam": 1.0}, scale=True, components=1)
+    assert L.direct_forecast(table, [], ["a", "b"], 202004, [1, 2, 3], spec)[0].count() == 3
+    assert most == [1]
+
+
+def test_last_years_sales_take_one_shuffle_of_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(roles, "TASK_LINES", 100)
+    out = roles.based(spark, "/root/testdata/sf0.001")
+    shuffles = out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles == 1 and out.rdd.getNumPartitions() >= 60

@@ -137,12 +137,24 @@ def last_month(spark: SparkSession, folder: str) -> Column:
     return table(spark, folder, "lineitem").agg(F.max(month_idx("l_shipdate")).alias("last")).scalar()
 
 
-def based(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
-    """Sales of a month beside the sales twelve months earlier, without a self join."""
+#: Lines per task where sums are as many as lines: their maps stay small whatever the session's number of partitions.
+TASK_LINES = 250_000
+
+
+def dealt(spark: SparkSession, folder: str, df: DataFrame, *keys: str) -> DataFrame:
+    """``df``, a row a line at most, dealt by ``keys`` over as many partitions as the lines ask for; they are counted in the files' footers."""
+    n = -(-table(spark, folder, "lineitem").count() // TASK_LINES)
+    return df.repartition(max(n, spark.sparkContext.defaultParallelism), *keys)
+
+
+def based_dealt(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
+    """``based``, dealt by sku and ``_r``, the calendar month: a month and the one a year later stay together, so all sums need one shuffle."""
     scopes = F.explode(F.array("label", F.lit("il"))) if with_il else F.col("label")
-    monthly = lines(spark, folder).groupBy("sku", "label", "m").agg(F.sum("qty").alias("qty"))  # rows are doubled after the sum
-    both = monthly.select("sku", scopes.alias("label"), "m", "qty").select(
+    rows = lines(spark, folder).select("sku", "label", "m", "qty", (F.col("m") % 12).alias("_r"))
+    monthly = dealt(spark, folder, rows, "sku", "_r").groupBy("sku", "_r", "label", "m").agg(F.sum("qty").alias("qty"))  # rows are doubled after the sum
+    both = monthly.select("sku", "_r", scopes.alias("label"), "m", "qty").select(
         "sku",
+        "_r",
         "label",
         F.explode(
             F.array(
@@ -153,12 +165,17 @@ def based(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
             )
         ).alias("e"),
     )
-    sums = both.groupBy("sku", "label", F.col("e.m").alias("m")).agg(
+    sums = both.groupBy("sku", "_r", "label", F.col("e.m").alias("m")).agg(
         F.sum("e.actual").alias("actual"), F.sum("e.base").alias("base"), F.max("e.b").alias("_b")
     )
     return sums.filter((F.col("_b") == 1) & (F.col("m") <= last_month(spark, folder))).drop("_b")
 
 
+def based(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:
+    """Sales of a month beside the sales twelve months earlier, without a self join."""
+    return based_dealt(spark, folder, with_il).drop("_r")
+
+
 def with_lags(df: DataFrame) -> DataFrame:
     """Deterministic forecasts: last year's month raised with the lag, for lags 1 to 11."""
     kept = [c for c in df.columns if c != "base"]

@@ -95,7 +95,8 @@ def channel_lines(spark: SparkSession, folder: str) -> DataFrame:
         "o_custkey",
     )
     base = lines(spark, folder).select("sku", "label", "m", "qty", "kept", "l_orderkey")
-    return base.join(orders, "l_orderkey").drop("l_orderkey")
+    n = task_count(spark, folder)
+    return base.repartition(n, "l_orderkey").join(orders.repartition(n, "l_orderkey"), "l_orderkey").drop("l_orderkey")
 
 
 def flow_cube(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
@@ -105,7 +106,13 @@ def flow_cube(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     neither fact is scanned or shuffled again.
     """
     keys = ["sku", "label", "channel", "status", "m", "om", *extra]
-    return written(channel_lines(spark, folder).groupBy(*keys).agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept")), "flow-cube")
+    return written(dealt(spark, folder, channel_lines(spark, folder), "sku", "m").groupBy(*keys).agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept")), "flow-cube")
+
+
+def channel_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines summed to product, channel and month, dealt by product and month, so that a busy product is spread over its months."""
+    rows = dealt(spark, folder, channel_lines(spark, folder).select("sku", "channel", "m", "qty", "kept"), "sku", "m")
+    return rows.groupBy("sku", "channel", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
 
 
 def master_cube(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,10 +148,15 @@ def last_month(spark: SparkSession, folder: str) -> Column:
 TASK_LINES = 250_000
 
 
-def dealt(spark: SparkSession, folder: str, df: DataFrame, *keys: str) -> DataFrame:
-    """``df``, a row a line at most, dealt by ``keys`` over as many partitions as the lines ask for; they are counted in the files' footers."""
-    n = -(-table(spark, folder, "lineitem").count() // TASK_LINES)
-    return df.repartition(max(n, spark.sparkContext.defaultParallelism), *keys)
+def task_count(spark: SparkSession, folder: str, times: int = 1) -> int:
+    """Partitions that the lines ask for, if ``times`` rows come of a line; they are counted in the files' footers."""
+    n = -(-times * table(spark, folder, "lineitem").count() // TASK_LINES)
+    return max(n, spark.sparkContext.defaultParallelism)
+
+
+def dealt(spark: SparkSession, folder: str, df: DataFrame, *keys: str, times: int = 1) -> DataFrame:
+    """``df``, a row a line at most, dealt by ``keys`` over as many partitions as the lines ask for; ``times`` as many rows come of it in the same tasks."""
+    return df.repartition(task_count(spark, folder, times), *keys)
 
 
 def based_dealt(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame:

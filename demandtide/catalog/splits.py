@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import date_of, div, query, r4, with_sql, ym
-from demandtide.catalog.roles import bare_panel, channel_lines, flow_cube, hierarchy, last_month, lines, sku_label, table
+from demandtide.catalog.roles import CHANNELS, bare_panel, channel_lines, channel_months, dealt, flow_cube, hierarchy, last_month, lines, sku_label, table
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_month, idx_to_date, idx_to_ym, iso_week_mondays
 from demandtide.operators.aggregating import group_sum
@@ -255,7 +255,8 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    history = flow_cube(spark, d)
+    """Months of a channel are stored and dealt by product, a row per month and channel of it at most; all that follows stays in these tasks."""
+    history = dealt(spark, d, written(channel_months(spark, d), "channel-months"), "sku", times=len(CHANNELS))
     ratios = G.ratios_of(history, ["sku", "channel"], ["sku"], "qty")
     offtake = group_sum(history, ["sku", "channel", "m"], ["qty"]).withColumnRenamed("qty", "offtake")
     sellin = group_sum(history, ["sku", "m"], ["kept"]).withColumnRenamed("kept", "sellin")

@@ -1,11 +1,13 @@
 """What grows with the products stays out of the driver, and what lags or origins multiply stays out of maps and shuffles."""
 
 import random
+import re
 import time
 
+import pytest
 from pyspark.ml.feature import PCA
 
-from demandtide.catalog import roles
+from demandtide.catalog import QUERIES, roles
 from demandtide.plans import flows, forecasting as L, least_squares as Q, supervised as S, unified
 
 
@@ -73,3 +75,16 @@ def test_last_years_sales_take_one_shuffle_of_many_parts(spark, monkeypatch):
     out = roles.based(spark, "/root/testdata/sf0.001")
     shuffles = out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     assert shuffles == 1 and out.rdd.getNumPartitions() >= 60
+
+
+def parts_of_shuffles(df):
+    """Number of partitions of every shuffle by keys in the plan."""
+    return [int(n) for n in re.findall(r"Exchange hashpartitioning\([^\n]*?, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())]
+
+
+@pytest.mark.parametrize("name", ["actuals_il"])
+def test_shuffles_of_lines_grow_with_the_lines(spark, monkeypatch, name):
+    """No shuffle falls back to the session's number of partitions (4 here), which would make tasks grow with the table."""
+    monkeypatch.setattr(roles, "TASK_LINES", 100)
+    found = parts_of_shuffles(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert found and min(found) >= 60

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from demandtide.catalog.registry import date_of, div, query, r4, with_sql, ym
-from demandtide.catalog.roles import CHANNELS, channel_lines, hierarchy, lines, master, panel, sku_label, table
+from demandtide.catalog.roles import CHANNELS, channel_lines, dealt, hierarchy, lines, master, panel, sku_label, table
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_to_date, idx_to_ym, month_idx
 from demandtide.operators.aggregating import group_sum
@@ -55,6 +55,12 @@ def wide_months(df, ids, value, months, names=None):
     return df.withColumn("_n", sheet_name(months, names)).groupBy(*ids).pivot("_n", list(names)).agg(F.sum(value))
 
 
+def dealt_months(spark, d, *measures):
+    """Sums per product and month, dealt by product for sheets of it: lines meet by product and month first, so that a busy product is spread over its months."""
+    monthly = dealt(spark, d, lines(spark, d).select("sku", "m", *measures), "sku", "m").groupBy("sku", "m").agg(*[F.sum(c).alias(c) for c in measures])
+    return dealt(spark, d, monthly, "sku")
+
+
 @query(
     "job_competitor",
     with_sql(
@@ -110,7 +116,7 @@ def _(spark, d):
     with_sql(f"SELECT sku, {_YM}, sum(qty) AS value, sum(kept) AS volume, {r4(div('sum(qty)', 'sum(kept)'))} AS price FROM lines GROUP BY ALL HAVING sum(kept) <> 0", "lines"),
 )
 def _(spark, d):
-    monthly = lines(spark, d).groupBy("sku", "m").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+    monthly = dealt_months(spark, d, "qty", "kept")
     months = sheet_months(spark, d)
     out = J.unit_price(wide_months(monthly, ["sku"], "qty", months), wide_months(monthly, ["sku"], "kept", months), ["sku"], spelled(months))
     return out.select("sku", F.col("month").cast("int").alias("ym"), "value", "volume", round_places("price").alias("price"))
@@ -125,13 +131,13 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    monthly = lines(spark, d).groupBy("sku", "m").agg(F.sum("qty").alias("qty"))
-    tiers = hierarchy(spark, d).select("sku", "tier")
+    monthly = dealt_months(spark, d, "qty")
+    tiers = dealt(spark, d, hierarchy(spark, d).select("sku", "tier"), "sku")
     months = sheet_months(spark, d)
-    sheet = wide_months(monthly, ["sku"], "qty", months, serials(months)).join(tiers, "sku")
+    sheet = dealt_lookup(wide_months(monthly, ["sku"], "qty", months, serials(months)), tiers, "sku", "inner")
     # A product mapped under another tier contradicts its sheet and is dropped.
     known = F.when(F.col("tier").isin("LARGE", "SMALL", "PROMO"), F.col("tier")).otherwise("other")
-    mapping = master(spark, d).select("sku", F.col("p_name").alias("name"), known.alias("mapped_tier"))
+    mapping = dealt(spark, d, master(spark, d).select("sku", F.col("p_name").alias("name"), known.alias("mapped_tier")), "sku")
     return J.sellin_long(sheet, mapping, "sku", ["name"], serials(months), "1999-07-14").select("sku", "name", "date", "volume", "status")
 
 

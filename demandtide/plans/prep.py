@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from demandtide.functions import cleaning as C, periods as P
 from demandtide.operators.aggregating import equal_share_fallback, group_sum, newest_over_old, split_ratio
-from demandtide.operators.joining import fallback_lookup, lookup
+from demandtide.operators.joining import dealt_lookup, fallback_lookup, lookup
 from demandtide.operators.panel import fill_down
 from demandtide.operators.reshaping import override_rows, union_sources, unpivot_blocks, unpivot_long
 
@@ -65,9 +65,12 @@ def availability_sheet(sheet: DataFrame, item: str, headers: Sequence[tuple[str,
 
 def unit_price(value: DataFrame, volume: DataFrame, ids: Sequence[str], months: Sequence[str]) -> DataFrame:
     """Value block over volume block, per product and month."""
-    top = unpivot_long(value, ids, ticked(months), "month", "value", drop_null=True)
-    bottom = unpivot_long(volume, ids, ticked(months), "month", "volume", drop_null=True)
-    # Stacked and summed instead of joined: one shuffle.
+
+    def rows(sheet: DataFrame, name: str) -> DataFrame:
+        return unpivot_blocks(sheet, ids, {month: [f"`{month}`"] for month in months}, "month", [name]).dropna(subset=[name])
+
+    # Stacked and summed instead of joined: one shuffle, or none where both sheets are dealt by their ids, which blocks of columns keep.
+    top, bottom = rows(value, "value"), rows(volume, "volume")
     both = union_sources([top, bottom]).groupBy(*ids, "month").agg(F.sum("value").alias("value"), F.sum("volume").alias("volume"))
     return both.dropna(subset=["value", "volume"]).withColumn("price", C.ratio("value", "volume")).dropna(subset=["price"])
 
@@ -85,7 +88,7 @@ def sellin_long(
     base: str = P.SERIAL_BASE_1899,
 ) -> DataFrame:
     """Mapped products, serial-date columns melted to months, months before the cycle are actual."""
-    mapped = without_tier_conflict(lookup(sheet, mapping, key, "inner"), "tier", "mapped_tier")
+    mapped = without_tier_conflict(dealt_lookup(sheet, mapping, key, "inner"), "tier", "mapped_tier")
     long = unpivot_long(mapped, [key, *ids], ticked(serials), "serial", "volume", drop_null=True)
     day = P.month_start(P.serial_to_date(F.col("serial").cast("int"), base))
     dated = long.withColumn("date", day).drop("serial")

@@ -259,7 +259,7 @@ def lagged_input(
     Repeated rows count once. A month is paired with the earlier one by stacking it under
     both months and summing: one shuffle of the panel. Lags and measures multiply the
     rows last, right before whatever sums them, so no shuffle carries them. Months without an earlier
-    one, and after the last actual one, have no row.
+    one, and after the last actual one, have no row; null keys and months pair with nothing.
     """
     empty = {c: F.lit(None).cast("double").alias(c) for c in (f"{side}_{c}" for side in ("actual", "forecast") for c in measures)}
 
@@ -267,7 +267,7 @@ def lagged_input(
         filled = empty | {f"{side}_{c}": F.col(c).cast("double").alias(f"{side}_{c}") for c in measures}
         return F.struct((F.col(month) + shift).alias(month), F.lit(1 if side == "actual" else 0).alias("_a"), F.lit(0 if side == "actual" else 1).alias("_b"), *filled.values())
 
-    stacked = actuals.distinct().select(*keys, F.explode(F.array(as_of("actual", 0), as_of("forecast", back))).alias("s")).select(*keys, "s.*")
+    stacked = actuals.dropna(subset=[*keys, month]).distinct().select(*keys, F.explode(F.array(as_of("actual", 0), as_of("forecast", back))).alias("s")).select(*keys, "s.*")
     paired = stacked.groupBy(*keys, month).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"), *[F.sum(c).alias(c) for c in empty]).filter("_a = 1 AND _b = 1").drop("_a", "_b")
     lagged = paired.withColumn("lag", F.explode(F.array(*[F.lit(x) for x in lags])))
     return lagged.select(*keys, month, (F.col(month) - F.col("lag")).alias("cycle"), "lag", measure_rows(measures, grown(F.col("lag")))).select(*keys, month, "cycle", "lag", "e.*")

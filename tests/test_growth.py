@@ -82,7 +82,7 @@ def parts_of_shuffles(df):
     return [int(n) for n in re.findall(r"Exchange hashpartitioning\([^\n]*?, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())]
 
 
-@pytest.mark.parametrize("name", ["actuals_il"])
+@pytest.mark.parametrize("name", ["actuals_il", "kpi_input", "pivot_fill", "job_sellin_long", "job_unit_price"])
 def test_shuffles_of_lines_grow_with_the_lines(spark, monkeypatch, name):
     """No shuffle falls back to the session's number of partitions (4 here), which would make tasks grow with the table."""
     monkeypatch.setattr(roles, "TASK_LINES", 100)

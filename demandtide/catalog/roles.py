@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from demandtide.functions.periods import month_idx
+from demandtide.operators.joining import dealt_lookup
 from demandtide.session import written
 
 LABELS = ("di", "eib", "il")
@@ -199,6 +200,12 @@ def cycles(spark: SparkSession, folder: str, with_il: bool = False) -> DataFrame
     return with_lags(based(spark, folder, with_il))
 
 
+def leaf_bases(spark: SparkSession, folder: str) -> DataFrame:
+    """``based`` with the product hierarchy, a row per product and calendar month of which comes to where the sales are dealt."""
+    products = hierarchy(spark, folder).withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    return dealt_lookup(based_dealt(spark, folder), products, ["sku", "_r"], "inner").drop("_r")
+
+
 def leafs(spark: SparkSession, folder: str) -> DataFrame:
     """Forecasts with the product hierarchy, which is joined before the lags multiply the rows."""
-    return with_lags(based(spark, folder).join(hierarchy(spark, folder), "sku"))
+    return with_lags(leaf_bases(spark, folder))

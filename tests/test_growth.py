@@ -88,3 +88,11 @@ def test_shuffles_of_lines_grow_with_the_lines(spark, monkeypatch, name):
     monkeypatch.setattr(roles, "TASK_LINES", 100)
     found = parts_of_shuffles(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert found and min(found) >= 60
+
+
+def test_products_join_sales_where_they_are_dealt(spark, monkeypatch):
+    """The hierarchy is neither broadcast nor are the sales shuffled for it: one shuffle of each, by the number of lines."""
+    monkeypatch.setattr(roles, "TASK_LINES", 100)
+    out = roles.leafs(spark, "/root/testdata/sf0.001")
+    found = parts_of_shuffles(out)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString() and len(found) == 2 and min(found) >= 60

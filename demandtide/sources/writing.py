@@ -104,23 +104,36 @@ def published(spark: SparkSession, path: str, every: bool = False) -> DataFrame:
 # --- snapshots -----------------------------------------------------------------------------
 
 
+#: Types whose text holds neither backslash nor line end, so that their cells are written and read as they are.
+_PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def _as_text(df: DataFrame) -> DataFrame:
     """Every cell as text on one line: backslash, line ends and null are written with a backslash."""
-    cell = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col(c).cast("string"), r"\\", r"\\\\"), "\n", r"\\n"), "\r", r"\\r")
-    return df.select(*[F.coalesce(cell(c), F.lit("\\N")).alias(c) for c in df.columns])
+
+    def cell(f: T.StructField) -> Column:
+        text = F.col(f.name).cast("string")
+        for mark, spelled in () if isinstance(f.dataType, _PLAIN) else (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+            text = F.replace(text, F.lit(mark), F.lit(spelled))
+        return F.coalesce(text, F.lit("\\N")).alias(f.name)
+
+    return df.select(*[cell(f) for f in df.schema])
 
 
 def _from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Inverse of ``_as_text``: pieces between doubled backslashes get their line ends back and are joined by one."""
+    """Inverse of ``_as_text``: pieces between doubled backslashes get their line ends back and are joined by one. Most cells hold no backslash."""
 
     def piece(text: Column) -> Column:
         return F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
 
-    cells = []
-    for f in schema:
-        text = F.array_join(F.transform(F.split(f.name, r"\\\\", -1), piece), "\\")
-        cells.append(F.when(F.col(f.name) != "\\N", text).cast(f.dataType).alias(f.name))
-    return df.select(*cells)
+    def cell(f: T.StructField) -> Column:
+        text = F.when(F.col(f.name) != "\\N", F.col(f.name))
+        if not isinstance(f.dataType, _PLAIN):
+            marked = F.array_join(F.transform(F.split(f.name, r"\\\\", -1), piece), "\\")
+            text = F.when(F.contains(F.col(f.name), F.lit("\\")), F.when(F.col(f.name) != "\\N", marked)).otherwise(F.col(f.name))
+        return text.cast(f.dataType).alias(f.name)
+
+    return df.select(*[cell(f) for f in schema])
 
 
 _CSV = {"sep": ";", "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}

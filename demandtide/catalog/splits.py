@@ -9,6 +9,7 @@ from demandtide.catalog.roles import CHANNELS, bare_panel, channel_lines, channe
 from demandtide.functions.cleaning import round_places
 from demandtide.functions.periods import idx_month, idx_to_date, idx_to_ym, iso_week_mondays
 from demandtide.operators.aggregating import group_sum
+from demandtide.operators.joining import dealt_lookup
 from demandtide.plans import granularity as G, postprocess as O, scenario as Z
 from demandtide.session import written
 
@@ -20,17 +21,18 @@ _FUT = """fut AS (SELECT sku, label, m + 12 AS m, m + 12 - (SELECT max(m) FROM l
   fall AS (SELECT * FROM fut UNION ALL SELECT sku, 'il', m, horizon, sum(prediction) * 1.25 FROM fut GROUP BY sku, m, horizon)"""
 
 
-def future(spark, d, cube=None):
-    """Forecasts from the sales, or from a stored ``cube`` of them."""
+def future(spark, d, cube=None, last=None):
+    """Forecasts from the sales, or from a stored ``cube`` of them; ``last`` is the newest month where the cube may lack it."""
     sales = sku_label(spark, d) if cube is None else group_sum(cube, ["sku", "label", "m"], ["qty"]).withColumnRenamed("qty", "offtake")
-    last = last_month(spark, d) if cube is None else cube.agg(F.max("m").alias("last")).scalar()
+    if last is None:
+        last = last_month(spark, d) if cube is None else cube.agg(F.max("m").alias("last")).scalar()
     ahead = sales.withColumn("m", F.col("m") + 12).withColumn("horizon", F.col("m") - last).filter("horizon > 0")
     return ahead.select("sku", "label", "m", "horizon", (F.col("offtake") * (1 + F.col("horizon") / 64.0)).alias("prediction"))
 
 
-def future_all(spark, d, cube=None):
+def future_all(spark, d, cube=None, last=None):
     """DI and EIB with IL above them; the sales are read once, IL is a sum over a second copy of each row."""
-    rows = future(spark, d, cube)
+    rows = future(spark, d, cube, last)
     il = F.lit("il")
     copies = F.array(F.struct(F.col("label"), F.col("prediction").alias("p")), F.struct(il.alias("label"), (F.col("prediction") * 1.25).alias("p")))
     both = rows.select("sku", "m", "horizon", F.explode(copies).alias("e"))
@@ -283,8 +285,10 @@ def di_flow(spark, d, cube=None):
     """Offtake, sell-out, sell-in and stock rows, four per line in one pass, summed to month, code and channel."""
     product = F.concat_ws("_", "country", "brand", "tier", "stage")
     package = F.concat_ws("_", "country", "brand", "tier", "status", "stage")
-    history = channel_lines(spark, d) if cube is None else cube
-    sums = history.filter("label = 'di'").groupBy("sku", "channel", "status", "m", "om").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+    if cube is None:
+        sums = channel_lines(spark, d).filter("label = 'di'").groupBy("sku", "channel", "status", "m", "om").agg(F.sum("qty").alias("qty"), F.sum("kept").alias("kept"))
+    else:
+        sums = cube.filter("label = 'di'")  # of this grain already
     known = sums.withColumnRenamed("sku", "_s").join(hierarchy(spark, d).withColumnRenamed("sku", "_s"), "_s")
     sp = F.when(F.col("channel") == "5-LOW", "all").otherwise("x")
 
@@ -324,23 +328,20 @@ def _(spark, d):
 
 
 def granular_il(spark, d):
+    """All branches but the DI flow read sums by product name, channel and month, and those by product name and month; both are stored once."""
     product = F.concat_ws("_", "country", "brand", "tier", "stage").alias("product")
     attributes = hierarchy(spark, d).select(product.alias("sku"), "country", "brand", "tier", "stage").distinct()
     names = hierarchy(spark, d).select("sku", product)
-
-    def named(df, *keys):
-        return df.join(names, "sku").drop("sku").withColumnRenamed("product", "sku")
-
     cube = flow_cube(spark, d)
-    channels = cube.groupBy("sku", "channel", "m").agg(F.sum("qty").alias("offtake"))
-    flat = cube.groupBy("sku", "label", "m").agg(F.sum("qty").alias("offtake"), F.sum("kept").alias("sellin"))
-    products = named(flat)
+    named = dealt_lookup(cube.select("sku", "label", "channel", "m", "qty", "kept"), names, "sku", "inner")
+    channels = written(named.groupBy(F.col("product").alias("sku"), "label", "channel", "m").agg(F.sum("qty").alias("offtake"), F.sum("kept").alias("sellin")), "product-channels")
+    products = written(channels.groupBy("sku", "label", "m").agg(F.sum("offtake").alias("offtake"), F.sum("sellin").alias("sellin")), "product-months")
     eib = products.filter("label = 'eib'").withColumn("produced_date", F.lit("2001-06-15").cast("date"))
-    future_ = named(future_all(spark, d, cube)).groupBy("sku", "m", "horizon").agg(
+    future_ = future_all(spark, d, products.withColumnRenamed("offtake", "qty"), last_month(spark, d)).groupBy("sku", "m", "horizon").agg(
         *[F.sum(F.when(F.col("label") == x, F.col("prediction"))).alias(f"yhat_{x}_calib") for x in ("di", "eib", "il")]
     )
     return G.granularity_il(
-        di_flow(spark, d, cube), named(channels), products, eib, eib, future_, attributes, "sku", "code", "m", 2001 * 12 + 1, idx_to_date("m"), 2000 * 12 + 4
+        di_flow(spark, d, cube), channels, products, eib, eib, future_, attributes, "sku", "code", "m", 2001 * 12 + 1, idx_to_date("m"), 2000 * 12 + 4
     )
 
 

@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.ml.feature import PCA
 
-from demandtide.catalog import QUERIES, roles
+from demandtide.catalog import QUERIES, roles, splits
 from demandtide.plans import flows, forecasting as L, least_squares as Q, supervised as S, unified
 
 
@@ -96,3 +96,10 @@ def test_products_join_sales_where_they_are_dealt(spark, monkeypatch):
     out = roles.leafs(spark, "/root/testdata/sf0.001")
     found = parts_of_shuffles(out)
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString() and len(found) == 2 and min(found) >= 60
+
+
+def test_branches_of_granularity_read_sums_of_products(spark):
+    """The stored cube, nearly as long as the lines, is summed by product name once and not read by every branch."""
+    made, known = splits.granular_il(spark, "/root/testdata/sf0.001")
+    files = [*made.inputFiles(), *known.inputFiles()]
+    assert any("product-months" in f for f in files) and not any("flow-cube" in f for f in files)
